@@ -20,9 +20,35 @@ def window_key(sensor_id: Column, metric_name: Column) -> Column:
     return F.concat_ws("::", sensor_id, metric_name)
 
 
+def round_exact(value: Column, digits: int) -> Column:
+    """Round the exact binary value, ties to even, as correctly rounded decimal text does.
+
+    The built-in functions round the shortest decimal spelling instead, which differs where
+    that spelling ends in a 5. Here the scaled fraction is carried with its rounding error
+    (the product of two halves of the mantissa), so its distance from one half is exact.
+    """
+    scale = float(10**digits)
+    size = F.abs(value)
+    whole = F.floor(size).cast("double")
+    part = size - whole
+    scaled = part * scale
+    upper = part * 134217729.0 - (part * 134217729.0 - part)
+    error = (upper * scale - scaled) + (part - upper) * scale
+    steps = F.floor(scaled).cast("double")
+    beyond = (scaled - steps) - 0.5
+    odd = F.pmod(steps, F.lit(2.0)) == 1.0
+    up = (beyond > 0) | ((beyond == 0) & ((error > 0) | ((error == 0) & odd)))
+    rounded = F.signum(value) * (whole * scale + steps + F.when(up, 1.0).otherwise(0.0)) / scale
+    return F.when(size < 1e11, rounded).otherwise(F.bround(value, digits))
+
+
 def round_stat(value: Column, digits: int = STAT_DIGITS) -> Column:
-    """Half-even rounding."""
-    return F.bround(value, digits)
+    return round_exact(value, digits)
+
+
+def fixed(value: Column, digits: int) -> Column:
+    """For %.Nf formats, which would otherwise round the decimal spelling."""
+    return round_exact(value, digits)
 
 
 def age_seconds(timestamp: Column, now: Column) -> Column:
@@ -30,11 +56,13 @@ def age_seconds(timestamp: Column, now: Column) -> Column:
 
 
 def record_message(value: Column, z: Column, mean: Column, std: Column) -> Column:
-    return F.format_string(RECORD_MESSAGE, value, z, mean, std)
+    return F.format_string(
+        RECORD_MESSAGE, fixed(value, 4), fixed(z, 2), fixed(mean, 4), fixed(std, 4)
+    )
 
 
 def window_message(window_mean: Column, z: Column, n: Column, mean: Column) -> Column:
-    return F.format_string(WINDOW_MESSAGE, window_mean, z, n, mean)
+    return F.format_string(WINDOW_MESSAGE, fixed(window_mean, 4), fixed(z, 2), n, fixed(mean, 4))
 
 
 def iso_text(timestamp: Column) -> Column:
@@ -52,7 +80,7 @@ def clock_text(timestamp: Column) -> Column:
 def alert_line() -> Column:
     """One alert row as a line; a missing z is shown as n/a."""
     z = F.when(F.col("zscore").isNull(), F.lit("n/a")).otherwise(
-        F.format_string("%.2f", F.coalesce("zscore", F.lit(0.0)))
+        F.format_string("%.2f", fixed(F.coalesce("zscore", F.lit(0.0)), 2))
     )
     value = F.coalesce(F.col("observed_value").cast("string"), F.lit("None"))
     return F.format_string(
@@ -72,8 +100,8 @@ def window_line() -> Column:
         WINDOW_LINE,
         window_key(F.col("sensor_id"), F.col("metric_name")),
         "sample_count",
-        "mean",
-        "p95",
+        fixed(F.col("mean"), 4),
+        fixed(F.col("p95"), 4),
         clock_text(F.col("window_start")),
         clock_text(F.col("window_end")),
     )

@@ -73,19 +73,13 @@ def _by_window_and_fold(df: DataFrame, ttl: int, ties: list[str]) -> DataFrame:
     sessions = (
         base.filter(beyond)
         .groupBy(ID, "__start")
-        .agg(
-            F.collect_list(
-                F.struct(row.alias("at"), F.monotonically_increasing_id().alias("n"), payload.alias("row"))
-            ).alias("__rows")
-        )
+        .agg(F.collect_list(F.struct(row.alias("at"), payload.alias("row"))).alias("__rows"))
         .withColumn(
             "__rows",
             F.array_sort(
                 "__rows",
                 lambda a, b: F.when(a["at"] < b["at"], -1)
                 .when(a["at"] > b["at"], 1)
-                .when(a["n"] < b["n"], -1)
-                .when(a["n"] > b["n"], 1)
                 .otherwise(0),
             ),
         )

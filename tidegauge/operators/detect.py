@@ -96,7 +96,7 @@ def record_alert_columns(cfg: DetectConfig) -> list[Column]:
         F.col("value").alias("observed_value"),
         round_stat(F.col("baseline_mean")).alias("baseline_mean"),
         round_stat(F.col("baseline_std")).alias("baseline_std"),
-        F.bround(z, Z_DIGITS).alias("zscore"),
+        round_stat(z, Z_DIGITS).alias("zscore"),
         record_message(F.col("value"), z, F.col("baseline_mean"), F.col("baseline_std")).alias(
             "message"
         ),
@@ -114,7 +114,7 @@ def window_alert_columns(cfg: DetectConfig) -> list[Column]:
         F.col("mean").alias("observed_value"),
         round_stat(F.col("baseline_mean")).alias("baseline_mean"),
         round_stat(F.col("baseline_std")).alias("baseline_std"),
-        F.bround(z, Z_DIGITS).alias("zscore"),
+        round_stat(z, Z_DIGITS).alias("zscore"),
         window_message(F.col("mean"), z, F.col("baseline_n"), F.col("baseline_mean")).alias(
             "message"
         ),

@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DedupConfig, WindowConfig
-from ..functions.text import PERCENT_DIGITS, window_key
+from ..functions.text import PERCENT_DIGITS, round_exact, window_key
 from ..schema import KEYS
 
 
 def percent(part: Column, whole: Column) -> Column:
-    return F.bround(
-        F.lit(100.0) * part / F.greatest(whole, F.lit(1).cast("bigint")), PERCENT_DIGITS
-    )
+    share = F.lit(100.0) * part / F.greatest(whole, F.lit(1).cast("bigint"))
+    return round_exact(share, PERCENT_DIGITS)
 
 
 def dedup_stats(

@@ -17,7 +17,7 @@ def parse(df: DataFrame, raw: str = "raw", received_at: Column | None = None) ->
     """
     if received_at is None:
         received_at = F.col("timestamp") if "timestamp" in df.columns else F.current_timestamp()
-    kept = [c for c in df.columns if c not in (raw, "timestamp", "value")]
+    kept = [c for c in df.columns if c not in (raw, "timestamp", "value", "received_at")]
     text = F.col(raw)
     raw_text = F.col("__raw")
     fields, valid_value, valid_time = F.col("__fields"), F.col("__value"), F.col("__time")

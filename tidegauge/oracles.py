@@ -7,10 +7,10 @@ _DAY = 24 * _HOUR
 _AS_OF = "TIMESTAMP '2024-01-15 00:00:00'"
 
 
-def _tel(message_id: str = "event_id") -> str:
+def _tel(message_id: str = "event_id", value: str = "value") -> str:
     return f"""tel AS (
   SELECT CAST({message_id} AS VARCHAR) AS message_id, CAST(user_id % 10 AS VARCHAR) AS sensor_id,
-         event_type AS metric_name, value, ts AS "timestamp", event_id
+         event_type AS metric_name, {value} AS value, ts AS "timestamp", event_id
   FROM events)"""
 
 
@@ -66,6 +66,14 @@ def _wscored(source: str = "win") -> str:
                      ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)))"""
 
 
+_CENTS = "round(value * 100)"
+
+
+def _exact(value: str, digits: int) -> str:
+    """printf rounds the exact binary value, ties to even."""
+    return f"CAST(printf('%.{digits}f', {value}) AS DOUBLE)"
+
+
 _ANOMALY = "baseline_n >= 10 AND baseline_std > 1e-9 AND abs(z) > 3.0"
 _SPIKE = "baseline_n >= 5 AND baseline_std >= 1e-9 AND abs(z) > 3.0"
 _RECORD_SEVERITY = "CASE WHEN abs(z) > 4.5 THEN 'CRITICAL' ELSE 'WARNING' END AS severity"
@@ -155,17 +163,13 @@ def _with(*parts: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}" + ",\n".join(parts) + "\n"
 
 
-def _published(z: str = "zscore") -> str:
-    return f"round(observed_value, 4) AS observed_value, round({z}, 2) AS zscore, severity"
-
-
 def _both_alerts() -> str:
     return f"""SELECT sensor_id, metric_name, 'zscore' AS anomaly_type, "timestamp" AS detected_at,
-  round(value, 4) AS observed_value, round(round_even(z, 3), 2) AS zscore, {_RECORD_SEVERITY}
+  round(value, 6) AS observed_value, {_exact("z", 3)} AS zscore, {_RECORD_SEVERITY}
 FROM scored WHERE {_ANOMALY}
 UNION ALL
-SELECT sensor_id, metric_name, 'value_spike', window_end, round(mean, 4),
-  round(round_even(z, 3), 2), {_WINDOW_SEVERITY} FROM wscored WHERE {_SPIKE}"""
+SELECT sensor_id, metric_name, 'value_spike', window_end, round(mean, 6),
+  {_exact("z", 3)}, {_WINDOW_SEVERITY} FROM wscored WHERE {_SPIKE}"""
 
 
 def _end_to_end(*more: str) -> str:
@@ -191,19 +195,19 @@ def all_oracles() -> dict[str, str]:
   round(baseline_std, 6) AS baseline_std, round(z, 6) AS zscore, {_RECORD_SEVERITY} FROM scored"""
     sql["zscore_alerts"] = _with(_tel(), _scored()) + f"{anomalies} WHERE {_ANOMALY}"
     sql["zscore_alerts_tuned"] = (
-        _with(_tel(), _scored(depth=50))
+        _with(_tel(), _scored(depth=30))
         + anomalies.replace("4.5", "3.0")
         + " WHERE baseline_n >= 5 AND baseline_std > 1e-9 AND abs(z) > 2.0"
     )
     rows = f"""SELECT sensor_id, metric_name, 'zscore' AS anomaly_type,
   "timestamp" AS detected_at, value AS observed_value,
-  round_even(baseline_mean, 4) AS baseline_mean, round_even(baseline_std, 4) AS baseline_std,
-  round_even(z, 3) AS zscore,
+  {_exact("baseline_mean", 4)} AS baseline_mean, {_exact("baseline_std", 4)} AS baseline_std,
+  {_exact("z", 3)} AS zscore,
   printf('Value %.4f deviates %+.2fσ from baseline μ=%.4f σ=%.4f', value, z, baseline_mean,
          baseline_std) AS message, {_RECORD_SEVERITY} FROM scored WHERE {_ANOMALY}"""
-    sql["record_alert_rows"] = _with(_tel(), _scored()) + rows
+    sql["record_alert_rows"] = _with(_tel(value=_CENTS), _scored()) + rows
     sql["record_alert_lines"] = (
-        _with(_tel(), _scored(), f"alerts AS ({rows})")
+        _with(_tel(value=_CENTS), _scored(), f"alerts AS ({rows})")
         + """SELECT 'ALERT  | [' || severity || '] ZSCORE sensor=' || sensor_id || ' metric='
   || metric_name || ' value=' || CAST(observed_value AS VARCHAR) || ' z='
   || printf('%.2f', zscore) || ' at '
@@ -227,10 +231,10 @@ def all_oracles() -> dict[str, str]:
   sensor_id || '::' || metric_name AS window_key,
   time_bucket(INTERVAL '6 hours', "timestamp") AS window_start,
   time_bucket(INTERVAL '6 hours', "timestamp") + INTERVAL '6 hours' AS window_end FROM tel"""
-    sql["window_lines"] = _with(_tel(), _windows(_DAY)) + """SELECT sensor_id, metric_name,
+    sql["window_lines"] = _with(_tel(value=_CENTS), _windows(_DAY)) + """SELECT sensor_id, metric_name,
   window_start, 'WINDOW | ' || sensor_id || '::' || metric_name || ' n='
-  || CAST(sample_count AS VARCHAR) || ' mean=' || printf('%.4f', round_even(mean, 4)) || ' p95='
-  || printf('%.4f', round_even(p95, 4)) || ' [' || strftime(window_start, '%H:%M:%S') || '–'
+  || CAST(sample_count AS VARCHAR) || ' mean=' || printf('%.4f', mean) || ' p95='
+  || printf('%.4f', p95) || ' [' || strftime(window_start, '%H:%M:%S') || '–'
   || strftime(window_end, '%H:%M:%S') || ']' AS line FROM win"""
     shares = ", ".join(
         f"round(quantile_cont(value, {p}), 6) AS {n}"
@@ -248,9 +252,8 @@ def all_oracles() -> dict[str, str]:
   round(coalesce(var_samp(value), 0.0), 6) AS variance,
   round(coalesce(stddev_samp(value), 0.0), 6) AS std FROM tel GROUP BY 1, 2"""
     sql["running_moments"] = _with(_tel()) + """SELECT message_id,
-  count(value) OVER w AS running_n, round(avg(value) OVER w, 6) AS running_mean,
-  round(coalesce(var_samp(value) OVER w, 0.0), 5) AS running_var,
-  round(coalesce(stddev_samp(value) OVER w, 0.0), 5) AS running_std FROM tel
+  count(value) OVER w AS running_n, round(avg(value) OVER w * count(value) OVER w, 4) AS running_sum,
+  round(coalesce(stddev_samp(value) OVER w, 0.0), 6) AS running_std FROM tel
 WINDOW w AS (PARTITION BY sensor_id, metric_name ORDER BY "timestamp", message_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
     sql["running_moments_sliced"] = sql["running_moments"]
@@ -276,7 +279,8 @@ FROM flagged WHERE """
     sql["dedup_duplicates"] = dedup(_DAY) + records + "is_duplicate"
     sql["dedup_statistics"] = dedup(_DAY) + f"""SELECT count(*) AS total_seen,
   count(*) FILTER (is_duplicate) AS total_dupes,
-  round(100.0 * count(*) FILTER (is_duplicate) / greatest(count(*), 1), 2) AS dupe_rate_pct,
+  CAST(printf('%.2f', 100.0 * count(*) FILTER (is_duplicate) / greatest(count(*), 1)) AS DOUBLE)
+    AS dupe_rate_pct,
   count(*) FILTER (NOT is_duplicate AND t >= (SELECT max(t) FROM numbered) - {_DAY * 1000000})
     AS cache_size FROM flagged"""
 
@@ -332,6 +336,7 @@ FROM past LEFT JOIN ends USING (sensor_id, metric_name) GROUP BY 1"""
   (SELECT count(*) FROM parsed WHERE reason_code IS NOT NULL) AS malformed,
   (SELECT count(*) FROM flagged WHERE is_duplicate) AS dupes,
   (SELECT count(*) FROM tel2) AS processed, (SELECT count(*) FROM raised) AS alerts)""",
-    ) + """SELECT *, round_even(100.0 * malformed / greatest(received, 1), 2) AS malformed_pct,
-  round_even(100.0 * dupes / greatest(received, 1), 2) AS dupes_pct FROM c"""
+    ) + """SELECT *,
+  CAST(printf('%.2f', 100.0 * malformed / greatest(received, 1)) AS DOUBLE) AS malformed_pct,
+  CAST(printf('%.2f', 100.0 * dupes / greatest(received, 1)) AS DOUBLE) AS dupes_pct FROM c"""
     return sql

@@ -57,6 +57,11 @@ def _raw(spark: SparkSession, folder: str, message_id: str = "event_id") -> Data
     return raw_messages(table(spark, folder, "events"), message_id)
 
 
+def _cents(df: DataFrame) -> DataFrame:
+    """Whole numbers, whose sums do not depend on the order, for texts with rounded digits."""
+    return df.withColumn("value", F.rint(F.col("value") * 100))
+
+
 def _r6(name: str, source: str | None = None) -> Column:
     return F.round(F.col(source or name), 6).alias(name)
 
@@ -113,20 +118,20 @@ def zscore_alerts(spark, folder):
 @query
 def zscore_alerts_tuned(spark, folder):
     return _anomalies(
-        spark, folder, DetectConfig(z_threshold=2.0, baseline_rows=50, min_baseline_rows=5)
+        spark, folder, DetectConfig(z_threshold=2.0, baseline_rows=30, min_baseline_rows=5)
     )
 
 
 @query
 def record_alert_rows(spark, folder):
     """Alert rows as published: rounded fields, message and severity."""
-    alerts = detect.record_alerts(_readings(spark, folder))
+    alerts = detect.record_alerts(_cents(_readings(spark, folder)))
     return alerts.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
 
 
 @query
 def record_alert_lines(spark, folder):
-    alerts = detect.record_alerts(_readings(spark, folder))
+    alerts = detect.record_alerts(_cents(_readings(spark, folder)))
     return alerts.select(F.concat(F.lit(text.ALERT_PREFIX), text.alert_line()).alias("line"))
 
 
@@ -193,7 +198,7 @@ def window_assignment(spark, folder):
 
 @query
 def window_lines(spark, folder):
-    windows = rounded(window_stats(_readings(spark, folder), ONE_DAY))
+    windows = rounded(window_stats(_cents(_readings(spark, folder)), ONE_DAY))
     return windows.select(
         "sensor_id", "metric_name", _ntz("window_start"), text.window_line().alias("line")
     )
@@ -233,9 +238,10 @@ def _running(spark, folder, skew=SkewConfig()):
     return rows.select(
         "message_id",
         "running_n",
-        _r6("running_mean"),
-        F.round("running_var", 5).alias("running_var"),
-        F.round(F.sqrt("running_var"), 5).alias("running_std"),
+        # The mean as a sum: whole cents, so there is no tie to round.
+        F.round(F.col("running_mean") * F.col("running_n"), 4).alias("running_sum"),
+        # Root first: its digits have no ties, those of the variance do.
+        F.round(F.sqrt("running_var"), 6).alias("running_std"),
     )
 
 
@@ -278,13 +284,12 @@ def window_spikes_daily(spark, folder):
 
 
 def _published(alerts: DataFrame) -> DataFrame:
-    """Alert rows without the rounding of the last digits, which differs between engines."""
     return alerts.select(
         *KEYS,
         "anomaly_type",
         _ntz("detected_at"),
-        F.round("observed_value", 4).alias("observed_value"),
-        F.round("zscore", 2).alias("zscore"),
+        _r6("observed_value"),
+        "zscore",
         "severity",
     )
 
