@@ -339,4 +339,46 @@ FROM past LEFT JOIN ends USING (sensor_id, metric_name) GROUP BY 1"""
     ) + """SELECT *,
   CAST(printf('%.2f', 100.0 * malformed / greatest(received, 1)) AS DOUBLE) AS malformed_pct,
   CAST(printf('%.2f', 100.0 * dupes / greatest(received, 1)) AS DOUBLE) AS dupes_pct FROM c"""
+
+    # A drained stream has closed the windows that end by its newest event (in milliseconds).
+    newest = """(SELECT date_trunc('milliseconds', max("timestamp")) FROM {source})"""
+    closed = "closed AS (SELECT * FROM win WHERE window_end <= " + newest + ")"
+    sql["stream_dedup"] = sql["dedup_flagged"]
+    sql["stream_dedup_within_watermark"] = (
+        "SELECT DISTINCT CAST(user_id AS VARCHAR) AS message_id FROM events"
+    )
+    sql["stream_zscore_baseline"] = sql["zscore_baseline"]
+    sql["stream_window_stats"] = (
+        _with(_tel(), _windows(_DAY), closed.format(source="tel"))
+        + f"SELECT {_WINDOW_COLUMNS} FROM closed"
+    )
+    published_spikes = f"""SELECT sensor_id, metric_name, 'value_spike' AS anomaly_type,
+  window_end AS detected_at, round(mean, 6) AS observed_value, {_exact("z", 3)} AS zscore,
+  {_WINDOW_SEVERITY} FROM wscored WHERE {_SPIKE}"""
+    sql["stream_window_spikes"] = (
+        _with(_tel(), _windows(_DAY), closed.format(source="tel"), _wscored("closed"))
+        + published_spikes
+    )
+    sql["stream_anchored_windows"] = (
+        _with(
+            _tel(),
+            _anchored(_DAY),
+            f"""placed AS (SELECT *, row_number() OVER series AS nth,
+    (epoch_us(window_start) - first_value(epoch_us(anchor)) OVER series) // {_DAY * 1000000} AS k
+  FROM win JOIN (SELECT sensor_id, metric_name, min("timestamp") AS anchor FROM tel GROUP BY 1, 2)
+    USING (sensor_id, metric_name)
+  WINDOW series AS (PARTITION BY sensor_id, metric_name ORDER BY window_start))""",
+        )
+        + f"""SELECT {_WINDOW_COLUMNS} FROM placed
+WHERE nth = k + 1 AND window_end <= {newest.format(source="tel")}"""
+    )
+    sql["stream_end_to_end_alerts"] = (
+        _end_to_end(
+            _scored("tel2"),
+            _windows(_DAY, source="tel2"),
+            closed.format(source="tel2"),
+            _wscored("closed"),
+        )
+        + _both_alerts()
+    )
     return sql

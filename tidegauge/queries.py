@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -21,9 +22,13 @@ from .operators.windows import (
     window_stats,
 )
 from .plans.batch import run_batch
+from .plans.skew import use_checkpoint_dir
 from .plans.trailing import with_running_moments
 from .schema import KEYS, ORDER
+from .sources.sinks import parquet_sink
 from .sources.views import raw_messages, readings, table
+from .streaming import operators as streaming
+from .streaming.run import start_streams
 
 SIX_HOURS = WindowConfig(window_seconds=6 * 3600)
 ONE_DAY = WindowConfig(window_seconds=24 * 3600)
@@ -447,3 +452,88 @@ def end_to_end_records(spark, folder):
 @query
 def end_to_end_counters(spark, folder):
     return _end_to_end(spark, folder, "counters")
+
+
+# Streams: the events file is read as a stream and drained
+
+
+def _event_stream(spark, folder):
+    schema = table(spark, folder, "events").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return reader.parquet(folder)
+
+
+def _stream_folder(spark):
+    return f"{use_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+
+def _drain(rows: DataFrame) -> DataFrame:
+    """Run a stream over what is there now and read back what it wrote."""
+    spark = rows.sparkSession
+    folder = _stream_folder(spark)
+    run = (
+        rows.writeStream.format("parquet")
+        .option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{folder}/out")
+
+
+@query
+def stream_dedup(spark, folder):
+    rows = streaming.watermarked(readings(_event_stream(spark, folder), "user_id"))
+    flagged = streaming.dedup_ttl(rows, DAY_TTL, ["event_id"])
+    return _drain(flagged).select("event_id", "message_id", "is_duplicate")
+
+
+@query
+def stream_dedup_within_watermark(spark, folder):
+    """In one trigger the built-in operator keeps one row per id."""
+    rows = readings(_event_stream(spark, folder), "user_id")
+    return _drain(streaming.dedup_within_watermark(rows, DAY_TTL)).select("message_id")
+
+
+@query
+def stream_zscore_baseline(spark, folder):
+    return _scored(_drain(streaming.score_records(readings(_event_stream(spark, folder)))))
+
+
+@query
+def stream_window_stats(spark, folder):
+    rows = streaming.watermarked(readings(_event_stream(spark, folder)))
+    return _windows(_drain(streaming.window_stats(rows, ONE_DAY)))
+
+
+@query
+def stream_window_spikes(spark, folder):
+    rows = streaming.watermarked(readings(_event_stream(spark, folder)))
+    return _published(_drain(streaming.window_alerts(streaming.window_stats(rows, ONE_DAY))))
+
+
+@query
+def stream_anchored_windows(spark, folder):
+    """In one trigger a series' windows close until the first sparse one."""
+    rows = streaming.watermarked(readings(_event_stream(spark, folder)))
+    return _windows(_drain(streaming.anchored_window_stats(rows, ONE_DAY)))
+
+
+@query
+def stream_end_to_end_alerts(spark, folder):
+    cfg = replace(EngineConfig(), dedup=DAY_TTL, windows=ONE_DAY)
+    out = _stream_folder(spark)
+    streams = start_streams(
+        raw_messages(_event_stream(spark, folder), "user_id"),
+        out,
+        cfg,
+        on_alert=parquet_sink(f"{out}/alerts/kind=record"),
+        on_window_alert=parquet_sink(f"{out}/alerts/kind=window"),
+        on_window=parquet_sink(f"{out}/windows"),
+        tie_break=["event_id"],
+        trigger={"availableNow": True},
+    )
+    streams.wait()
+    streams.stop()
+    return _published(spark.read.parquet(f"{out}/alerts"))
