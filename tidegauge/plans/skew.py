@@ -63,12 +63,13 @@ def split_hot(
         return df, None
     if skew.mode == "on":
         return None, df
-    hot = materialize(
+    hot = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > max_rows)
     ).drop("__n")
-    count = hot.count()
-    if count == 0:
+    if hot.isEmpty():
         return df, None
+    hot = materialize(hot)
+    count = hot.count()
     if count <= skew.broadcast_rows:
         hot = F.broadcast(hot)
     on = null_safe(df, hot, keys)
