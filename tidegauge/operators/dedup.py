@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DedupConfig, SkewConfig
 from ..plans.chains import accepted_chain
-from ..plans.skew import materialize, split_hot
+from ..plans.skew import split_hot, store_table, union_parts
 
 ID = "message_id"
 
@@ -26,13 +26,13 @@ def dedup_ttl(
 ) -> DataFrame:
     """Add ``is_duplicate``. ``tie_break`` orders rows of one id at the same time."""
     ties = list(tie_break or [])
-    ordinary, hot = split_hot(df, [ID], skew.max_dedup_group_rows, skew)
+    ordinary, hot, _ = split_hot(df, [ID], skew.max_dedup_group_rows, skew)
     parts = []
     if ordinary is not None:
         parts.append(_by_window_and_fold(ordinary, cfg.ttl_us, ties))
     if hot is not None:
         parts.append(_by_chain(hot, cfg.ttl_us, ties))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return union_parts(parts)
 
 
 def accepted(flagged: DataFrame) -> DataFrame:
@@ -130,7 +130,7 @@ def _by_window_and_fold(df: DataFrame, ttl: int, ties: list[str]) -> DataFrame:
 
 def _by_chain(df: DataFrame, ttl: int, ties: list[str]) -> DataFrame:
     """Hot ids: equal times are merged before the shuffle, the chain is found in parallel."""
-    numbered = materialize(
+    numbered = store_table(
         df.withColumn("__t", _micros()).withColumn("__row", F.monotonically_increasing_id())
     )
     earliest = F.min(F.struct(*[F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)], "__row"))

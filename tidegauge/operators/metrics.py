@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import DedupConfig, WindowConfig
 from ..functions.text import PERCENT_DIGITS, round_exact, window_key
 from ..schema import KEYS
+from .windows import assign_windows
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -24,9 +26,8 @@ def dedup_stats(
     time-to-live before ``now``; by default the newest row's time)."""
     seen, dupes = F.count(F.lit(1)), F.count_if("is_duplicate")
     if now is None:
-        newest = flagged.agg(F.max("timestamp").alias("__now"))
-        flagged = flagged.crossJoin(F.broadcast(newest))  # exactly one row
-        at = F.col("__now")
+        now = flagged.agg(F.max(F.unix_micros("timestamp"))).first()[0]
+        at = F.timestamp_micros(F.lit(now).cast("bigint"))
     else:
         at = F.lit(now).cast("timestamp")
     age = F.unix_micros(at) - F.unix_micros("timestamp")
@@ -41,29 +42,47 @@ def dedup_stats(
     )
 
 
+def one_row(*parts: DataFrame) -> DataFrame:
+    """Single-row tables with different columns, side by side."""
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return together.agg(*[F.max(c).alias(c) for c in together.columns])
+
+
+def _count(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias(name))
+
+
+def _series_count(df: DataFrame, name: str) -> DataFrame:
+    return _count(df.select(*KEYS).distinct(), name)
+
+
 def aggregator_stats(rows: DataFrame, windows: DataFrame) -> DataFrame:
     """active_keys and total_windows_flushed."""
-    keys = rows.select(*KEYS).distinct().agg(F.count(F.lit(1)).alias("active_keys"))
-    flushed = windows.agg(F.count(F.lit(1)).alias("total_windows_flushed"))
-    return keys.crossJoin(F.broadcast(flushed))  # one row each
+    return one_row(
+        _series_count(rows, "active_keys"), _count(windows, "total_windows_flushed")
+    )
 
 
 def buffer_sizes(
     rows: DataFrame, closed: DataFrame, cfg: WindowConfig = WindowConfig()
 ) -> DataFrame:
-    """Rows of each series after its last closed window, keyed ``sensor::metric``."""
+    """Rows of each series after its last closed window, keyed ``sensor::metric``.
+
+    Rows are counted per window first, so the join sees windows and not rows.
+    """
+    counts = (
+        assign_windows(rows.select(*KEYS, "timestamp"), cfg)
+        .groupBy(*KEYS, "window_start")
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
     ends = closed.groupBy(*KEYS).agg(F.max("window_end").alias("__end"))
     on = [F.col(f"r.{k}").eqNullSafe(F.col(f"e.{k}")) for k in KEYS]
-    after = F.col("timestamp") > F.col("__end")
-    if cfg.alignment == "epoch":
-        after = F.col("timestamp") >= F.col("__end")
-    waiting = F.col("__end").isNull() | after
+    waiting = F.col("__end").isNull() | (F.col("window_start") >= F.col("__end"))
     return (
-        rows.alias("r")
+        counts.alias("r")
         .join(ends.alias("e"), on, "left")
-        .select("r.sensor_id", "r.metric_name", waiting.alias("__waiting"))
-        .groupBy(*KEYS)
-        .agg(F.count_if("__waiting").alias("buffer_size"))
+        .groupBy("r.sensor_id", "r.metric_name")
+        .agg(F.sum(F.when(waiting, F.col("__n")).otherwise(0)).alias("buffer_size"))
         .select(
             window_key(F.col("sensor_id"), F.col("metric_name")).alias("window_key"),
             "buffer_size",
@@ -73,15 +92,10 @@ def buffer_sizes(
 
 def detector_stats(rows: DataFrame, windows: DataFrame, record_alerts: DataFrame) -> DataFrame:
     """Series tracked by each detector and the number of record alerts."""
-
-    def series(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*KEYS).distinct().agg(F.count(F.lit(1)).alias(name))
-
-    alerts = record_alerts.agg(F.count(F.lit(1)).alias("total_alerts"))
-    return (
-        series(rows, "tracked_keys")
-        .crossJoin(F.broadcast(series(windows, "window_tracked_keys")))
-        .crossJoin(F.broadcast(alerts))
+    return one_row(
+        _series_count(rows, "tracked_keys"),
+        _series_count(windows, "window_tracked_keys"),
+        _count(record_alerts, "total_alerts"),
     )
 
 
@@ -98,14 +112,10 @@ def run_counters(parsed: DataFrame, flagged: DataFrame, alerts: DataFrame) -> Da
         F.count_if("is_duplicate").alias("dupes"),
         F.count_if(~F.col("is_duplicate")).alias("processed"),
     )
-    raised = alerts.agg(F.count(F.lit(1)).alias("alerts"))
-    return (
-        gate.crossJoin(F.broadcast(dedup))
-        .crossJoin(F.broadcast(raised))
-        .withColumns(
-            {
-                "malformed_pct": percent(F.col("malformed"), F.col("received")),
-                "dupes_pct": percent(F.col("dupes"), F.col("received")),
-            }
-        )
+    counts = one_row(gate, dedup, _count(alerts, "alerts"))
+    return counts.withColumns(
+        {
+            "malformed_pct": percent(F.col("malformed"), F.col("received")),
+            "dupes_pct": percent(F.col("dupes"), F.col("received")),
+        }
     )

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SkewConfig, WindowConfig
 from ..functions.text import round_stat
 from ..plans.selection import selected_percentiles
-from ..plans.skew import split_hot
+from ..plans.skew import materialize, split_hot, union_parts
 from ..schema import KEYS
 
+_WINDOW_KEYS = [*KEYS, "window_start", "window_end"]
 STATS = ["mean", "minimum", "maximum", "std_dev", "p95"]
 
 
@@ -41,11 +42,14 @@ def series_anchor(df: DataFrame) -> DataFrame:
     return df.groupBy(*KEYS).agg(F.min("timestamp").alias("__anchor"))
 
 
-def assign_windows(df: DataFrame, cfg: WindowConfig) -> DataFrame:
+def assign_windows(
+    df: DataFrame, cfg: WindowConfig, skew: SkewConfig = SkewConfig()
+) -> DataFrame:
     """Add ``window_start`` and ``window_end``.
 
     "epoch": half-open windows on multiples of the width. "series": the first window
-    starts at the series' first record and each window includes its upper bound.
+    starts at the series' first record and each window includes its upper bound; the first
+    record times are found by an aggregation and broadcast if their counted number is small.
     """
     if cfg.alignment == "epoch":
         bounds = F.window("timestamp", f"{cfg.window_seconds} seconds")
@@ -55,7 +59,11 @@ def assign_windows(df: DataFrame, cfg: WindowConfig) -> DataFrame:
             .drop("__w")
         )
     width = F.lit(cfg.window_us)
-    anchors = series_anchor(df).select(*[F.col(k).alias(f"__{k}") for k in KEYS], "__anchor")
+    anchors = materialize(series_anchor(df)).select(
+        *[F.col(k).alias(f"__{k}") for k in KEYS], "__anchor"
+    )
+    if anchors.count() <= skew.broadcast_rows:
+        anchors = F.broadcast(anchors)
     on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in KEYS]
     since = F.unix_micros("timestamp") - F.unix_micros("__anchor")
     index = F.greatest(F.ceil(since / width).cast("bigint") - 1, F.lit(0).cast("bigint"))
@@ -87,24 +95,34 @@ def window_stats(
     holds the distinct values of a window in memory, so the windows of hot series that are
     themselves hot take the distributed selection instead.
     """
-    keys = [*KEYS, "window_start", "window_end"]
-    rows = assign_windows(df.select(*KEYS, "timestamp", "value"), cfg)
-    p95 = interpolated_percentile("value", cfg.percentile).alias("p95")
-    ordinary, hot = split_hot(rows, keys, skew.max_group_rows, skew)
+    columns = [*KEYS, "timestamp", "value"]
+    rows = assign_windows(df.select(*columns), cfg, skew)
+    # Counting series is cheaper than counting windows, and only a hot series has hot windows.
+    ordinary, hot, _ = split_hot(rows, KEYS, skew.max_group_rows, skew)
     parts = []
     if ordinary is not None:
-        parts.append(ordinary.groupBy(*keys).agg(*basic_stats(), p95))
+        parts.append(_plain_stats(ordinary, cfg))
     if hot is not None:
-        basics = hot.groupBy(*keys).agg(*basic_stats())
-        selected = selected_percentiles(hot, keys, "value", {"p95": cfg.percentile}, skew)
-        on = [F.col(f"b.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-        parts.append(
-            basics.alias("b").join(selected.alias("s"), on, "left").select(
-                "b.*", F.coalesce("s.p95", F.lit(0.0)).alias("p95")
-            )
-        )
-    stats = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return closed_windows(stats, cfg, as_of)
+        small, large, _ = split_hot(hot, _WINDOW_KEYS, skew.max_group_rows, skew)
+        if small is not None:
+            parts.append(_plain_stats(small, cfg))
+        if large is not None:
+            parts.append(_selected_stats(large, cfg, skew))
+    return closed_windows(union_parts(parts), cfg, as_of)
+
+
+def _plain_stats(rows: DataFrame, cfg: WindowConfig) -> DataFrame:
+    p95 = interpolated_percentile("value", cfg.percentile).alias("p95")
+    return rows.groupBy(*_WINDOW_KEYS).agg(*basic_stats(), p95)
+
+
+def _selected_stats(rows: DataFrame, cfg: WindowConfig, skew: SkewConfig) -> DataFrame:
+    basics = rows.groupBy(*_WINDOW_KEYS).agg(*basic_stats())
+    selected = selected_percentiles(rows, _WINDOW_KEYS, "value", {"p95": cfg.percentile}, skew)
+    on = [F.col(f"b.{k}").eqNullSafe(F.col(f"s.{k}")) for k in _WINDOW_KEYS]
+    return basics.alias("b").join(selected.alias("s"), on, "left").select(
+        "b.*", F.coalesce("s.p95", F.lit(0.0)).alias("p95")
+    )
 
 
 def closed_windows(
@@ -135,7 +153,7 @@ def percentiles(
     df: DataFrame, keys: list[str], pcts: dict[str, float], skew: SkewConfig = SkewConfig()
 ) -> DataFrame:
     """Exact interpolated percentiles of ``value`` for any grouping."""
-    ordinary, hot = split_hot(df.select(*keys, "value"), keys, skew.max_group_rows, skew)
+    ordinary, hot, _ = split_hot(df.select(*keys, "value"), keys, skew.max_group_rows, skew)
     parts = []
     if ordinary is not None:
         parts.append(
@@ -145,4 +163,4 @@ def percentiles(
         )
     if hot is not None:
         parts.append(selected_percentiles(hot, keys, "value", pcts, skew))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return union_parts(parts)

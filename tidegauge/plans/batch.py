@@ -12,7 +12,7 @@ from ..operators import detect, metrics, parse as parsing
 from ..operators.dedup import accepted, dedup_ttl, duplicates
 from ..operators.windows import window_stats
 from ..schema import KEYS
-from .skew import materialize, split_hot
+from .skew import split_hot, store_table
 
 
 def run_batch(
@@ -28,20 +28,23 @@ def run_batch(
     window_alerts, alerts and counters. ``tie_break`` names columns of ``raw`` that order
     copies of one message with the same time, such as partition and offset.
 
-    Several tables read the flagged records, so with ``store`` they are written once to the
-    checkpoint folder and neither the parse nor the shuffle by id is repeated.
+    Several tables read the parsed messages and the flagged records, so with ``store`` both are
+    written once to the checkpoint folder, and neither the parse nor the shuffle by id is
+    repeated.
     """
     parsed = parsing.parse(raw)
-    valid = parsing.valid_records(parsed)
-    flagged = dedup_ttl(valid, cfg.dedup, tie_break, cfg.skew)
     if store:
-        flagged = materialize(flagged)
+        parsed = store_table(parsed)
+    flagged = dedup_ttl(parsing.valid_records(parsed), cfg.dedup, tie_break, cfg.skew)
+    if store:
+        flagged = store_table(flagged)
     records = accepted(flagged)
 
     # A window belongs to one series, so without a hot series there is no hot window, and
     # one count answers for the detector as well.
     skew = cfg.skew
-    if skew.mode == "auto" and split_hot(records.select(*KEYS), KEYS, skew.max_group_rows, skew)[1] is None:
+    series = records.select(*KEYS)
+    if skew.mode == "auto" and split_hot(series, KEYS, skew.max_group_rows, skew).hot is None:
         skew = replace(skew, mode="off")
     record_alerts = detect.record_alerts(records, cfg.detect, skew=skew)
     windows = window_stats(records, cfg.windows, as_of, skew)

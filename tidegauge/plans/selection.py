@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SkewConfig
-from .skew import SLICE, ordered_slices
+from .skew import SLICE, ordered_slices, store_table
 
 
 def selected_percentiles(
@@ -18,8 +18,10 @@ def selected_percentiles(
     the sort order, slice totals give each slice its first rank, and only the slices that
     hold a wanted rank are looked into.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("__n")
+    counted = store_table(
+        df.filter(F.col(value).isNotNull())
+        .groupBy(*keys, value)
+        .agg(F.count(F.lit(1)).alias("__n"))
     )
     rows = ordered_slices(counted, keys, [value], skew.rows_per_slice)
     group = Window.partitionBy(*keys)

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +23,28 @@ from ..config import SkewConfig
 SLICE = "__slice"
 
 
+class HotSplit(NamedTuple):
+    """Rows of ordinary groups, rows of hot groups (either may be absent) and their count."""
+
+    ordinary: DataFrame | None
+    hot: DataFrame | None
+    hot_rows: int | None = None
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder."""
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def store_table(df: DataFrame) -> DataFrame:
+    """As ``materialize`` for large tables that are read more than once: as Parquet, so that
+    each reader scans only the columns and rows it needs."""
+    path = f"{use_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def use_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -50,40 +68,46 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def split_hot(
-    df: DataFrame, keys: list[str], max_rows: int, skew: SkewConfig
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """(rows of ordinary groups, rows of hot groups); either part may be None.
+def split_hot(df: DataFrame, keys: list[str], max_rows: int, skew: SkewConfig) -> HotSplit:
+    """Tell the rows of hot groups from the rest.
 
     A hot group holds more than ``max_rows`` rows, so there are at most rows / max_rows
     of them. That list is broadcast only while its counted size is small; beyond that
-    the joins shuffle.
+    the joins shuffle. Without a hot group, the usual case, this costs one scan of the key
+    columns with a count that is combined before its shuffle.
     """
     if skew.mode == "off":
-        return df, None
+        return HotSplit(df, None)
     if skew.mode == "on":
-        return None, df
-    hot = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > max_rows)
-    ).drop("__n")
+        return HotSplit(None, df)
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > max_rows)
     if hot.isEmpty():
-        return df, None
+        return HotSplit(df, None)
     hot = materialize(hot)
-    count = hot.count()
-    if count <= skew.broadcast_rows:
+    groups, rows = hot.agg(F.count(F.lit(1)), F.sum("__n")).first()
+    hot = hot.drop("__n")
+    if groups <= skew.broadcast_rows:
         hot = F.broadcast(hot)
     on = null_safe(df, hot, keys)
-    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
+    return HotSplit(df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi"), rows)
+
+
+def union_parts(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def ordered_slices(
-    df: DataFrame, keys: list[str], order: list[str], rows_per_slice: int
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    rows_per_slice: int,
+    total: int | None = None,
 ) -> DataFrame:
     """Rows with a slice number that grows with (keys, order).
 
     The range partitioning samples its bounds, so the numbering is stored once and every
-    later reader sees the same slices, also after lost executors.
+    later reader sees the same slices, also after lost executors. ``total`` saves the count.
     """
-    slices = max(2, math.ceil(df.count() / rows_per_slice))
+    slices = max(2, math.ceil((df.count() if total is None else total) / rows_per_slice))
     ranged = df.repartitionByRange(slices, *keys, *order)
-    return materialize(ranged.withColumn(SLICE, F.spark_partition_id()))
+    return store_table(ranged.withColumn(SLICE, F.spark_partition_id()))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..config import SkewConfig
-from .skew import SLICE, ordered_slices, split_hot
+from .skew import SLICE, ordered_slices, split_hot, union_parts
 
 Measures = Callable[[WindowSpec], dict[str, Column]]
 
@@ -30,18 +30,18 @@ def with_trailing(
     sort order, and each slice is led in by copies of the ``depth`` rows before it, so the
     frame of every row is complete inside its slice.
     """
-    ordinary, hot = split_hot(df, keys, skew.max_group_rows, skew)
+    ordinary, hot, hot_rows = split_hot(df, keys, skew.max_group_rows, skew)
     parts = []
     if ordinary is not None:
         frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-depth, -1)
         parts.append(ordinary.withColumns(measures(frame)))
     if hot is not None:
-        parts.append(_sliced(hot, keys, order, value, depth, measures, skew))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts.append(_sliced(hot, keys, order, value, depth, measures, skew, hot_rows))
+    return union_parts(parts)
 
 
-def _sliced(df, keys, order, value, depth, measures, skew):
-    rows = ordered_slices(df, keys, order, skew.rows_per_slice)
+def _sliced(df, keys, order, value, depth, measures, skew, hot_rows):
+    rows = ordered_slices(df, keys, order, skew.rows_per_slice, hot_rows)
     needed = [*order, value]
 
     # The last `depth` rows of each slice; the group limit runs before the shuffle.
@@ -84,7 +84,7 @@ def with_running_moments(
     The variance of fewer than two rows is 0. Values are shifted by the series mean before
     they are summed, which keeps the sums of squares free of cancellation.
     """
-    ordinary, hot = split_hot(df, keys, skew.max_group_rows, skew)
+    ordinary, hot, hot_rows = split_hot(df, keys, skew.max_group_rows, skew)
     parts = []
     if ordinary is not None:
         frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
@@ -100,12 +100,12 @@ def with_running_moments(
             )
         )
     if hot is not None:
-        parts.append(_sliced_moments(hot, keys, order, value, skew))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts.append(_sliced_moments(hot, keys, order, value, skew, hot_rows))
+    return union_parts(parts)
 
 
-def _sliced_moments(df, keys, order, value, skew):
-    rows = ordered_slices(df, keys, order, skew.rows_per_slice)
+def _sliced_moments(df, keys, order, value, skew, hot_rows):
+    rows = ordered_slices(df, keys, order, skew.rows_per_slice, hot_rows)
     per_slice = rows.groupBy(*keys, SLICE).agg(
         F.count(value).alias("__n"), F.avg(value).alias("__mean"), F.var_pop(value).alias("__var")
     )

@@ -414,7 +414,7 @@ def aggregator_statistics(spark, folder):
 @query
 def aggregator_buffers(spark, folder):
     rows = _readings(spark, folder).filter(F.col("timestamp") <= F.lit(AS_OF).cast("timestamp"))
-    return metrics.buffer_sizes(rows, window_stats(rows, SIX_HOURS, as_of=AS_OF))
+    return metrics.buffer_sizes(rows, window_stats(rows, SIX_HOURS, as_of=AS_OF), SIX_HOURS)
 
 
 @query
