@@ -161,7 +161,7 @@ def test_rounding_matches_exact_decimal_rounding(spark):
     values += [rng.randint(-10**6, 10**6) / 2**14 for _ in range(2000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     for digits in (2, 3, 4):
-        got = [r[0] for r in df.select(round_exact(F.col("v"), digits)).collect()]
+        got = [r[0] for r in df.select(round_exact("v", digits)).collect()]
         assert got == [round(v, digits) for v in values]
 
 

@@ -1,4 +1,7 @@
-"""Column expressions that validate one JSON text; no Python runs per row.
+"""SQL expressions that validate one JSON text; no Python runs per row.
+
+Each function takes SQL operands (column names, or a lambda variable) and gives SQL text, so
+a whole validation reaches the JVM as a few strings.
 
 A reading in the usual shape (texts, a number, an ISO time) costs one typed JSON parse.
 Every other row is parsed again with its JSON types kept; those checks sit behind ``CASE``
@@ -22,7 +25,7 @@ NON_NUMERIC = "Non-numeric value"
 NON_FINITE = "Non-finite value"
 BAD_TIMESTAMP = "Unparseable timestamp"
 
-_JSON_OPTIONS = {"allowSingleQuotes": "false"}
+_STRICT = "map('allowSingleQuotes', 'false')"
 _FIELDS = ", ".join(f"{name} variant" for name in REQUIRED)
 _USUAL_FIELDS = (
     "message_id string, sensor_id string, metric_name string, value double, unit string, "
@@ -47,8 +50,14 @@ _ISO_PARTS = "$1-$2$4-$3$5 $6:$7:$8.$9|$10:$11:$12"
 _EMPTY_PART = "(?<=[ :|])(?=[:.|]|$)"
 _ISO_WEEK = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?$"
 
-_EPOCH_MIN = -62135596800.0  # 0001-01-01
-_EPOCH_MAX = 253402300800.0  # 10000-01-01
+# A whole number of up to 18 digits is a BIGINT, so a DECIMAL of that size had a point.
+_POINTED = r"^DECIMAL\((\d+,[1-9]\d*|\d,0|1[0-8],0)\)$"
+# Texts that may have been JSON booleans, containers or non-integer numbers.
+_RESPELLED = r"(?m)^(true|false|[\[{]|-?[0-9]+[.eE])"
+
+_EPOCH_MIN = -62135596800  # 0001-01-01
+_EPOCH_MAX = 253402300800  # 10000-01-01
+_DAY_MICROS = 86_400_000_000
 
 
 def decode_utf8(value: Column) -> Column:
@@ -56,215 +65,183 @@ def decode_utf8(value: Column) -> Column:
     return F.make_valid_utf8(value.cast("binary").cast("string"))
 
 
-def parse_usual(raw: Column) -> Column:
-    """The text parsed with the usual types, as the only element of an array.
-
-    Fields of another type come back NULL. The wrapper rejects trailing text.
-    """
-    as_array = F.concat(F.lit("["), raw, F.lit("]"))
-    return F.from_json(as_array, f"array<struct<{_USUAL_FIELDS}>>", _JSON_OPTIONS)
-
+def _as_array(raw: str, schema: str) -> str:
+    """Parsed as the only element of an array, which rejects trailing text."""
+    return f"from_json(concat('[', {raw}, ']'), '{schema}', {_STRICT})"
 
-def is_usual(row: Column, time: Column) -> Column:
-    """Whether the usual-type parse gives the exact outcome.
 
-    Texts that may have been JSON booleans, containers or non-integer numbers are left to
-    the exact parse, since they are spelled differently.
-    """
-    texts = [row[name] for name in ("message_id", "sensor_id", "metric_name", "unit")]
-    present = row["value"].isNotNull() & time.isNotNull()
-    for text in texts:
-        present = present & text.isNotNull()
-    plain = ~F.concat_ws("\n", *texts).rlike(r"(?m)^(true|false|[\[{]|-?[0-9]+[.eE])")
-    return F.coalesce(present & is_finite(row["value"]) & plain, F.lit(False))
+def _as_field(raw: str) -> str:
+    """Whether the text also holds as a field of an object."""
+    return f"""(from_json(concat('{{"x":', {raw}, '}}'), 'map<string,string>', {_STRICT}) IS NOT NULL)"""
 
 
-def usual_timestamp(text: Column) -> Column:
-    return F.when(text.rlike(_ISO_COMMON), _zoned_timestamp(text))
+def parse_usual(raw: str) -> str:
+    """With the usual types; fields of another type come back NULL."""
+    return _as_array(raw, f"array<struct<{_USUAL_FIELDS}>>")
 
 
-def parse_wrapped(raw: Column) -> Column:
-    """As ``parse_usual``, with the JSON types of the fields kept."""
-    as_array = F.concat(F.lit("["), raw, F.lit("]"))
-    return F.from_json(as_array, f"array<struct<{_FIELDS}, tags variant>>", _JSON_OPTIONS)
+def parse_wrapped(raw: str) -> str:
+    """With the JSON types of the fields kept."""
+    return _as_array(raw, f"array<struct<{_FIELDS}, tags variant>>")
 
 
-def single_object(parsed: Column, raw: Column) -> Column:
-    """The one object of ``parse_wrapped``, else NULL.
+def single_object(parsed: str, raw: str) -> str:
+    """The one object of such an array, else NULL.
 
     Only a text holding ``]`` could end the wrapper early, so only those take a second
     check.
     """
-    return F.when((F.size(parsed) == 1) & closed_text(raw), F.get(parsed, F.lit(0)))
-
-
-def tags_of(raw: Column, tags: Column) -> Column:
-    """The tags, by default an empty object.
+    closed = f"CASE WHEN instr({raw}, ']') = 0 THEN true ELSE {_as_field(raw)} END"
+    return f"CASE WHEN size({parsed}) = 1 AND {closed} THEN get({parsed}, 0) END"
 
-    Tags with a repeated key are not a variant; those are read as a map, the last one wins.
-    """
-    pairs = F.from_json(raw, "tags map<string,string>")["tags"]
-    keys = F.array_distinct(F.map_keys(pairs))
 
-    def last_value(key: Column) -> Column:
-        return F.element_at(F.filter(F.map_entries(pairs), lambda e: e["key"] == key), -1)["value"]
+def is_json(raw: str) -> str:
+    """Whether the text is JSON of any kind; evaluated on failing rows only."""
+    one = f"size({_as_array(raw, 'array<string>')}) = 1"
+    return f"coalesce({one} AND {_as_field(raw)} AND length(trim({raw})) > 0, false)"
 
-    repeated = F.to_variant_object(F.map_from_arrays(keys, F.transform(keys, last_value)))
-    return F.coalesce(
-        tags, F.when(F.instr(raw, '"tags"') > 0, repeated), F.parse_json(F.lit("{}"))
-    )
 
+def is_usual(row: str, time: str) -> str:
+    """Whether the usual-type parse gives the exact outcome."""
+    texts = [f"{row}.{name}" for name in ("message_id", "sensor_id", "metric_name", "unit")]
+    present = " AND ".join(f"{x} IS NOT NULL" for x in [f"{row}.value", time, *texts])
+    spelled = f"concat_ws('\\n', {', '.join(texts)}) RLIKE r'{_RESPELLED}'"
+    return f"coalesce({present} AND {is_finite(f'{row}.value')} AND NOT {spelled}, false)"
 
-def closed_text(raw: Column) -> Column:
-    """False where the text closes the array wrapped around it."""
-    as_object = F.concat(F.lit('{"x":'), raw, F.lit("}"))
-    strict = F.from_json(as_object, "map<string,string>", _JSON_OPTIONS).isNotNull()
-    return F.when(F.instr(raw, "]") == 0, F.lit(True)).otherwise(strict)
 
+def missing_fields(fields: str) -> str:
+    """Quoted, sorted names of the absent required fields (a JSON null is present)."""
+    names = ", ".join(
+        f"""CASE WHEN {fields}.{name} IS NULL THEN "'{name}'" END""" for name in sorted(REQUIRED)
+    )
+    return f"concat_ws(', ', {names})"
 
-def is_json(raw: Column) -> Column:
-    """Whether the text is JSON of any kind; evaluated on failing rows only."""
-    as_array = F.concat(F.lit("["), raw, F.lit("]"))
-    as_object = F.concat(F.lit('{"x":'), raw, F.lit("}"))
-    one = F.size(F.from_json(as_array, "array<string>", _JSON_OPTIONS)) == 1
-    strict = F.from_json(as_object, "map<string,string>", _JSON_OPTIONS).isNotNull()
-    return F.coalesce(one & strict & (F.length(F.trim(raw)) > 0), F.lit(False))
 
+def tags_of(raw: str, tags: str) -> str:
+    """The tags, by default an empty object.
 
-def missing_fields(fields: Column) -> Column:
-    """Quoted, sorted names of the absent required fields (a JSON null is present)."""
-    return F.concat_ws(
-        ", ", *[F.when(fields[name].isNull(), F.lit(f"'{name}'")) for name in sorted(REQUIRED)]
-    )
+    Tags with a repeated key are not a variant; those are read as a map, the last one wins.
+    """
+    pairs = f"from_json({raw}, 'tags map<string,string>').tags"
+    keys = f"array_distinct(map_keys({pairs}))"
+    last = f"element_at(filter(map_entries({pairs}), e -> e.key = k), -1).value"
+    repeated = f"to_variant_object(map_from_arrays({keys}, transform({keys}, k -> {last})))"
+    return f"""coalesce({tags}, CASE WHEN instr({raw}, '"tags"') > 0 THEN {repeated} END,
+        parse_json('{{}}'))"""
 
 
-def rarely(value: Column, fn: Callable[[Column], Column]) -> Column:
-    """``fn(value)`` as a lambda, which keeps the code of rare branches out of the generated
+def rarely(value: str, sql: Callable[[str], str]) -> str:
+    """``sql(value)`` as a lambda, which keeps the code of rare branches out of the generated
     method of the stage; a large method is not compiled and slows every row."""
-    return F.get(F.transform(F.array(value), fn), F.lit(0))
+    return f"get(transform(array({value}), x -> {sql('x')}), 0)"
 
 
-def scalar(value: Column) -> Column:
+def scalar(value: str) -> str:
     """A JSON field as struct (kind, text, number), so that each is worked out once."""
-    return F.struct(
-        F.schema_of_variant(value).alias("kind"),
-        F.try_variant_get(value, "$", "string").alias("text"),
-        F.try_variant_get(value, "$", "double").alias("number"),
-    )
+    return f"""named_struct('kind', schema_of_variant({value}),
+        'text', try_variant_get({value}, '$', 'string'),
+        'number', try_variant_get({value}, '$', 'double'))"""
 
 
-def _is_number(kind: Column) -> Column:
-    return kind.isin("BIGINT", "DOUBLE", "BOOLEAN") | kind.startswith("DECIMAL")
+def _is_number(kind: str) -> str:
+    return f"({kind} IN ('BIGINT', 'DOUBLE', 'BOOLEAN') OR {kind} LIKE 'DECIMAL%')"
 
 
-def as_text(value: Column) -> Column:
+def as_text(value: str) -> str:
     """A JSON scalar as text: null is None, booleans are capitalised, floats keep a point."""
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
-    number = F.try_variant_get(value, "$", "double").cast("string")
-    # A whole number of up to 18 digits is a BIGINT, so a DECIMAL of that size had a point.
-    pointed = kind.rlike(r"^DECIMAL\((\d+,[1-9]\d*|\d,0|1[0-8],0)\)$")
-    return (
-        F.when(kind == "STRING", text)
-        .when(kind == "VOID", F.lit("None"))
-        .when(kind == "BOOLEAN", F.initcap(text))
-        .when(pointed, number)
-        .otherwise(text)
-    )
+    text = f"try_variant_get({value}, '$', 'string')"
+    return f"""CASE schema_of_variant({value}) WHEN 'STRING' THEN {text} WHEN 'VOID' THEN 'None'
+        WHEN 'BOOLEAN' THEN initcap({text})
+        ELSE CASE WHEN schema_of_variant({value}) RLIKE r'{_POINTED}'
+            THEN CAST(try_variant_get({value}, '$', 'double') AS STRING) ELSE {text} END END"""
 
 
-def number_text(text: Column) -> Column:
+def number_text(text: str) -> str:
     """A text as a float, NULL where it is not one (so ``12d`` and hex are not)."""
-    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
-    plain = F.regexp_replace(trimmed, "_", "").try_cast("double")
-    sign = F.when(F.substring(trimmed, 1, 1) == "-", F.lit(-1.0)).otherwise(F.lit(1.0))
-    return (
-        F.when(trimmed.rlike(_NUMBER_TEXT), plain)
-        .when(trimmed.rlike(_NAN_TEXT), F.lit(float("nan")))
-        .when(trimmed.rlike(_INFINITY_TEXT), sign * F.lit(float("inf")))
-    )
+    trimmed = f"regexp_replace({text}, r'^\\s+|\\s+$', '')"
+    return f"""CASE WHEN {trimmed} RLIKE r'{_NUMBER_TEXT}'
+            THEN try_cast(replace({trimmed}, '_', '') AS DOUBLE)
+        WHEN {trimmed} RLIKE r'{_NAN_TEXT}' THEN double('NaN')
+        WHEN {trimmed} RLIKE r'{_INFINITY_TEXT}'
+            THEN CASE WHEN {trimmed} LIKE '-%' THEN double('-Infinity') ELSE double('Infinity') END
+        END"""
 
 
-def as_number(field: Column) -> Column:
+def as_number(field: str) -> str:
     """A ``scalar`` as DOUBLE: numbers, numeric texts and booleans; else NULL."""
-    return F.when(_is_number(field["kind"]), field["number"]).when(
-        field["kind"] == "STRING", number_text(field["text"])
-    )
+    return f"""CASE WHEN {_is_number(f'{field}.kind')} THEN {field}.number
+        WHEN {field}.kind = 'STRING' THEN {number_text(f'{field}.text')} END"""
 
 
-def is_finite(number: Column) -> Column:
-    return ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+def is_finite(number: str) -> str:
+    return f"(NOT isnan({number}) AND abs({number}) < double('Infinity'))"
 
 
-def epoch_timestamp(seconds: Column) -> Column:
+def epoch_timestamp(seconds: str) -> str:
     """Epoch seconds (years 1 to 9999) to a UTC timestamp, else NULL."""
-    in_range = (seconds >= _EPOCH_MIN) & (seconds < _EPOCH_MAX) & ~F.isnan(seconds)
-    whole = F.floor(seconds)
-    micros = whole * F.lit(1_000_000) + F.rint((seconds - whole) * 1e6).cast("bigint")
-    return F.when(in_range, F.timestamp_micros(micros))
+    return f"""CASE WHEN {seconds} >= {_EPOCH_MIN} AND {seconds} < {_EPOCH_MAX}
+            AND NOT isnan({seconds})
+        THEN timestamp_micros(floor({seconds}) * 1000000L
+            + CAST(rint(({seconds} - floor({seconds})) * 1e6) AS BIGINT)) END"""
 
 
-def _first_monday(year: Column) -> Column:
+def _first_monday(year: str) -> str:
     """Day number (from 1970-01-01) of the Monday of ISO week 1, the week of January 4."""
-    fourth = F.unix_date(F.make_date(year, F.lit(1), F.lit(4)))
+    fourth = f"unix_date(make_date({year}, 1, 4))"
     # 1970-01-01 was a Thursday, so day number + 3 counts weeks from a Monday.
-    return fourth - F.pmod(fourth + 3, F.lit(7))
+    return f"({fourth} - pmod({fourth} + 3, 7))"
 
 
-def _week_timestamp(text: Column) -> Column:
-    year = F.regexp_extract(text, _ISO_WEEK, 1).try_cast("int")
-    week = F.regexp_extract(text, _ISO_WEEK, 2).try_cast("int")
-    day = F.coalesce(F.regexp_extract(text, _ISO_WEEK, 3).try_cast("int"), F.lit(1))
-    monday = _first_monday(year) + (week - 1) * 7
-    exists = (week >= 1) & (monday < _first_monday(year + 1))
-    return F.when(
-        exists, F.timestamp_micros((monday + day - 1).cast("bigint") * F.lit(86_400_000_000))
+def _week_timestamp(text: str) -> str:
+    year, week, day = (
+        f"try_cast(regexp_extract({text}, r'{_ISO_WEEK}', {i}) AS INT)" for i in (1, 2, 3)
     )
+    monday = f"({_first_monday(year)} + ({week} - 1) * 7)"
+    return f"""CASE WHEN {text} RLIKE r'{_ISO_WEEK}' AND {week} >= 1
+            AND {monday} < {_first_monday(f'({year} + 1)')}
+        THEN timestamp_micros(CAST({monday} + coalesce({day}, 1) - 1 AS BIGINT) * {_DAY_MICROS}L)
+        END"""
 
 
-def _respelled_timestamp(text: Column) -> Column:
+def _respelled_timestamp(text: str) -> str:
     """Any accepted calendar form: spelled as ``date time.fraction|offset``, empty parts 00."""
-    zulu = F.regexp_replace(text, "Z", "+00:00")
-    parts = F.regexp_replace(
-        F.when(zulu.rlike(_ISO_ANY), F.regexp_replace(zulu, _ISO_ANY, _ISO_PARTS)),
-        _EMPTY_PART,
-        "00",
-    )
-    local = F.try_to_timestamp(F.concat(F.substring_index(parts, "|", 1), F.lit("Z")))
-    offset_text = F.substring_index(parts, "|", -1)
-    offset = F.unix_micros(
-        F.try_to_timestamp(
-            F.concat(F.lit("1970-01-01 "), F.regexp_replace(offset_text, "^[+-]", ""), F.lit("Z"))
-        )
-    )
-    signed = F.when(offset_text.startswith("-"), -offset).otherwise(offset)
-    return F.timestamp_micros(F.unix_micros(local) - signed)
+    zulu = f"replace({text}, 'Z', '+00:00')"
+    parts = f"""regexp_replace(regexp_replace({zulu}, r'{_ISO_ANY}', '{_ISO_PARTS}'),
+        r'{_EMPTY_PART}', '00')"""
+    local = f"try_to_timestamp(concat(substring_index({parts}, '|', 1), 'Z'))"
+    offset_text = f"substring_index({parts}, '|', -1)"
+    offset = f"""unix_micros(try_to_timestamp(
+        concat('1970-01-01 ', regexp_replace({offset_text}, '^[+-]', ''), 'Z')))"""
+    sign = f"CASE WHEN {offset_text} LIKE '-%' THEN -1 ELSE 1 END"
+    return f"""CASE WHEN {zulu} RLIKE r'{_ISO_ANY}'
+        THEN timestamp_micros(unix_micros({local}) - {sign} * {offset}) END"""
+
 
+def _zoned_timestamp(text: str) -> str:
+    has_offset = f"({text} LIKE '%Z' OR substring({text}, -6, 1) IN ('+', '-'))"
+    return f"try_to_timestamp(CASE WHEN {has_offset} THEN {text} ELSE concat({text}, 'Z') END)"
 
-def _zoned_timestamp(text: Column) -> Column:
-    has_offset = text.endswith("Z") | F.substring(text, -6, 1).isin("+", "-")
-    return F.try_to_timestamp(F.when(has_offset, text).otherwise(F.concat(text, F.lit("Z"))))
 
+def usual_timestamp(text: str) -> str:
+    return f"CASE WHEN {text} RLIKE r'{_ISO_COMMON}' THEN {_zoned_timestamp(text)} END"
 
-def iso_timestamp(text: Column) -> Column:
+
+def iso_timestamp(text: str) -> str:
     """ISO-8601 text to a UTC timestamp; text without an offset is UTC; else NULL.
 
     Independent of the session time zone.
     """
-    return F.when(text.rlike(_ISO_COMMON), _zoned_timestamp(text)).otherwise(
-        F.coalesce(_respelled_timestamp(text), _week_timestamp(text))
-    )
+    return f"""CASE WHEN {text} RLIKE r'{_ISO_COMMON}' THEN {_zoned_timestamp(text)}
+        ELSE coalesce({_respelled_timestamp(text)}, {_week_timestamp(text)}) END"""
 
 
-def as_timestamp(field: Column) -> Column:
+def as_timestamp(field: str) -> str:
     """A ``scalar`` as a timestamp: numbers are epoch seconds, texts are ISO-8601."""
-    return F.when(field["kind"] == "STRING", iso_timestamp(field["text"])).when(
-        _is_number(field["kind"]), epoch_timestamp(field["number"])
-    )
+    return f"""CASE WHEN {field}.kind = 'STRING' THEN {iso_timestamp(f'{field}.text')}
+        WHEN {_is_number(f'{field}.kind')} THEN {epoch_timestamp(f'{field}.number')} END"""
 
 
-def quoted(field: Column, value: Column) -> Column:
+def quoted(field: str, value: str) -> str:
     """A field for a reason text: strings in single quotes."""
-    return F.when(
-        field["kind"] == "STRING", F.concat(F.lit("'"), field["text"], F.lit("'"))
-    ).otherwise(as_text(value))
+    return f"""CASE WHEN {field}.kind = 'STRING' THEN concat("'", {field}.text, "'")
+        ELSE {as_text(value)} END"""

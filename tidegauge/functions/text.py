@@ -20,34 +20,34 @@ def window_key(sensor_id: Column, metric_name: Column) -> Column:
     return F.concat_ws("::", sensor_id, metric_name)
 
 
-def round_exact(value: Column, digits: int) -> Column:
-    """Round the exact binary value, ties to even, as correctly rounded decimal text does.
+def exact_sql(value: str, digits: int) -> str:
+    """SQL that rounds the exact binary value, ties to even, as correctly rounded decimal
+    text does.
 
     The built-in functions round the shortest decimal spelling instead, which differs where
     that spelling ends in a 5. Here the scaled fraction is carried with its rounding error
     (the product of two halves of the mantissa), so its distance from one half is exact.
+    Each ``transform`` names an intermediate value.
     """
     scale = float(10**digits)
-    size = F.abs(value)
-    whole = F.floor(size).cast("double")
-    part = size - whole
-    scaled = part * scale
-    upper = part * 134217729.0 - (part * 134217729.0 - part)
-    error = (upper * scale - scaled) + (part - upper) * scale
-    steps = F.floor(scaled).cast("double")
-    beyond = (scaled - steps) - 0.5
-    odd = F.pmod(steps, F.lit(2.0)) == 1.0
-    up = (beyond > 0) | ((beyond == 0) & ((error > 0) | ((error == 0) & odd)))
-    rounded = F.signum(value) * (whole * scale + steps + F.when(up, 1.0).otherwise(0.0)) / scale
-    return F.when(size < 1e11, rounded).otherwise(F.bround(value, digits))
-
-
-def round_stat(value: Column, digits: int = STAT_DIGITS) -> Column:
-    return round_exact(value, digits)
+    upper = "(part * 134217729D - (part * 134217729D - part))"
+    error = f"({upper} * {scale}D - scaled) + (part - {upper}) * {scale}D"
+    beyond = "(scaled - floor(scaled)) - 0.5D"
+    up = f"""CASE WHEN {beyond} > 0 OR ({beyond} = 0 AND ({error} > 0
+        OR ({error} = 0 AND pmod(floor(scaled), 2) = 1))) THEN 1 ELSE 0 END"""
+    steps = f"get(transform(array(part * {scale}D), scaled -> double(floor(scaled) + {up})), 0)"
+    size = f"""get(transform(array(abs(v) - floor(abs(v))),
+        part -> (floor(abs(v)) * {scale}D + {steps}) / {scale}D), 0)"""
+    return f"""get(transform(array({value}), v -> CASE WHEN abs(v) < 1e11D
+        THEN signum(v) * {size} ELSE bround(v, {digits}) END), 0)"""
+
+
+def round_exact(value: str, digits: int) -> Column:
+    """``exact_sql`` of a column or SQL expression."""
+    return F.expr(exact_sql(value, digits))
 
 
-def fixed(value: Column, digits: int) -> Column:
-    """For %.Nf formats, which would otherwise round the decimal spelling."""
+def round_stat(value: str, digits: int = STAT_DIGITS) -> Column:
     return round_exact(value, digits)
 
 
@@ -55,14 +55,15 @@ def age_seconds(timestamp: Column, now: Column) -> Column:
     return (F.unix_micros(now) - F.unix_micros(timestamp)) / F.lit(1e6)
 
 
-def record_message(value: Column, z: Column, mean: Column, std: Column) -> Column:
-    return F.format_string(
-        RECORD_MESSAGE, fixed(value, 4), fixed(z, 2), fixed(mean, 4), fixed(std, 4)
-    )
+def record_message(value: str, z: str, mean: str, std: str) -> Column:
+    """%.Nf formats round the decimal spelling, so their operands are rounded beforehand."""
+    operands = ", ".join(exact_sql(x, d) for x, d in ((value, 4), (z, 2), (mean, 4), (std, 4)))
+    return F.expr(f"format_string('{RECORD_MESSAGE}', {operands})")
 
 
-def window_message(window_mean: Column, z: Column, n: Column, mean: Column) -> Column:
-    return F.format_string(WINDOW_MESSAGE, fixed(window_mean, 4), fixed(z, 2), n, fixed(mean, 4))
+def window_message(window_mean: str, z: str, n: str, mean: str) -> Column:
+    operands = f"{exact_sql(window_mean, 4)}, {exact_sql(z, 2)}, {n}, {exact_sql(mean, 4)}"
+    return F.expr(f"format_string('{WINDOW_MESSAGE}', {operands})")
 
 
 def iso_text(timestamp: Column) -> Column:
@@ -80,7 +81,7 @@ def clock_text(timestamp: Column) -> Column:
 def alert_line() -> Column:
     """One alert row as a line; a missing z is shown as n/a."""
     z = F.when(F.col("zscore").isNull(), F.lit("n/a")).otherwise(
-        F.format_string("%.2f", fixed(F.coalesce("zscore", F.lit(0.0)), 2))
+        F.format_string("%.2f", round_exact("coalesce(zscore, 0D)", 2))
     )
     value = F.coalesce(F.col("observed_value").cast("string"), F.lit("None"))
     return F.format_string(
@@ -100,8 +101,8 @@ def window_line() -> Column:
         WINDOW_LINE,
         window_key(F.col("sensor_id"), F.col("metric_name")),
         "sample_count",
-        fixed(F.col("mean"), 4),
-        fixed(F.col("p95"), 4),
+        round_exact("mean", 4),
+        round_exact("p95", 4),
         clock_text(F.col("window_start")),
         clock_text(F.col("window_end")),
     )

@@ -94,12 +94,10 @@ def record_alert_columns(cfg: DetectConfig) -> list[Column]:
         F.lit(RECORD_ALERT).alias("anomaly_type"),
         F.col("timestamp").alias("detected_at"),
         F.col("value").alias("observed_value"),
-        round_stat(F.col("baseline_mean")).alias("baseline_mean"),
-        round_stat(F.col("baseline_std")).alias("baseline_std"),
-        round_stat(z, Z_DIGITS).alias("zscore"),
-        record_message(F.col("value"), z, F.col("baseline_mean"), F.col("baseline_std")).alias(
-            "message"
-        ),
+        round_stat("baseline_mean").alias("baseline_mean"),
+        round_stat("baseline_std").alias("baseline_std"),
+        round_stat("z", Z_DIGITS).alias("zscore"),
+        record_message("value", "z", "baseline_mean", "baseline_std").alias("message"),
         severity(z, cfg.z_threshold, cfg.record_critical_factor).alias("severity"),
     ]
 
@@ -112,12 +110,10 @@ def window_alert_columns(cfg: DetectConfig) -> list[Column]:
         F.lit(WINDOW_ALERT).alias("anomaly_type"),
         F.col("window_end").alias("detected_at"),
         F.col("mean").alias("observed_value"),
-        round_stat(F.col("baseline_mean")).alias("baseline_mean"),
-        round_stat(F.col("baseline_std")).alias("baseline_std"),
-        round_stat(z, Z_DIGITS).alias("zscore"),
-        window_message(F.col("mean"), z, F.col("baseline_n"), F.col("baseline_mean")).alias(
-            "message"
-        ),
+        round_stat("baseline_mean").alias("baseline_mean"),
+        round_stat("baseline_std").alias("baseline_std"),
+        round_stat("z", Z_DIGITS).alias("zscore"),
+        window_message("mean", "z", "baseline_n", "baseline_mean").alias("message"),
         severity(z, cfg.z_threshold, cfg.window_critical_factor).alias("severity"),
     ]
 

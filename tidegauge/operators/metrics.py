@@ -14,9 +14,8 @@ from ..schema import KEYS
 from .windows import assign_windows
 
 
-def percent(part: Column, whole: Column) -> Column:
-    share = F.lit(100.0) * part / F.greatest(whole, F.lit(1).cast("bigint"))
-    return round_exact(share, PERCENT_DIGITS)
+def percent(part: str, whole: str) -> Column:
+    return round_exact(f"100D * {part} / greatest({whole}, 1L)", PERCENT_DIGITS)
 
 
 def dedup_stats(
@@ -37,7 +36,7 @@ def dedup_stats(
     return flagged.agg(
         seen.alias("total_seen"),
         dupes.alias("total_dupes"),
-        percent(dupes, seen).alias("dupe_rate_pct"),
+        percent("count_if(is_duplicate)", "count(1)").alias("dupe_rate_pct"),
         F.count_if(live).alias("cache_size"),
     )
 
@@ -115,7 +114,7 @@ def run_counters(parsed: DataFrame, flagged: DataFrame, alerts: DataFrame) -> Da
     counts = one_row(gate, dedup, _count(alerts, "alerts"))
     return counts.withColumns(
         {
-            "malformed_pct": percent(F.col("malformed"), F.col("received")),
-            "dupes_pct": percent(F.col("dupes"), F.col("received")),
+            "malformed_pct": percent("malformed", "received"),
+            "dupes_pct": percent("dupes", "received"),
         }
     )

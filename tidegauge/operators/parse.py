@@ -7,6 +7,51 @@ from pyspark.sql import functions as F
 
 from ..functions import parsing as P
 
+_CODE = f"""CASE WHEN __usual THEN NULL
+    WHEN __fields IS NULL THEN CASE WHEN {P.is_json('__raw')} THEN 'NOT_OBJECT'
+        ELSE 'JSON_PARSE' END
+    WHEN __missing <> '' THEN 'MISSING_FIELDS'
+    WHEN __value IS NULL THEN 'NON_NUMERIC'
+    WHEN NOT {P.is_finite('__value')} THEN 'NON_FINITE'
+    WHEN __time IS NULL THEN 'BAD_TIMESTAMP' END"""
+
+_REASON = f"""CASE reason_code
+    WHEN 'JSON_PARSE' THEN '{P.JSON_PARSE}: malformed text'
+    WHEN 'NOT_OBJECT' THEN '{P.NOT_OBJECT}'
+    WHEN 'MISSING_FIELDS' THEN concat('{P.MISSING_FIELDS}: {{', __missing, '}}')
+    WHEN 'NON_NUMERIC' THEN
+        concat('{P.NON_NUMERIC}: ', {P.quoted('__number_field', '__fields.value')})
+    WHEN 'NON_FINITE' THEN concat('{P.NON_FINITE}: ',
+        CASE WHEN isnan(__value) THEN 'nan' WHEN __value > 0 THEN 'inf' ELSE '-inf' END)
+    WHEN 'BAD_TIMESTAMP' THEN
+        concat('{P.BAD_TIMESTAMP}: ', {P.quoted('__time_field', '__fields.timestamp')}) END"""
+
+_TAGS = P.tags_of("__raw", "CASE WHEN __usual THEN __row.tags ELSE __fields.tags END")
+
+# One projection per step, so that nothing costly is worked out twice.
+_STEPS = [
+    {"__first": P.parse_usual("__raw")},
+    {"__row": P.single_object("__first", "__raw")},
+    {"__row_time": P.usual_timestamp("__row.timestamp")},
+    {"__usual": P.is_usual("__row", "__row_time")},
+    {"__parsed": f"CASE WHEN NOT __usual THEN {P.parse_wrapped('__raw')} END"},
+    {"__fields": P.single_object("__parsed", "__raw")},
+    {
+        "__missing": P.missing_fields("__fields"),
+        "__number_field": P.scalar("__fields.value"),
+        "__time_field": P.scalar("__fields.timestamp"),
+    },
+    {
+        "__value": f"CASE WHEN __usual THEN __row.value "
+        f"ELSE {P.rarely('__number_field', P.as_number)} END",
+        "__time": f"CASE WHEN __usual THEN __row_time "
+        f"ELSE {P.rarely('__time_field', P.as_timestamp)} END",
+    },
+]
+_CHECKED = ["__usual", "__row", "__fields", "__missing", "__number_field", "__time_field"]
+_CHECKED += ["__value", "__time"]
+
+
 def parse(df: DataFrame, raw: str = "raw", received_at: Column | None = None) -> DataFrame:
     """Add the record columns, ``reason``, ``reason_code`` and ``received_at``.
 
@@ -18,98 +63,39 @@ def parse(df: DataFrame, raw: str = "raw", received_at: Column | None = None) ->
     if received_at is None:
         received_at = F.col("timestamp") if "timestamp" in df.columns else F.current_timestamp()
     kept = [c for c in df.columns if c not in (raw, "timestamp", "value", "received_at")]
-    text = F.col(raw)
-    raw_text = F.col("__raw")
-    fields, valid_value, valid_time = F.col("__fields"), F.col("__value"), F.col("__time")
-    number, time = F.col("__number_field"), F.col("__time_field")
-    row, row_time, usual = F.col("__row"), F.col("__row_time"), F.col("__usual")
-
-    # One projection per step, so that nothing costly is worked out twice.
-    step = df.select(*kept, text.alias("__raw"), received_at.alias("received_at"))
-    step = step.withColumn("__first", P.parse_usual(raw_text))
-    step = step.withColumn("__row", P.single_object(F.col("__first"), raw_text)).drop("__first")
-    step = step.withColumn("__row_time", P.usual_timestamp(row["timestamp"]))
-    step = step.withColumn("__usual", P.is_usual(row, row_time))
-    step = step.withColumn("__parsed", F.when(~usual, P.parse_wrapped(raw_text)))
-    step = step.withColumn("__fields", P.single_object(F.col("__parsed"), raw_text))
-    step = step.withColumns(
-        {
-            "__missing": P.missing_fields(fields),
-            "__number_field": P.scalar(fields["value"]),
-            "__time_field": P.scalar(fields["timestamp"]),
-        }
-    )
-    step = step.withColumns(
-        {
-            "__value": F.when(usual, row["value"]).otherwise(P.rarely(number, P.as_number)),
-            "__time": F.when(usual, row_time).otherwise(P.rarely(time, P.as_timestamp)),
-        }
-    )
-    code = (
-        F.when(usual, F.lit(None).cast("string"))
-        .when(
-            fields.isNull(),
-            F.when(P.is_json(raw_text), F.lit("NOT_OBJECT")).otherwise(F.lit("JSON_PARSE")),
-        )
-        .when(F.col("__missing") != "", F.lit("MISSING_FIELDS"))
-        .when(valid_value.isNull(), F.lit("NON_NUMERIC"))
-        .when(~P.is_finite(valid_value), F.lit("NON_FINITE"))
-        .when(valid_time.isNull(), F.lit("BAD_TIMESTAMP"))
-    )
+    step = df.select(*kept, F.col(raw).alias("__raw"), received_at.alias("received_at"))
+    for columns in _STEPS:
+        step = step.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
     # A one-element explode: filters on the outcome stay above it, so the optimizer does
     # not copy the JSON parse into them.
-    names = ["__usual", "__row", "__fields", "__missing", "__number_field", "__time_field"]
-    names += ["__value", "__time"]
-    checked = F.struct(*names, code.alias("reason_code"))
-    step = step.select(
-        *kept, "__raw", "received_at", F.explode(F.array(checked)).alias("__checked")
-    ).select(*kept, "__raw", "received_at", "__checked.*")
-    number_name = (
-        F.when(F.isnan(valid_value), F.lit("nan"))
-        .when(valid_value > 0, F.lit("inf"))
-        .otherwise(F.lit("-inf"))
-    )
-    failed = F.col("reason_code")
-    reason = (
-        F.when(failed == "JSON_PARSE", F.lit(f"{P.JSON_PARSE}: malformed text"))
-        .when(failed == "NOT_OBJECT", F.lit(P.NOT_OBJECT))
-        .when(
-            failed == "MISSING_FIELDS",
-            F.concat(F.lit(f"{P.MISSING_FIELDS}: {{"), "__missing", F.lit("}")),
-        )
-        .when(
-            failed == "NON_NUMERIC",
-            F.concat(F.lit(f"{P.NON_NUMERIC}: "), P.quoted(number, fields["value"])),
-        )
-        .when(failed == "NON_FINITE", F.concat(F.lit(f"{P.NON_FINITE}: "), number_name))
-        .when(
-            failed == "BAD_TIMESTAMP",
-            F.concat(F.lit(f"{P.BAD_TIMESTAMP}: "), P.quoted(time, fields["timestamp"])),
-        )
-    )
-    valid = failed.isNull()
-
-    def when_valid(column: Column) -> Column:
-        return F.when(valid, column)
+    fields = ", ".join(f"'{name}', {name}" for name in _CHECKED)
+    checked = f"explode(array(named_struct({fields}, 'reason_code', {_CODE}))) AS __checked"
+    names = [f"`{c}`" for c in kept]
+    step = step.selectExpr(*names, "__raw", "received_at", checked)
+    step = step.selectExpr(*names, "__raw", "received_at", "__checked.*")
 
-    def text_of(name: str) -> Column:
-        return F.when(usual, row[name]).otherwise(P.rarely(fields[name], P.as_text))
+    def text_of(name: str) -> str:
+        exact = P.rarely(f"__fields.{name}", P.as_text)
+        return f"CASE WHEN __usual THEN __row.{name} ELSE {exact} END"
 
-    tags = P.tags_of(raw_text, F.when(usual, row["tags"]).otherwise(fields["tags"]))
-    return step.select(
-        *kept,
-        F.col("__raw").alias("raw"),
+    outputs = {
+        name: text_of(name) for name in ("message_id", "sensor_id", "metric_name", "unit")
+    } | {
+        "value": "__value",
+        "timestamp": "__time",
+        "tags": _TAGS,
+        "tags_map": f"try_variant_get({_TAGS}, '$', 'map<string,string>')",
+    }
+    return step.selectExpr(
+        *names,
+        "__raw AS raw",
         "received_at",
-        reason.alias("reason"),
+        f"{_REASON} AS reason",
         "reason_code",
         *[
-            when_valid(text_of(name)).alias(name)
-            for name in ("message_id", "sensor_id", "metric_name", "unit")
+            f"CASE WHEN reason_code IS NULL THEN {sql} END AS {name}"
+            for name, sql in outputs.items()
         ],
-        when_valid(valid_value).alias("value"),
-        when_valid(valid_time).alias("timestamp"),
-        when_valid(tags).alias("tags"),
-        when_valid(F.try_variant_get(tags, "$", "map<string,string>")).alias("tags_map"),
     )
 
 

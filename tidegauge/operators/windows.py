@@ -136,7 +136,7 @@ def closed_windows(
 
 def rounded(stats: DataFrame) -> DataFrame:
     """Statistics as shown to people: half-even, four digits."""
-    return stats.withColumns({name: round_stat(F.col(name)) for name in STATS})
+    return stats.withColumns({name: round_stat(name) for name in STATS})
 
 
 def series_stats(df: DataFrame) -> DataFrame:
