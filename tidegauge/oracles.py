@@ -348,6 +348,7 @@ FROM past LEFT JOIN ends USING (sensor_id, metric_name) GROUP BY 1"""
         "SELECT DISTINCT CAST(user_id AS VARCHAR) AS message_id FROM events"
     )
     sql["stream_zscore_baseline"] = sql["zscore_baseline"]
+    sql["stream_zscore_by_trigger"] = sql["zscore_baseline"]
     sql["stream_window_stats"] = (
         _with(_tel(), _windows(_DAY), closed.format(source="tel"))
         + f"SELECT {_WINDOW_COLUMNS} FROM closed"

@@ -28,6 +28,7 @@ from .schema import KEYS, ORDER
 from .sources.sinks import parquet_sink
 from .sources.views import raw_messages, readings, table
 from .streaming import operators as streaming
+from .streaming.batchwise import score_by_trigger
 from .streaming.run import start_streams
 
 SIX_HOURS = WindowConfig(window_seconds=6 * 3600)
@@ -459,8 +460,7 @@ def end_to_end_counters(spark, folder):
 
 def _event_stream(spark, folder):
     schema = table(spark, folder, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(folder)
+    return spark.readStream.schema(schema).parquet(f"{folder}/events.parquet")
 
 
 def _stream_folder(spark):
@@ -501,6 +501,17 @@ def stream_zscore_baseline(spark, folder):
     return _scored(_drain(streaming.score_records(readings(_event_stream(spark, folder)))))
 
 
+@query
+def stream_zscore_by_trigger(spark, folder):
+    """The same scores by the batch operator, with every series treated as hot."""
+    out = _stream_folder(spark)
+    rows = readings(_event_stream(spark, folder))
+    now = {"availableNow": True}
+    run = score_by_trigger(rows, out, parquet_sink(f"{out}/scored"), skew=FORCED, trigger=now)
+    run.awaitTermination()
+    return _scored(spark.read.parquet(f"{out}/scored"))
+
+
 @query
 def stream_window_stats(spark, folder):
     rows = streaming.watermarked(readings(_event_stream(spark, folder)))

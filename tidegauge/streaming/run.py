@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..config import EngineConfig
+from ..operators.detect import is_record_anomaly, record_alert_columns
 from ..operators.parse import dead_letters, parse, valid_records
 from ..schema import WINDOW
 from ..sources.sinks import BatchHook, parquet_sink, print_alerts, print_windows
 from . import operators as ops
+from .batchwise import score_by_trigger
 
 COUNTS = ["received", "malformed", "dupes", "processed", "alerts"]
 
@@ -145,24 +147,37 @@ def detect_stream(
     on_window_alert: BatchHook | None = None,
     order: list[str] | None = None,
     trigger: dict | None = None,
+    hot_series: bool = False,
 ) -> list[StreamingQuery]:
     """Two queries: reading alerts; closed windows with their spike alerts, which are handed
-    over before the windows.
+    over before the windows. ``hot_series`` scores readings with the batch operator, which
+    spreads a series that holds much of a trigger over many tasks; its alerts are not in the
+    counters.
 
     Each query numbers its triggers from 0, so a hook that writes by trigger number needs one
     place per kind of alert: give ``on_window_alert`` as well (by default it is ``on_alert``).
     """
     on_spike = on_window_alert or on_alert
     trigger = trigger or {"processingTime": f"{cfg.flush_interval_seconds} seconds"}
-    count = F.count(F.lit(1)).alias("alerts")
-    alerts = ops.record_alerts(records, cfg.detect, order).observe("record_alerts", count)
-    by_record = (
-        alerts.writeStream.queryName("record_alerts")
-        .foreachBatch(on_alert)
-        .option("checkpointLocation", f"{folder}/checkpoints/record_alerts")
-        .trigger(**trigger)
-        .start()
-    )
+    if hot_series:
+
+        def publish_scored(scored: DataFrame, batch_id: int) -> None:
+            anomalies = scored.filter(is_record_anomaly(cfg.detect))
+            on_alert(anomalies.select(*record_alert_columns(cfg.detect)), batch_id)
+
+        by_record = score_by_trigger(
+            records, folder, publish_scored, cfg.detect, order, cfg.skew, trigger, "record_alerts"
+        )
+    else:
+        count = F.count(F.lit(1)).alias("alerts")
+        alerts = ops.record_alerts(records, cfg.detect, order).observe("record_alerts", count)
+        by_record = (
+            alerts.writeStream.queryName("record_alerts")
+            .foreachBatch(on_alert)
+            .option("checkpointLocation", f"{folder}/checkpoints/record_alerts")
+            .trigger(**trigger)
+            .start()
+        )
 
     timed = ops.watermarked(records, cfg.watermark_delay_seconds)
     scored = ops.score_windows(ops.window_stats(timed, cfg.windows), cfg.detect).observe(
@@ -196,6 +211,7 @@ def start_streams(
     on_dead_letter: BatchHook | None = None,
     tie_break: list[str] | None = None,
     trigger: dict | None = None,
+    hot_series: bool = False,
 ) -> Streams:
     """Start everything on a streaming table of raw messages.
 
@@ -216,6 +232,13 @@ def start_streams(
     schema = valid.schema.add("is_duplicate", "boolean")
     records = accepted_stream(spark, folder, schema)
     queries += detect_stream(
-        records, folder, cfg, on_alert, on_window, on_window_alert, trigger=trigger
+        records,
+        folder,
+        cfg,
+        on_alert,
+        on_window,
+        on_window_alert,
+        trigger=trigger,
+        hot_series=hot_series,
     )
     return Streams(queries, counters, spark)
