@@ -134,7 +134,7 @@ def _by_chain(df: DataFrame, ttl: int, ties: list[str]) -> DataFrame:
         df.withColumn("__t", _micros()).withColumn("__row", F.monotonically_increasing_id())
     )
     earliest = F.min(F.struct(*[F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)], "__row"))
-    points = numbered.groupBy(ID, "__t").agg(earliest.alias("__first"))
+    points = store_table(numbered.groupBy(ID, "__t").agg(earliest.alias("__first")))
     chain = accepted_chain(points.select(ID, "__t"), ID, "__t", ttl)
     winners = (
         points.alias("p")

@@ -460,7 +460,8 @@ def end_to_end_counters(spark, folder):
 
 def _event_stream(spark, folder):
     schema = table(spark, folder, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/events.parquet")
+    # A pattern, since a stream reads a single file only through one; it fits a folder as well.
+    return spark.readStream.schema(schema).parquet(f"{folder}/{{events}}.parquet")
 
 
 def _stream_folder(spark):
