@@ -233,6 +233,27 @@ def test_whole_stream_equals_batch_and_restarts(spark, tmp_path, hot_series):
     assert hot_series or sum(t["alerts"] for t in totals) >= 1
 
 
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "state")
+    totals = []
+    for seconds in ([0, 500], [1000, 100], [1500]):  # 100 comes after the watermark has passed 500
+        lines = [
+            f'{{"message_id":"m{s}","sensor_id":"s","metric_name":"p","value":1,"unit":"u",'
+            f'"timestamp":"{at(s).isoformat()}"}}'
+            for s in seconds
+        ]
+        spark.createDataFrame([(t,) for t in lines], "raw string").coalesce(1).write.mode("append").text(source)
+        raw = open_source(spark, "text", source, streaming=True)
+        streams = start_streams(raw, folder, trigger={"availableNow": True})  # printing sinks
+        streams.wait(120)
+        time.sleep(1)
+        totals.append(streams.counters.totals())
+        streams.stop()
+    assert sum(t["received"] for t in totals) == 5
+    assert sum(t["processed"] for t in totals) == 4
+    assert sum(t["late"] for t in totals) == 1
+
+
 def test_stop_and_file_sources(spark, tmp_path):
     lines = [text for _, text in raw_rows(30)]
     (tmp_path / "in").mkdir()

@@ -30,8 +30,7 @@ def dedup_stats(
     else:
         at = F.lit(now).cast("timestamp")
     age = F.unix_micros(at) - F.unix_micros("timestamp")
-    # An accepted id is accepted again only after its time-to-live has passed, so at most
-    # one accepted row per id is live, unless two lie exactly within the bounds of it.
+    # Accepted rows of an id lie more than a time-to-live apart, so this counts ids.
     live = ~F.col("is_duplicate") & (age >= 0) & (age <= cfg.ttl_us)
     return flagged.agg(
         seen.alias("total_seen"),

@@ -19,11 +19,14 @@ from ..sources.sinks import BatchHook, parquet_sink, print_alerts, print_windows
 from . import operators as ops
 from .batchwise import score_by_trigger
 
-COUNTS = ["received", "malformed", "dupes", "processed", "alerts"]
+COUNTS = ["received", "malformed", "dupes", "processed", "alerts", "late"]
 
 
 class CounterListener(StreamingQueryListener):
-    """Totals of the observed counters of all queries, per trigger and overall."""
+    """Totals of the observed counters of all queries.
+
+    received = malformed + late + dupes + processed, where late rows were behind the watermark.
+    """
 
     def __init__(self):
         self._lock = threading.Lock()
@@ -38,6 +41,9 @@ class CounterListener(StreamingQueryListener):
             for name, row in progress.observedMetrics.items():
                 # Keyed by trigger, so a replayed trigger is not counted twice.
                 self._seen[(str(progress.id), progress.batchId, name)] = row.asDict()
+            if progress.name == "flagged":
+                late = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+                self._seen[(str(progress.id), progress.batchId, "late")] = {"late": late}
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -138,6 +144,19 @@ def accepted_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
     return rows.filter(~F.col("is_duplicate")).drop("is_duplicate")
 
 
+def _computed(hook: BatchHook) -> BatchHook:
+    """Compute every partition before the hook, which may then look at a few rows or none;
+    otherwise the state of the partitions it leaves out would not be committed."""
+
+    def call(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        batch.count()
+        hook(batch, batch_id)
+        batch.unpersist()
+
+    return call
+
+
 def detect_stream(
     records: DataFrame,
     folder: str,
@@ -173,7 +192,7 @@ def detect_stream(
         alerts = ops.record_alerts(records, cfg.detect, order).observe("record_alerts", count)
         by_record = (
             alerts.writeStream.queryName("record_alerts")
-            .foreachBatch(on_alert)
+            .foreachBatch(_computed(on_alert))
             .option("checkpointLocation", f"{folder}/checkpoints/record_alerts")
             .trigger(**trigger)
             .start()
@@ -186,14 +205,12 @@ def detect_stream(
     names = WINDOW.fieldNames()
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
         on_spike(ops.spikes(batch, cfg.detect), batch_id)
         on_window(batch.select(*names), batch_id)
-        batch.unpersist()
 
     by_window = (
         scored.writeStream.queryName("windows")
-        .foreachBatch(publish)
+        .foreachBatch(_computed(publish))
         .option("checkpointLocation", f"{folder}/checkpoints/windows")
         .trigger(**trigger)
         .start()
