@@ -3,6 +3,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_queries import normalised
+from tidegauge.oracles import all_oracles
+from tidegauge.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["events", "lineitem", "pages"]
@@ -21,10 +23,12 @@ def test_entry(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(queries())
+    assert set(all_oracles()) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, db, name):
     got = queries()[name](spark, FOLDER).toPandas()
     want = db.execute(oracle_sql()[name]).df()
