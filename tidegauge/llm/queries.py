@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, sharding
+from . import chat, html_extract, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -25,6 +25,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, folder, "pages"))
+
+
 @query
 def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
     own = spark.sql(
