@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, html_extract, sharding
+from . import bpe, chat, html_extract, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -40,6 +41,19 @@ def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(given.unionByName(own)))
 
 
+@query
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks, pattern = bpe.tokenizer(spark)
+    encoded = bpe.encode_documents(table(spark, folder, "documents"), ranks, pattern)
+    return bpe.token_digests(bpe.decode_documents(encoded, ranks))
+
+
 @query
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
