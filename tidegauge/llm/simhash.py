@@ -56,7 +56,7 @@ def fingerprint(text: str, shingle: int) -> int:
     totals = np.zeros(64, dtype=np.int64)
     for i in range(0, n, 4096):
         bits = np.unpackbits(hashes[i : i + 4096].view(np.uint8), bitorder="little")
-        totals += bits.reshape(-1, 64).sum(axis=0)
+        totals += bits.reshape(-1, 64).sum(axis=0, dtype=np.int64)
     return int(np.packbits(totals * 2 > n, bitorder="little").view("<u8")[0])
 
 
