@@ -23,6 +23,26 @@ SELECT conv_id, count(*) AS n_turns,
 FROM runs GROUP BY conv_id
 """
 
+# Keys are cut at both ends and lower-cased as in the contract: translate() maps A-Z alone.
+OP10 = r"""
+WITH lines AS (
+  SELECT doc_id, nth, line, translate(
+      regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS nth
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+), frequent AS (
+  SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT l.*, f.key IS NOT NULL AND l.doc_id <> f.last AS gone
+  FROM lines l LEFT JOIN frequent f ON l.key = f.key
+)
+SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_chat": OP2}
+    return {"op2_chat": OP2, "op10_line_dedup": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html_extract, sharding, simhash
+from . import bpe, chat, html_extract, line_dedup, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -57,3 +57,14 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id",
+        "kept.n_lines",
+        "kept.n_dropped",
+        F.sha2(F.col("kept.text").cast("binary"), 256).alias("kept_sha256"),
+    )
