@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html_extract, line_dedup, sharding, simhash
+from . import bpe, chat, decontaminate, html_extract, line_dedup, sharding, simhash, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -41,6 +41,11 @@ def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(given.unionByName(own)))
 
 
+@query
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -54,6 +59,11 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(bpe.decode_documents(encoded, ranks))
 
 
+@query
+def op8_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.compare_with_next(table(spark, folder, "documents"))
+
+
 @query
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
