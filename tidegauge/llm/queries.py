@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_extract, line_dedup, sharding, simhash, winnowing
+from . import bpe, chat, decontaminate, html_extract, line_dedup, pii, sharding, simhash, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -41,6 +41,11 @@ def op2_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(given.unionByName(own)))
 
 
+@query
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_pii(table(spark, folder, "documents"))
+
+
 @query
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
