@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_extract, line_dedup, pii, sharding, simhash, winnowing
+from . import bpe, chat, decontaminate, html_extract, line_dedup, pii, sharding, simhash, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -57,6 +57,12 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score_texts(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
 @query
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = bpe.tokenizer(spark)
