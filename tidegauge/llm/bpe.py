@@ -18,20 +18,21 @@ import hashlib
 import heapq
 import json
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from ..plans.skew import store_table
+from pyspark.sql.pandas.functions import pandas_udf
 
 #: Text of a chunk in code points.
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 8_000_000
 #: Distinct words of all chunks that one task encodes, roughly.
 SHARE_BYTES = 64_000_000
 
@@ -110,36 +111,40 @@ class Splitter:
     """Splits texts into numbered pre-tokens, each distinct one once.
 
     A single space between two other characters always starts a pre-token, so what lies between
-    such spaces is split once per distinct string and looked up afterwards.
+    such spaces, a *piece*, is split once per distinct string and looked up afterwards.
     """
 
     def __init__(self, pattern: str) -> None:
         self.findall = regex.compile(pattern).findall
         self.words: dict[str, int] = {}
-        self.pieces: dict[str, int] = {}
+        self.bare: dict[str, int] = {}
+        self.spaced: dict[str, int] = {}  # pieces with a space before, which is not in the key
         self.piece_words: list[list[int]] = []
 
-    def _piece(self, piece: str) -> int:
-        number = len(self.pieces)
-        self.pieces[piece] = number
+    def _new(self, known: dict[str, int], key: str, piece: str) -> int:
+        number = known[key] = len(self.piece_words)
         words = self.words
         self.piece_words.append([words.setdefault(w, len(words)) for w in self.findall(piece)])
         return number
 
-    def pieces_of(self, text: str) -> list[int]:
+    def pieces_of(self, text: str) -> np.ndarray:
+        """Numbers of the pieces of a text, in order."""
         if not text:
-            return []
+            return np.zeros(0, np.uint32)
         parts = text.split(" ")
+        bare, spaced, new = self.bare.get, self.spaced.get, self._new
         if "" in parts or not text.isprintable():
-            parts = self._joined(parts)
+            whole = self._joined(parts)
+            found = [new(self.bare, p, p) if (n := bare(p)) is None else n for p in whole]
         else:
-            parts[1:] = [" " + p for p in parts[1:]]
-        known, new = self.pieces.get, self._piece
-        return [new(p) if (n := known(p)) is None else n for p in parts]
+            first = parts.pop(0)
+            found = [new(self.bare, first, first) if (n := bare(first)) is None else n]
+            found += [new(self.spaced, p, " " + p) if (n := spaced(p)) is None else n for p in parts]
+        return np.array(found, dtype=np.uint32)
 
     @staticmethod
     def _joined(parts: list[str]) -> list[str]:
-        """A part that is empty or ends in white space goes together with the next one."""
+        """Pieces with their spaces: a part that is empty or ends in white space goes on with the next."""
         done: list[str] = []
         run: list[str] = []
         for part in parts:
@@ -151,10 +156,23 @@ class Splitter:
         done.append(" ".join(run))
         return done
 
-    def word_numbers(self, pieces: list[int]) -> np.ndarray:
-        """Numbers of the pre-tokens of a text, in order, from those of its pieces."""
-        table = self.piece_words
-        return np.array([w for p in pieces for w in table[p]], dtype=np.uint32)
+    def word_numbers(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pre-tokens of texts given by their pieces, and how many each text has."""
+        lengths = np.array([len(w) for w in self.piece_words], dtype=np.int64)
+        flat = np.array([n for w in self.piece_words for n in w], dtype=np.uint32)
+        pieces = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
+        numbers = spread(flat, np.cumsum(lengths) - lengths, lengths, pieces)
+        ends = np.concatenate([[0], np.cumsum(lengths[pieces])])
+        stops = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        return numbers, np.diff(ends[np.concatenate([[0], stops])])
+
+
+def spread(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The runs ``flat[starts[i] : starts[i] + lengths[i]]`` of all chosen i, one after the other."""
+    n = lengths[chosen]
+    stops = np.cumsum(n)
+    total = int(stops[-1]) if len(stops) else 0
+    return flat[np.repeat(starts[chosen] - (stops - n), n) + np.arange(total)]
 
 
 def _pack(data: bytes) -> bytes:
@@ -192,83 +210,76 @@ def _share(word: bytes, shares: int) -> int:
     return xxhash.xxh3_64_intdigest(word) % shares
 
 
-CHUNK_SCHEMA = (
-    "chunk binary, doc_ids binary, n_words binary, numbers binary,"
-    " words array<struct<share: int, at: binary, data: binary>>"
+CHUNK_SCHEMA = pa.schema(
+    [
+        ("chunk", pa.binary()),
+        ("doc_ids", pa.binary()),
+        ("n_words", pa.binary()),
+        ("numbers", pa.binary()),
+        ("at", pa.binary()),
+        ("words", pa.list_(pa.struct([("share", pa.int32()), ("data", pa.binary())]))),
+    ]
 )
 
 
+def _chunk_row(ids: list, texts: list[np.ndarray], split: Splitter, shares: int, mark: bytes) -> pa.RecordBatch:
+    """A closed chunk. Its words are numbered by falling frequency, so that small numbers are common;
+    ``at`` has these numbers in the order of the words sent, which is by share, then by bytes."""
+    numbers, sizes = split.word_numbers(texts)
+    words = [w.encode() for w in split.words]
+    rank = np.empty(len(words), dtype=np.uint32)
+    counts = np.bincount(numbers, minlength=len(words))
+    rank[np.argsort(-counts, kind="stable")] = np.arange(len(words), dtype=np.uint32)
+    by_share: dict[int, list[int]] = {}
+    for i in sorted(range(len(words)), key=words.__getitem__):
+        by_share.setdefault(_share(words[i], shares), []).append(i)
+    sent = sorted(by_share.items())
+    order = np.array([i for _, mine in sent for i in mine], dtype=np.int64)
+    row = {
+        "doc_ids": _pack(json.dumps(ids).encode()),
+        "n_words": _pack_numbers(sizes),
+        "numbers": _pack_numbers(rank[numbers]),
+        "at": _pack_numbers(rank[order]),
+        "words": [{"share": k, "data": _pack_words([words[i] for i in mine])} for k, mine in sent],
+    }
+    # chunks with equal contents must stay apart, hence the mark
+    row["chunk"] = hashlib.sha256(mark + row["doc_ids"] + row["numbers"]).digest()
+    return pa.RecordBatch.from_pylist([row], schema=CHUNK_SCHEMA)
+
+
 def split_chunks(docs: DataFrame, pattern: str, shares: int, chunk_chars: int) -> DataFrame:
     """One row per chunk: its documents, the numbers of their pre-tokens in order, and by share of the
-    word hash the distinct pre-tokens with their numbers. The rows are packed; see the module."""
-
-    def close(ids: list, sizes: list[int], pieces: list[np.ndarray], split: Splitter) -> dict:
-        # pre-tokens by falling frequency, so that small numbers are common
-        numbers = np.concatenate(pieces) if pieces else np.zeros(0, np.uint32)
-        words = [w.encode() for w in split.words]
-        counts = np.bincount(numbers, minlength=len(words))
-        order = np.argsort(-counts, kind="stable")
-        rank = np.empty(len(words), dtype=np.uint32)
-        rank[order] = np.arange(len(words), dtype=np.uint32)
-        by_share: dict[int, list[int]] = {}
-        for i in order.tolist():
-            by_share.setdefault(_share(words[i], shares), []).append(i)
-        digest = hashlib.sha256()
-        packed_ids = _pack(json.dumps(ids).encode())
-        packed_numbers = _pack_numbers(rank[numbers])
-        for part in (packed_ids, packed_numbers):
-            digest.update(part)
-        return {
-            "doc_ids": packed_ids,
-            "n_words": _pack_numbers(np.array(sizes, dtype=np.uint32)),
-            "numbers": packed_numbers,
-            "words": [
-                {
-                    "share": share,
-                    "at": _pack_numbers(rank[mine]),
-                    "data": _pack_words([words[i] for i in mine]),
-                }
-                for share, mine in sorted(by_share.items())
-            ],
-            "chunk": digest.digest(),
-        }
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids: list = []
-        sizes: list[int] = []
-        found: list[np.ndarray] = []
-        split, chars, made = Splitter(pattern), 0, 0
+    word hash the distinct pre-tokens. The rows are packed; see the module."""
 
-        def row() -> pd.DataFrame:
-            out = close(ids, sizes, found, split)
-            # chunks with equal contents must stay apart
-            out["chunk"] = hashlib.sha256(out["chunk"] + tag + made.to_bytes(8, "little")).digest()
-            return pd.DataFrame([out])
-
-        tag = b""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: list = []
+        texts: list[np.ndarray] = []
+        split, chars, made, task = Splitter(pattern), 0, 0, 0
         for batch in batches:
-            if not tag and len(batch):
-                tag = int(batch["task"].iloc[0]).to_bytes(8, "little")
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                numbers = split.word_numbers(split.pieces_of(text))
-                ids.append(None if pd.isna(doc_id) else int(doc_id))
-                sizes.append(len(numbers))
-                found.append(numbers)
-                chars += len(text)
-                if chars >= chunk_chars:
-                    yield row()
-                    made += 1
-                    ids, sizes, found = [], [], []
-                    split, chars = Splitter(pattern), 0
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                task = part["task"][0].as_py()
+                for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
+                    ids.append(doc_id)
+                    texts.append(split.pieces_of(text))
+                    chars += len(text)
+                    if chars >= chunk_chars:
+                        yield _chunk_row(ids, texts, split, shares, b"%d %d " % (task, made))
+                        made += 1
+                        ids, texts, split, chars = [], [], Splitter(pattern), 0
         if ids:
-            yield row()
+            yield _chunk_row(ids, texts, split, shares, b"%d %d " % (task, made))
 
     columns = docs.select(
-        F.col("doc_id").cast("bigint").cast("string").alias("doc_id"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.spark_partition_id().alias("task"),
     )
-    return columns.mapInPandas(run, CHUNK_SCHEMA)
+    return columns.mapInArrow(
+        run,
+        "chunk binary, doc_ids binary, n_words binary, numbers binary, at binary,"
+        " words array<struct<share: int, data: binary>>",
+    )
 
 
 def encode_words(chunks: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -279,139 +290,134 @@ def encode_words(chunks: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     def run(_: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, known = sent.value, {}
         for batch in batches:
-            out = []
+            sizes, packed = [], []
             for data in batch["data"]:
-                sizes, ids = [], []
+                found = []
                 for word in _unpack_words(data):
                     mine = known.get(word)
                     if mine is None:
-                        mine = known[word] = np.array(merge_word(word, table), dtype=np.uint32)
-                    sizes.append(len(mine))
-                    ids.append(mine)
-                out.append((_pack_numbers(np.array(sizes)), _pack_numbers(np.concatenate(ids))))
+                        mine = known[word] = tuple(merge_word(word, table))
+                    found.append(mine)
+                sizes.append(_pack_numbers(np.array([len(f) for f in found])))
+                packed.append(_pack_numbers(np.array([i for f in found for i in f])))
             yield pd.DataFrame(
-                {
-                    "chunk": batch["chunk"],
-                    "at": batch["at"],
-                    "sizes": [o[0] for o in out],
-                    "ids": [o[1] for o in out],
-                }
+                {"chunk": batch["chunk"], "share": batch["share"], "sizes": sizes, "ids": packed}
             )
 
     words = chunks.select("chunk", F.explode("words").alias("w")).select("chunk", "w.*")
     return words.groupBy("share").applyInPandas(
-        run, "chunk binary, at binary, sizes binary, ids binary"
+        run, "chunk binary, share int, sizes binary, ids binary"
     )
 
 
 def token_documents(chunks: DataFrame, encoded: DataFrame) -> DataFrame:
     """``doc_id`` and ``ids`` of each document: the numbers of a chunk replaced by the ids of its words."""
     answers = encoded.groupBy("chunk").agg(
-        F.collect_list(F.struct("at", "sizes", "ids")).alias("answers")
+        F.sort_array(F.collect_list(F.struct("share", "sizes", "ids"))).alias("answers")
     )
-    joined = chunks.select("chunk", "doc_ids", "n_words", "numbers").join(answers, "chunk", "left")
+    joined = chunks.drop("words").join(answers, "chunk", "left")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                yield from _assemble(row.doc_ids, row.n_words, row.numbers, row.answers)
-
-    return joined.drop("chunk").mapInPandas(run, "doc_id bigint, ids array<int>")
-
-
-def _assemble(doc_ids: bytes, n_words: bytes, numbers: bytes, answers) -> Iterator[pd.DataFrame]:
-    names = json.loads(_unpack(doc_ids))
-    sizes = _unpack_numbers(n_words).astype(np.int64)
-    at = _unpack_numbers(numbers)
-    parts = [] if answers is None else list(answers)
-    where = [_unpack_numbers(p["at"]) for p in parts]
-    lengths = [_unpack_numbers(p["sizes"]).astype(np.int64) for p in parts]
-    ids = np.concatenate([_unpack_numbers(p["ids"]) for p in parts] or [np.zeros(0, np.uint32)])
-    words = sum(len(w) for w in where)
-    first, count = np.zeros(words, np.int64), np.zeros(words, np.int64)
-    base = 0
-    for w, n in zip(where, lengths, strict=True):
-        starts = np.cumsum(n) - n + base
-        first[w], count[w] = starts, n
-        base += int(n.sum())
-    ends = np.cumsum(sizes)
+            for i in range(batch.num_rows):
+                yield from _assemble(batch.slice(i, 1).to_pylist()[0])
+
+    columns = joined.select("doc_ids", "n_words", "numbers", "at", "answers")
+    return columns.mapInArrow(run, "doc_id bigint, ids binary")
+
+
+def _assemble(row: dict) -> Iterator[pa.RecordBatch]:
+    parts = row["answers"] or []
+    at = _unpack_numbers(row["at"])
+    empty = [np.zeros(0, np.uint32)]
+    ids = np.concatenate([_unpack_numbers(p["ids"]) for p in parts] or empty)
+    sizes = np.concatenate([_unpack_numbers(p["sizes"]) for p in parts] or empty).astype(np.int64)
+    starts, lengths = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    starts[at], lengths[at] = np.cumsum(sizes) - sizes, sizes
+    numbers = _unpack_numbers(row["numbers"])
+    names = json.loads(_unpack(row["doc_ids"]))
+    ends = np.concatenate([[0], np.cumsum(_unpack_numbers(row["n_words"]), dtype=np.int64)])
     for i in range(0, len(names), 256):
-        low = int(ends[i] - sizes[i])
-        high = int(ends[min(i + 256, len(names)) - 1])
-        here = at[low:high]
-        n = count[here]
-        stops = np.cumsum(n)
-        total = int(stops[-1]) if len(stops) else 0
-        tokens = ids[np.repeat(first[here] - (stops - n), n) + np.arange(total)].astype(np.int32)
-        stops = np.concatenate([[0], stops])
-        cuts = [int(stops[int(e) - low]) for e in ends[i : i + 256]]
-        starts = [0, *cuts[:-1]]
-        yield pd.DataFrame(
-            {
-                "doc_id": pd.array(names[i : i + 256], dtype="Int64"),
-                "ids": [tokens[a:b] for a, b in zip(starts, cuts, strict=True)],
-            }
+        cuts = ends[i : i + 257]
+        here = numbers[cuts[0] : cuts[-1]]
+        tokens = spread(ids, starts, lengths, here).astype("<u4")
+        stops = np.concatenate([[0], np.cumsum(lengths[here])])[cuts - cuts[0]]
+        packed = [tokens[a:b].tobytes() for a, b in zip(stops[:-1], stops[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names[i : i + 256], pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "ids"]
         )
 
 
 def encode_documents(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, chunk_chars: int = CHUNK_CHARS
 ) -> DataFrame:
-    """``doc_id`` and ``ids`` (array of token ids) of each row of ``docs``.
+    """``doc_id`` and ``ids`` of each row of ``docs``: the token ids, packed as little-endian unsigned
+    32-bit numbers; ``unpacked`` makes an array of them.
 
     A null or empty text has no ids. Repeated rows are each encoded, null ids passed on, other
-    columns not read, and an empty table gives no rows. The split texts are stored once in the
-    shared folder, since two branches read them.
+    columns not read, and an empty table gives no rows. The split texts are stored once, bucketed by
+    chunk in a table of the warehouse, so that the ids come to them and they do not move.
     """
-    held = store_table(split_chunks(docs, pattern, _shares(docs), chunk_chars))
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    shares = max(8, math.ceil(size / SHARE_BYTES))
+    buckets = max(8, math.ceil(size / chunk_chars))
+    held = store_bucketed(split_chunks(docs, pattern, shares, chunk_chars), "chunk", buckets)
     return token_documents(held, encode_words(held, ranks))
 
 
-def _shares(docs: DataFrame) -> int:
-    """Shares of the distinct words, from the size of the texts, which one scan sums up."""
-    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    return max(8, math.ceil(size / SHARE_BYTES))
+def store_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` in a table of the warehouse whose later joins and groupings by ``key`` do not shuffle it."""
+    name = f"held_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def unpacked(ids: Column) -> Column:
+    """Packed ids as an array; null stays null."""
+
+    @pandas_udf("array<bigint>")
+    def numbers(packed: pd.Series) -> pd.Series:
+        return packed.map(lambda b: None if b is None else np.frombuffer(b, "<u4").astype(np.int64))
+
+    return numbers(ids)
 
 
 def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``doc_id``, ``ids`` and ``bytes``: the token bytes of the ids, in order.
 
-    Any ids may be decoded. The table of token bytes has the fixed size of the vocabulary and is
-    joined by broadcast. Null or empty ids give empty bytes, an id that the table does not
+    Any packed ids may be decoded. The table of token bytes has the fixed size of the vocabulary and
+    is joined by broadcast. Null or empty ids give empty bytes, an id that the table does not
     have fails.
     """
-    tokens: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
+    tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         tokens[rank] = token
     sent = encoded.sparkSession.sparkContext.broadcast(tokens)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = sent.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token_of = sent.value.__getitem__
         for batch in batches:
-            texts = [b"" if i is None else b"".join([table[t] for t in i.tolist()]) for i in batch["ids"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "ids": batch["ids"], "bytes": texts})
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                texts = [
+                    b"".join(map(token_of, np.frombuffer(ids or b"", "<u4").tolist()))
+                    for ids in part["ids"].to_pylist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], part["ids"], pa.array(texts, pa.binary())], ["doc_id", "ids", "bytes"]
+                )
 
-    return encoded.select("doc_id", "ids").mapInPandas(
-        run, "doc_id bigint, ids array<int>, bytes binary"
-    )
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids binary, bytes binary")
 
 
 def token_digests(decoded: DataFrame) -> DataFrame:
-    """Number of ids, and SHA-256 of the ids (little-endian, 32 bits) and of the decoded bytes."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"].astype("Int64"),
-                    "n_tokens": [len(i) for i in batch["ids"]],
-                    "ids_sha256": [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in batch["ids"]],
-                    "decoded_sha256": [hashlib.sha256(b).hexdigest() for b in batch["bytes"]],
-                }
-            )
-
-    return decoded.mapInPandas(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    """Number of ids, and SHA-256 of the packed ids and of the decoded bytes."""
+    ids = F.coalesce("ids", F.lit("").cast("binary"))
+    return decoded.select(
+        "doc_id",
+        (F.octet_length(ids) / 4).cast("bigint").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
     )
 
 
