@@ -145,7 +145,7 @@ def insert_documents(state: LineState, docs: DataFrame, min_chars: int = MIN_CHA
 def delete_documents(state: LineState, doc_ids: DataFrame) -> LineState:
     """The state without the documents of ``doc_ids`` (column ``doc_id``), as if they had never come."""
     gone = doc_ids.select("doc_id").distinct()
-    return _follow(state, state.refs.join(gone, "doc_id", "left_anti"))
+    return _follow(state, state.refs.join(gone, "doc_id", "left_anti").select("key", "doc_id", "n"))
 
 
 def _hits(state: LineState, min_chars: int) -> Column:
