@@ -31,6 +31,7 @@ LEAST_ITEM = 5
 BLOCK_WORDS = 2_000_000
 _WORD = re.compile(r"\w+")
 _FILTER_BITS = 22
+_KNOWN_WORDS = 200_000
 
 
 def words_of(text: str) -> list[str]:
@@ -193,8 +194,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     ).where("text IS NOT NULL")
     parts = []
-    for block in _blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(build_index(block))
+    for index in indexes(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(index)
         parts.append(columns.mapInArrow(_search(sent), _SCHEMA))
     if not parts:
         return columns.where("false").mapInArrow(lambda batches: iter(()), _SCHEMA)
@@ -218,7 +219,7 @@ def _search(sent):
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    if len(known) > 200_000:
+                    if len(known) > _KNOWN_WORDS:
                         known.clear()
                     doc = _hashes(words_of(text), known)
                     for item, start, end, first, agree in matches(index, doc):
@@ -235,6 +236,14 @@ def _search(sent):
     return run
 
 
-def leaked_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id`` of the documents with a leak, once each."""
-    return find_leaks(docs, benchmark).select("doc_id").distinct()
+def indexes(benchmark: DataFrame) -> Iterator[Index]:
+    """The seeds of all items, in blocks of bounded size."""
+    for block in _blocks(benchmark):
+        yield build_index(block)
+
+
+def has_leak(index: Index, text: str, known: dict[str, int]) -> bool:
+    """Whether an item is found in a text; ``known`` keeps hashes of words between calls."""
+    if len(known) > _KNOWN_WORDS:
+        known.clear()
+    return next(matches(index, _hashes(words_of(text), known)), None) is not None
