@@ -15,7 +15,7 @@ def at(seconds: float) -> datetime:
     return START + timedelta(seconds=seconds)
 
 
-def record(seq, value=10.0, seconds=0.0, message_id=None, sensor="MFM_KDL_INLET_01", metric="pressure_bar"):
+def record(seq, value=10.0, seconds=0.0, message_id=None, sensor="PUMP_A7_INLET", metric="pressure_bar"):
     return (
         message_id or f"id-{seq:06d}", sensor, metric, float(value), "bar", at(seconds), seq
     )

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from helpers import at, record, records, rows_of
+from helpers import SCHEMA, at, record, records, rows_of
 from tidegauge.config import DedupConfig, SkewConfig
 from tidegauge.operators.dedup import accepted, dedup_ttl, duplicates
 from tidegauge.operators.metrics import dedup_stats
@@ -89,3 +89,27 @@ def test_statistics(spark):
     assert stats["cache_size"] == 2
     later = dedup_stats(flagged, DedupConfig(ttl_seconds=5), now=at(6)).first()
     assert later["cache_size"] == 0
+
+
+def test_rows_without_time_or_id_on_both_paths(spark):
+    """Untimed rows are older than all others; rows without an id are copies of one message."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(200):
+        row = list(record(i, i, message_id=rng.choice("abc"), seconds=rng.randint(0, 40)))
+        row[0] = rng.choice([row[0], row[0], None])
+        row[5] = rng.choice([row[5], row[5], row[5], None])
+        rows.append(tuple(row))
+    found = [
+        rows_of(dedup_ttl(spark.createDataFrame(rows, SCHEMA), DedupConfig(ttl_seconds=5), ["seq"], s), "seq", "is_duplicate")
+        for s in PATHS
+    ]
+    assert found[0] == found[1] and len(found[0]) == 200
+    want, last = [], {}
+    for row in sorted(rows, key=lambda r: (r[5] is not None, r[5] or at(0), r[6])):
+        t = (row[5] - at(0)).total_seconds() if row[5] else float("-inf")
+        known = row[0] in last and (t == last[row[0]] or t - last[row[0]] <= 5)
+        want.append((row[6], known))
+        if not known:
+            last[row[0]] = t
+    assert found[0] == sorted(want, key=repr)

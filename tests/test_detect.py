@@ -100,7 +100,7 @@ def test_composite_and_line(spark):
     assert found.columns == ALERT.fieldNames()
     assert sorted(r["anomaly_type"] for r in found.collect()) == ["value_spike", "zscore"]
     line = alert_lines(records_found).first()[0]
-    assert line.startswith("ALERT  | [CRITICAL] ZSCORE sensor=MFM_KDL_INLET_01 metric=pressure_bar value=9999.0 z=")
+    assert line.startswith("ALERT  | [CRITICAL] ZSCORE sensor=PUMP_A7_INLET metric=pressure_bar value=9999.0 z=")
     assert line.endswith("at 2024-01-01T00:10:00")
     missing = records_found.withColumn("zscore", F.lit(None).cast("double"))
     assert " z=n/a " in alert_lines(missing).first()[0]
@@ -130,7 +130,7 @@ def test_running_moments(spark):
     df = skewed(spark)
     for skew in (SkewConfig(), SLICED):
         got = with_running_moments(df, KEYS, ORDER, "value", skew).filter(
-            F.col("sensor_id") == "MFM_KDL_INLET_01"
+            F.col("sensor_id") == "PUMP_A7_INLET"
         )
         rows = sorted(got.collect(), key=lambda r: (r["timestamp"], r["message_id"]))
         for i in (0, 1, 50, len(rows) - 1):

@@ -8,7 +8,7 @@ from tidegauge.operators.parse import dead_letters, parse, valid_records
 from tidegauge.sources.readers import from_kafka
 
 
-def message(value="12.5", time='"2024-01-01T00:00:00"', mid='"m"', tags='{"plant":"KDL"}', more=""):
+def message(value="12.5", time='"2024-01-01T00:00:00"', mid='"m"', tags='{"plant":"A7"}', more=""):
     return (
         f'{{"message_id":{mid},"sensor_id":"s","metric_name":"p","value":{value},'
         f'"unit":"bar","timestamp":{time},"tags":{tags}{more}}}'
@@ -41,7 +41,7 @@ INVALID = [
     ("NaN", "NOT_OBJECT"),
     ("{}", "MISSING_FIELDS"),
     ('{"sensor_id": "s1"}', "MISSING_FIELDS"),
-    ('{"sensor_id": "MFM_KDL_INLET_01", "value": "COMM_ERROR"}', "MISSING_FIELDS"),
+    ('{"sensor_id": "PUMP_A7_INLET", "value": "COMM_ERROR"}', "MISSING_FIELDS"),
     (message(value='"oops"'), "NON_NUMERIC"),
     (message(value="null", time='"bad"'), "NON_NUMERIC"),
     (message(value='"12d"'), "NON_NUMERIC"),
@@ -163,10 +163,10 @@ def test_last_of_repeated_keys_wins(spark):
 
 
 def test_tags(spark):
-    without = message().replace(',"tags":{"plant":"KDL"}', "")
+    without = message().replace(',"tags":{"plant":"A7"}', "")
     rows = parsed(spark, [message(), without, message(tags="[1,2]")])
     got = rows.select("tags_map", F.col("tags").cast("string").alias("t")).collect()
-    assert got[0]["tags_map"] == {"plant": "KDL"}
+    assert got[0]["tags_map"] == {"plant": "A7"}
     assert got[1]["tags_map"] == {} and got[1]["t"] == "{}"
     assert got[2]["tags_map"] is None and got[2]["t"] == "[1,2]"
 

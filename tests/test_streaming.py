@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import SCHEMA, START, at, record, records, rows_of
+from helpers import SCHEMA, START, at, record, records, rows_of, series
 from tidegauge.config import (
     DedupConfig,
     DetectConfig,
@@ -17,10 +17,19 @@ from tidegauge.config import (
 from tidegauge.operators import dedup, detect, windows
 from tidegauge.plans.batch import run_batch
 from tidegauge.sources.readers import kafka_options, open_source
-from tidegauge.sources.sinks import parquet_sink
+from tidegauge.sources.sinks import parquet_sink, print_alerts, print_windows
 from tidegauge.streaming import operators as ops
 from tidegauge.streaming.batchwise import score_by_trigger
 from tidegauge.streaming.run import start_streams
+from tidegauge.streaming.triggers import (
+    DedupStage,
+    ScoreStage,
+    StateLog,
+    WindowStage,
+    run_by_trigger,
+)
+
+NOW = {"availableNow": True}
 
 SCORED = ["message_id", "baseline_n", "baseline_mean", "baseline_std"]
 
@@ -123,57 +132,106 @@ def test_windows_and_spikes_equal_batch(spark, tmp_path, data):
     assert rows_of(spikes, *columns) == rows_of(expected, *columns) and expected.count() > 0
 
 
-def anchored_by_hand(chunks, width, least):
-    """Arrival order, with the newest time seen as the clock after each trigger."""
-    state, out, clock = {}, [], 0.0
-    for chunk in chunks:
-        for row in chunk:
-            key, t = row[1], (row[5] - START).total_seconds()
-            if key not in state:
-                state[key] = [t, []]
-            state[key][1].append((t, row[3]))
-        clock = max([clock] + [(r[5] - START).total_seconds() for r in chunk])
-        now = int(clock * 1000) / 1000
-        for key in list(state):
-            start, held = state[key]
-            while held and start + width <= now:
-                inside = [v for t, v in held if t <= start + width]
-                held = [(t, v) for t, v in held if t > start + width]
-                if len(inside) < least:
-                    start = now
-                    continue
-                out.append((key, round(start, 6), len(inside), round(float(np.mean(inside)), 6)))
-                start += width
-            if held:
-                state[key] = [start, held]
-            else:
-                del state[key]
-    return sorted(out)
-
-
-def test_anchored_windows_fold_late_rows_and_restart_after_a_sparse_one(spark, tmp_path):
+@pytest.mark.parametrize("parts", [1, 4])
+def test_anchored_windows_equal_batch(spark, tmp_path, parts):
+    """Sparse stretches leave windows out and never move the grid, whatever the triggers."""
     rng = random.Random(4)
     rows, t = [], 0.0
     for i in range(240):
         t += 50 if i in (80, 150) else rng.randint(0, 4)
         rows.append(record(i, i % 13, t, sensor=f"s{i % 2}"))
-    size = 40
-    chunks = [rows[i : i + size] for i in range(0, len(rows), size)]
-    chunks[2].append(record(999, 5, 3, sensor="s0"))  # late, but not behind the allowed delay
+    write_parts(spark, rows, tmp_path / "in", parts)
+    cfg = WindowConfig(window_seconds=20, min_samples=3, alignment="series")
+    newest = max(r[5] for r in rows).replace(tzinfo=None).isoformat(sep=" ")
+    want = rows_of(windows.rounded(windows.window_stats(records(spark, rows), cfg, as_of=newest)))
+    stream = ops.watermarked(stream_of(spark, tmp_path / "in"))
+    keyed = drain(ops.anchored_window_stats(stream, cfg), tmp_path / "keyed").drop("closed_at")
+    assert rows_of(windows.rounded(keyed)) == want and len(want) > 5
+    stage = WindowStage(str(tmp_path / "stage"), cfg)
+    run_by_trigger(stream_of(spark, tmp_path / "in"), str(tmp_path / "stage"), stage.step, NOW).awaitTermination()
+    assert rows_of(windows.rounded(spark.read.parquet(stage.out).drop("batch_id"))) == want
+
+
+def late_chunks():
+    """Times in four triggers, many of them far behind."""
+    rng = random.Random(9)
+    rows = [record(i, round(rng.gauss(10, 2), 2), i * 5, message_id=f"m{rng.randint(0, 150)}", sensor=f"s{i % 2}") for i in range(200)]
+    rng.shuffle(rows)
+    return [rows[i::4] for i in range(4)]
+
+
+@pytest.mark.parametrize("every", [16, 2])
+def test_late_rows_by_hand(spark, tmp_path, monkeypatch, every):
+    monkeypatch.setattr(StateLog, "EVERY", every)
+    chunks, folder = late_chunks(), str(tmp_path)
     for chunk in chunks:
-        records(spark, chunk).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        records(spark, chunk).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         time.sleep(0.05)
-    cfg = WindowConfig(window_seconds=20, min_samples=3)
-    stream = ops.watermarked(stream_of(spark, tmp_path / "in"), 0)
-    got = drain(ops.anchored_window_stats(stream, cfg), tmp_path)
-    base = int(START.timestamp()) * 1_000_000
-    seen = sorted(
-        (r["sensor_id"], round((r["t"] - base) / 1e6, 6), r["sample_count"], round(r["mean"], 6))
-        for r in got.withColumn("t", F.unix_micros("window_start")).collect()
-    )
-    # Rows behind the watermark are dropped before the operator, as in every streaming operator.
-    kept = [[r for r in chunk if r[6] != 999] for chunk in chunks]
-    assert seen == anchored_by_hand(kept, 20, 3) and len(seen) > 5
+    dedup_cfg, cfg = DedupConfig(ttl_seconds=100), WindowConfig(window_seconds=50, min_samples=1)
+    first, scores = DedupStage(folder, dedup_cfg, ["seq"], keep_seconds=100_000), ScoreStage.of_readings(folder)
+    by_window = WindowStage(folder, cfg)
+
+    def step(batch, n):
+        kept = first.step(batch, n).filter("not is_duplicate")
+        parquet_sink(f"{folder}/scored")(scores.step(kept, n), n)
+        by_window.step(kept, n)
+
+    run_by_trigger(stream_of(spark, f"{folder}/in"), folder, step, NOW).awaitTermination()
+
+    last, series, clock = {}, {}, None
+    flags, scored, late, waiting, closed = {}, {}, set(), {}, {}
+    for chunk in chunks:
+        kept = []
+        for r in sorted(chunk, key=lambda r: (r[5], r[6])):
+            t = (r[5] - START).total_seconds()
+            flags[r[6]] = r[0] in last and t - last[r[0]] <= 100
+            if not flags[r[6]]:
+                last[r[0]] = t
+                kept.append((t, r))
+        for t, r in sorted(kept, key=lambda x: (x[1][5], x[1][0])):
+            before = series.setdefault(r[1], [])[-20:]
+            scored[r[6]] = (len(before), round(float(np.mean(before)), 6) if before else None)
+            series[r[1]].append(r[3])
+        for t, r in kept:
+            end = (t // 50 + 1) * 50
+            if clock is not None and end <= clock:
+                late.add((r[1], t))
+            else:
+                waiting.setdefault((r[1], end), []).append(r[3])
+        clock = max([t for t, _ in kept] + ([] if clock is None else [clock]))
+        for key in [k for k in waiting if k[1] <= clock]:
+            values = waiting.pop(key)
+            closed[key] = (len(values), round(float(np.mean(values)), 6))
+    got = spark.read.parquet(first.out).select("seq", "is_duplicate").collect()
+    assert dict(map(tuple, got)) == flags and 0 < sum(flags.values()) < 200
+    got = spark.read.parquet(f"{folder}/scored").select("seq", "baseline_n", F.round("baseline_mean", 6)).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == scored
+    base = START.timestamp()
+    got = spark.read.parquet(by_window.late).select("sensor_id", F.unix_micros("timestamp") / 1e6 - base).collect()
+    assert {(s, round(t, 6)) for s, t in got} == late and len(late) > 20
+    got = spark.read.parquet(by_window.out).select("sensor_id", F.unix_micros("window_end") / 1e6 - base, "sample_count", F.round("mean", 6)).collect()
+    assert {(s, t): (n, m) for s, t, n, m in got} == closed
+
+
+def test_state_log_deletes_what_is_superseded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(StateLog, "EVERY", 2)
+    log = StateLog(str(tmp_path), "k int, v int")
+
+    def newest(rows):
+        return rows.groupBy("k").agg(F.max_by("v", "__n").alias("v"))
+
+    for n in range(8):
+        log.put(spark.createDataFrame([(n % 3, n)], "k int, v int"), n, newest)
+        state = {r["k"]: r["v"] for r in newest(log.before(spark, n + 1)).collect()}
+        assert state == {k: max(i for i in range(n + 1) if i % 3 == k) for k in range(min(n + 1, 3))}
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("batch_id")]) <= 4
+
+
+def test_console_sinks_print_every_row(spark, capsys):
+    rows = series(spark, [10.0, 10.1] * 10 + [500.0, 10.0] * 30)
+    alerts = detect.record_alerts(rows, DetectConfig(z_threshold=0.1))
+    print_alerts(alerts, 0)
+    assert len(capsys.readouterr().out.splitlines()) == alerts.count() > 40
 
 
 def raw_rows(n=200):
@@ -184,14 +242,13 @@ def raw_rows(n=200):
         text = (
             f'{{"message_id":"m{rng.randint(0, n)}","sensor_id":"s{i % 2}","metric_name":"p",'
             f'"value":{500 if i == 150 else round(rng.gauss(10, 1), 2)},"unit":"bar",'
-            f'"timestamp":"{time_text}","tags":{{"plant":"KDL"}}}}'
+            f'"timestamp":"{time_text}","tags":{{"plant":"A7"}}}}'
         )
         rows.append((i, "oops" if i % 20 == 3 else text))
     return rows
 
 
-@pytest.mark.parametrize("hot_series", [False, True])
-def test_whole_stream_equals_batch_and_restarts(spark, tmp_path, hot_series):
+def test_whole_stream_equals_batch_and_restarts(spark, tmp_path):
     """Two runs on the same folder: the second goes on where the first ended."""
     schema = "seq int, raw string"
     rows = raw_rows()
@@ -202,16 +259,9 @@ def test_whole_stream_equals_batch_and_restarts(spark, tmp_path, hot_series):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
         raw = open_source(spark, "parquet", source, streaming=True, schema=spark.createDataFrame(part, schema).schema)
         streams = start_streams(
-            raw, folder, cfg,
-            on_alert=parquet_sink(f"{folder}/alerts/kind=record"),
-            on_window_alert=parquet_sink(f"{folder}/alerts/kind=window"),
-            on_window=parquet_sink(f"{folder}/windows"),
-            tie_break=["seq"],
-            trigger={"availableNow": True},
-            hot_series=hot_series,
+            raw, folder, cfg, tie_break=["seq"], trigger={"availableNow": True}
         )
         streams.wait(120)
-        time.sleep(1)
         totals.append(streams.counters.totals())
         streams.stop()
 
@@ -229,11 +279,11 @@ def test_whole_stream_equals_batch_and_restarts(spark, tmp_path, hot_series):
     counted = batch["counters"].first()
     assert counted["received"] == counted["malformed"] + counted["dupes"] + counted["processed"]
     for name in ("received", "malformed", "dupes", "processed"):
-        assert sum(t[name] for t in totals) == counted[name]
-    assert hot_series or sum(t["alerts"] for t in totals) >= 1
+        assert totals[1][name] == counted[name] > totals[0][name]
+    assert totals[1]["alerts"] >= 1 and totals[1]["windows"] == got.count()
 
 
-def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+def test_late_rows_are_processed_and_counted(spark, tmp_path):
     source, folder = str(tmp_path / "in"), str(tmp_path / "state")
     totals = []
     for seconds in ([0, 500], [1000, 100], [1500]):  # 100 comes after the watermark has passed 500
@@ -244,14 +294,13 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
         ]
         spark.createDataFrame([(t,) for t in lines], "raw string").coalesce(1).write.mode("append").text(source)
         raw = open_source(spark, "text", source, streaming=True)
-        streams = start_streams(raw, folder, trigger={"availableNow": True})  # printing sinks
+        streams = start_streams(raw, folder, trigger={"availableNow": True}, on_window=print_windows)
         streams.wait(120)
-        time.sleep(1)
         totals.append(streams.counters.totals())
         streams.stop()
-    assert sum(t["received"] for t in totals) == 5
-    assert sum(t["processed"] for t in totals) == 4
-    assert sum(t["late"] for t in totals) == 1
+    assert totals[2]["received"] == totals[2]["processed"] == 5
+    assert totals[2]["late"] == 1 and totals[1]["received"] == 4
+    assert spark.read.parquet(f"{folder}/late").count() == 1
 
 
 def test_stop_and_file_sources(spark, tmp_path):
@@ -280,6 +329,8 @@ def test_kafka_options():
     assert options["kafka.bootstrap.servers"] == "localhost:9092"
     assert options["subscribe"] == "telemetry.raw"
     assert options["startingOffsets"] == "earliest"
+    assert options["groupIdPrefix"] and "kafka.group.id" not in options
+    assert "kafka.group.id" in kafka_options(KafkaConfig(), fixed_group=True)
     assert options["kafka.session.timeout.ms"] == "30000"
     assert options["kafka.max.poll.records"] == "500"
     assert options["maxOffsetsPerTrigger"] == "1000"

@@ -2,8 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import at, record, records, rows_of, series
+from helpers import SCHEMA, at, record, records, rows_of, series
 from tidegauge.config import SkewConfig, WindowConfig
+from tidegauge.functions.text import round_stat
 from tidegauge.operators.metrics import aggregator_stats, buffer_sizes
 from tidegauge.operators.windows import (
     interpolated_percentile,
@@ -112,14 +113,46 @@ def test_statistics_and_buffers(spark):
     df = series(spark, [1, 2, 3, 4], step=2)
     closed = window_stats(df, FIVE, as_of=at(5))
     assert tuple(aggregator_stats(df, closed).first()) == (1, 1)
-    row = buffer_sizes(df, closed, FIVE).first()
-    assert tuple(row) == ("MFM_KDL_INLET_01::pressure_bar", 1)
+    row = buffer_sizes(df, at(5), FIVE).first()
+    assert tuple(row) == ("PUMP_A7_INLET::pressure_bar", 1)
+    # a closed window with too few rows holds none back
+    assert buffer_sizes(df, at(10), FIVE).first()["buffer_size"] == 0
+
+
+@pytest.mark.parametrize("alignment", ["epoch", "series"])
+def test_split_groups_treat_nulls_like_others(spark, alignment):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(300):
+        key = [None, "a", "b"][rng.integers(3)]
+        value = None if key == "b" or rng.random() < 0.2 else float(rng.integers(0, 9))
+        time = None if rng.random() < 0.1 else at(int(rng.integers(0, 60)))
+        rows.append((f"id{i}", key, "m", value, "u", time, i))
+    df = spark.createDataFrame(rows, SCHEMA)
+    cfg = WindowConfig(window_seconds=20, min_samples=1, alignment=alignment)
+    plain, split = (rows_of(window_stats(df, cfg, skew=s)) for s in (SkewConfig(mode="off"), SLICED))
+    assert [r[:5] for r in plain] == [r[:5] for r in split]
+    for a, b in zip(plain, split):
+        assert a[5:] == pytest.approx(b[5:])
+    timed = sum(r[5] is not None and r[3] is not None for r in rows)
+    assert sum(r[4] for r in plain) == timed
+    pcts = {"p50": 50.0, "p95": 95.0}
+    plain, split = (rows_of(percentiles(df, ["sensor_id"], pcts, s)) for s in (SkewConfig(mode="off"), SLICED))
+    assert plain == split and ("b", 0.0, 0.0) in plain and len(plain) == 3
+
+
+def test_rounding_is_exact_around_the_bound(spark):
+    rng = np.random.default_rng(6)
+    near = [float(x) for e in (1e10, 9.9e10, 1e11, 1.01e11, 1e12) for x in e + rng.integers(-9999, 9999, 300) / 10_000 * 16]
+    values = near + [-v for v in near]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(round_stat("v").alias("r"))
+    assert [r["r"] for r in got.collect()] == [round(v, 4) for v in values]
 
 
 def test_window_line(spark):
     line = window_lines(window_stats(series(spark, [10, 20, 30]), FIVE)).first()[0]
     assert line == (
-        "WINDOW | MFM_KDL_INLET_01::pressure_bar n=3 mean=20.0000 p95=29.0000 "
+        "WINDOW | PUMP_A7_INLET::pressure_bar n=3 mean=20.0000 p95=29.0000 "
         "[00:00:00–00:00:05]"
     )
 

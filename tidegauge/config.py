@@ -86,7 +86,7 @@ class SkewConfig:
 
     mode: str = "auto"
     max_group_rows: int = 2_000_000
-    max_dedup_group_rows: int = 20_000
+    max_dedup_group_rows: int = 2_000
     rows_per_slice: int = 2_000_000
     broadcast_rows: int = 200_000
 

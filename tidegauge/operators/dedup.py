@@ -24,7 +24,11 @@ def dedup_ttl(
     tie_break: list[str] | None = None,
     skew: SkewConfig = SkewConfig(),
 ) -> DataFrame:
-    """Add ``is_duplicate``. ``tie_break`` orders rows of one id at the same time."""
+    """Add ``is_duplicate``. ``tie_break`` orders rows of one id at the same time.
+
+    Rows without a time are older than all others: the first one of an id is accepted. Rows
+    without an id are copies of one message.
+    """
     ties = list(tie_break or [])
     ordinary, hot, _ = split_hot(df, [ID], skew.max_dedup_group_rows, skew)
     parts = []
@@ -63,10 +67,13 @@ def _by_window_and_fold(df: DataFrame, ttl: int, ties: list[str]) -> DataFrame:
         .withColumn("__previous", F.lag("__t").over(by_time))
         .withColumn("__start", F.max(F.when(fresh, F.col("__t"))).over(so_far))
         .withColumn("__fresh", fresh)
+        .withColumn("__nth", F.row_number().over(by_time))
     )
-    beyond = F.col("__t") - F.col("__start") > ttl
+    beyond = F.coalesce(F.col("__t") - F.col("__start") > ttl, F.lit(False))
     columns = df.columns
-    decided = base.filter(~beyond).select(*columns, (~F.col("__fresh")).alias("is_duplicate"))
+    untimed = F.col("__t").isNull()
+    repeated = F.when(untimed, F.col("__nth") > 1).otherwise(~F.col("__fresh"))
+    decided = base.filter(~beyond).select(*columns, repeated.alias("is_duplicate"))
 
     row = F.struct("__t", *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)])
     payload = F.struct(*columns)
@@ -135,15 +142,15 @@ def _by_chain(df: DataFrame, ttl: int, ties: list[str]) -> DataFrame:
     )
     earliest = F.min(F.struct(*[F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)], "__row"))
     points = store_table(numbered.groupBy(ID, "__t").agg(earliest.alias("__first")))
-    chain = accepted_chain(points.select(ID, "__t"), ID, "__t", ttl)
-    winners = (
-        points.alias("p")
-        .join(
-            chain.alias("c"),
-            F.col(f"p.{ID}").eqNullSafe(F.col(f"c.{ID}")) & (F.col("p.__t") == F.col("c.__t")),
-            "left_semi",
-        )
-        .select(F.col("__first.__row").alias("__winner"))
+    timed = points.filter(F.col("__t").isNotNull())
+    chain = accepted_chain(timed.select(ID, "__t"), ID, "__t", ttl)
+    on_chain = timed.alias("p").join(
+        chain.alias("c"),
+        F.col(f"p.{ID}").eqNullSafe(F.col(f"c.{ID}")) & (F.col("p.__t") == F.col("c.__t")),
+        "left_semi",
+    )
+    winners = on_chain.unionByName(points.filter(F.col("__t").isNull())).select(
+        F.col("__first.__row").alias("__winner")
     )
     return (
         numbered.join(winners, F.col("__row") == F.col("__winner"), "left")

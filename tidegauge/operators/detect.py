@@ -61,11 +61,20 @@ def score_records(
 
 
 def score_windows(
-    windows: DataFrame, cfg: DetectConfig = DetectConfig(), skew: SkewConfig = SkewConfig()
+    windows: DataFrame,
+    cfg: DetectConfig = DetectConfig(),
+    skew: SkewConfig = SkewConfig(),
+    order: list[str] | None = None,
 ) -> DataFrame:
     """The same columns for window means, against the windows before."""
     scored = with_trailing(
-        windows, KEYS, ["window_start"], "mean", cfg.baseline_windows, _baseline("mean"), skew
+        windows,
+        KEYS,
+        order or ["window_start"],
+        "mean",
+        cfg.baseline_windows,
+        _baseline("mean"),
+        skew,
     )
     return scored.withColumn("z", _z("mean"))
 
@@ -109,7 +118,7 @@ def window_alert_columns(cfg: DetectConfig) -> list[Column]:
         F.col("metric_name"),
         F.lit(WINDOW_ALERT).alias("anomaly_type"),
         F.col("window_end").alias("detected_at"),
-        F.col("mean").alias("observed_value"),
+        round_stat("mean").alias("observed_value"),
         round_stat("baseline_mean").alias("baseline_mean"),
         round_stat("baseline_std").alias("baseline_std"),
         round_stat("z", Z_DIGITS).alias("zscore"),

@@ -19,13 +19,17 @@ def percent(part: str, whole: str) -> Column:
 
 
 def dedup_stats(
-    flagged: DataFrame, cfg: DedupConfig = DedupConfig(), now: datetime | str | None = None
+    flagged: DataFrame,
+    cfg: DedupConfig = DedupConfig(),
+    now: datetime | str | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """total_seen, total_dupes, dupe_rate_pct and cache_size (ids accepted within the last
-    time-to-live before ``now``; by default the newest row's time)."""
+    time-to-live before ``now``; by default the newest row's time). ``rows``, what was deduplicated,
+    saves a second deduplication for that time."""
     seen, dupes = F.count(F.lit(1)), F.count_if("is_duplicate")
     if now is None:
-        now = flagged.agg(F.max(F.unix_micros("timestamp"))).first()[0]
+        now = (flagged if rows is None else rows).agg(F.max(F.unix_micros("timestamp"))).first()[0]
         at = F.timestamp_micros(F.lit(now).cast("bigint"))
     else:
         at = F.lit(now).cast("timestamp")
@@ -62,29 +66,17 @@ def aggregator_stats(rows: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def buffer_sizes(
-    rows: DataFrame, closed: DataFrame, cfg: WindowConfig = WindowConfig()
+    rows: DataFrame, as_of: datetime | str, cfg: WindowConfig = WindowConfig()
 ) -> DataFrame:
-    """Rows of each series after its last closed window, keyed ``sensor::metric``.
+    """Rows of each series whose window is still open at ``as_of``, keyed ``sensor::metric``.
 
-    Rows are counted per window first, so the join sees windows and not rows.
+    A closed window has used up its rows, also when they were too few for a result.
     """
-    counts = (
-        assign_windows(rows.select(*KEYS, "timestamp"), cfg)
-        .groupBy(*KEYS, "window_start")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    ends = closed.groupBy(*KEYS).agg(F.max("window_end").alias("__end"))
-    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"e.{k}")) for k in KEYS]
-    waiting = F.col("__end").isNull() | (F.col("window_start") >= F.col("__end"))
-    return (
-        counts.alias("r")
-        .join(ends.alias("e"), on, "left")
-        .groupBy("r.sensor_id", "r.metric_name")
-        .agg(F.sum(F.when(waiting, F.col("__n")).otherwise(0)).alias("buffer_size"))
-        .select(
-            window_key(F.col("sensor_id"), F.col("metric_name")).alias("window_key"),
-            "buffer_size",
-        )
+    open_ = F.col("window_end") > F.lit(as_of).cast("timestamp")
+    placed = assign_windows(rows.select(*KEYS, "timestamp"), cfg)
+    counts = placed.groupBy(*KEYS).agg(F.count_if(open_).alias("buffer_size"))
+    return counts.select(
+        window_key(F.col("sensor_id"), F.col("metric_name")).alias("window_key"), "buffer_size"
     )
 
 

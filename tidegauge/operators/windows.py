@@ -50,6 +50,7 @@ def assign_windows(
     "epoch": half-open windows on multiples of the width. "series": the first window
     starts at the series' first record and each window includes its upper bound; the first
     record times are found by an aggregation and broadcast if their counted number is small.
+    Rows without a time are in no window.
     """
     if cfg.alignment == "epoch":
         bounds = F.window("timestamp", f"{cfg.window_seconds} seconds")
@@ -58,17 +59,31 @@ def assign_windows(
             .withColumns({"window_start": F.col("__w.start"), "window_end": F.col("__w.end")})
             .drop("__w")
         )
+    return anchored_windows(df, materialize(series_anchor(df)), cfg, skew)
+
+
+def anchored_windows(
+    df: DataFrame,
+    anchors: DataFrame,
+    cfg: WindowConfig,
+    skew: SkewConfig = SkewConfig(),
+    closed_until: int | None = None,
+) -> DataFrame:
+    """Windows from given ``anchors`` (keys and ``__anchor``). Rows whose window ended by
+    ``closed_until`` (microseconds) go into the window of their series that is open then."""
     width = F.lit(cfg.window_us)
-    anchors = materialize(series_anchor(df)).select(
-        *[F.col(k).alias(f"__{k}") for k in KEYS], "__anchor"
-    )
+    anchors = anchors.select(*[F.col(k).alias(f"__{k}") for k in KEYS], "__anchor")
     if anchors.count() <= skew.broadcast_rows:
         anchors = F.broadcast(anchors)
     on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in KEYS]
     since = F.unix_micros("timestamp") - F.unix_micros("__anchor")
     index = F.greatest(F.ceil(since / width).cast("bigint") - 1, F.lit(0).cast("bigint"))
+    if closed_until is not None:
+        ended = (F.lit(closed_until) - F.unix_micros("__anchor")) / width
+        index = F.greatest(index, F.floor(ended).cast("bigint"))
     return (
-        df.join(anchors, on)
+        df.filter(F.col("timestamp").isNotNull())
+        .join(anchors, on)
         .withColumn("__start", F.unix_micros("__anchor") + index * width)
         .withColumns(
             {
@@ -97,6 +112,13 @@ def window_stats(
     """
     columns = [*KEYS, "timestamp", "value"]
     rows = assign_windows(df.select(*columns), cfg, skew)
+    return closed_windows(assigned_stats(rows, cfg, skew), cfg, as_of)
+
+
+def assigned_stats(
+    rows: DataFrame, cfg: WindowConfig, skew: SkewConfig = SkewConfig()
+) -> DataFrame:
+    """Statistics of all windows of rows that have their window."""
     # Counting series is cheaper than counting windows, and only a hot series has hot windows.
     ordinary, hot, _ = split_hot(rows, KEYS, skew.max_group_rows, skew)
     parts = []
@@ -108,7 +130,7 @@ def window_stats(
             parts.append(_plain_stats(small, cfg))
         if large is not None:
             parts.append(_selected_stats(large, cfg, skew))
-    return closed_windows(union_parts(parts), cfg, as_of)
+    return union_parts(parts)
 
 
 def _plain_stats(rows: DataFrame, cfg: WindowConfig) -> DataFrame:
@@ -152,7 +174,7 @@ def series_stats(df: DataFrame) -> DataFrame:
 def percentiles(
     df: DataFrame, keys: list[str], pcts: dict[str, float], skew: SkewConfig = SkewConfig()
 ) -> DataFrame:
-    """Exact interpolated percentiles of ``value`` for any grouping."""
+    """Exact interpolated percentiles of ``value`` for any grouping; 0.0 without values."""
     ordinary, hot, _ = split_hot(df.select(*keys, "value"), keys, skew.max_group_rows, skew)
     parts = []
     if ordinary is not None:
@@ -162,5 +184,9 @@ def percentiles(
             )
         )
     if hot is not None:
-        parts.append(selected_percentiles(hot, keys, "value", pcts, skew))
+        selected = selected_percentiles(hot, keys, "value", pcts, skew).alias("s")
+        groups = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).alias("g")
+        on = [F.col(f"g.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+        named = [F.coalesce(F.col(f"s.{n}"), F.lit(0.0)).alias(n) for n in pcts]
+        parts.append(groups.join(selected, on, "left").select(*[f"g.{k}" for k in keys], *named))
     return union_parts(parts)

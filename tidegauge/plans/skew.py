@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from dataclasses import replace
 from functools import reduce
 from typing import NamedTuple
 
@@ -92,6 +93,14 @@ def split_hot(df: DataFrame, keys: list[str], max_rows: int, skew: SkewConfig) -
     return HotSplit(df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi"), rows)
 
 
+def decided(df: DataFrame, keys: list[str], skew: SkewConfig) -> SkewConfig:
+    """``skew``, or "off" if no group of ``df`` is hot; then no finer group is either, and
+    operators that get the answer do not count again."""
+    if skew.mode == "auto" and split_hot(df.select(*keys), keys, skew.max_group_rows, skew).hot is None:
+        return replace(skew, mode="off")
+    return skew
+
+
 def union_parts(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 

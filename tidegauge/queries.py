@@ -22,7 +22,7 @@ from .operators.windows import (
     window_stats,
 )
 from .plans.batch import run_batch
-from .plans.skew import use_checkpoint_dir
+from .plans.skew import decided, use_checkpoint_dir
 from .plans.trailing import with_running_moments
 from .schema import KEYS, ORDER
 from .sources.sinks import parquet_sink
@@ -30,12 +30,14 @@ from .sources.views import raw_messages, readings, table
 from .streaming import operators as streaming
 from .streaming.batchwise import score_by_trigger
 from .streaming.run import start_streams
+from .streaming.triggers import DedupStage, WindowStage, run_by_trigger
 
 SIX_HOURS = WindowConfig(window_seconds=6 * 3600)
 ONE_DAY = WindowConfig(window_seconds=24 * 3600)
 ANCHORED = WindowConfig(window_seconds=24 * 3600, alignment="series")
 DAY_TTL = DedupConfig(ttl_seconds=24 * 3600)
 AS_OF = "2024-01-15 00:00:00"
+MID_WINDOW = "2024-01-15 05:30:00"
 FORCED = SkewConfig(mode="on", rows_per_slice=2_000)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,8 +267,9 @@ def running_moments_sliced(spark, folder):
 
 
 def _spikes(spark, folder, windows, cfg=DetectConfig()):
-    stats = window_stats(_readings(spark, folder), windows)
-    scored = detect.score_windows(stats, cfg)
+    rows = _readings(spark, folder)
+    skew = decided(rows, KEYS, SkewConfig())
+    scored = detect.score_windows(window_stats(rows, windows, skew=skew), cfg, skew)
     return scored.filter(detect.is_window_anomaly(cfg)).select(
         *KEYS,
         _ntz("detected_at", "window_end"),
@@ -303,8 +306,18 @@ def _published(alerts: DataFrame) -> DataFrame:
 @query
 def all_alerts(spark, folder):
     rows = _readings(spark, folder)
-    windows = window_stats(rows, SIX_HOURS)
-    return _published(detect.all_alerts(detect.record_alerts(rows), detect.window_alerts(windows)))
+    skew = decided(rows, KEYS, SkewConfig())
+    windows = detect.window_alerts(window_stats(rows, SIX_HOURS, skew=skew), skew=skew)
+    return _published(detect.all_alerts(detect.record_alerts(rows, skew=skew), windows))
+
+
+@query
+def window_alert_rows(spark, folder):
+    """Alert rows of windows as published, with the message."""
+    rows = _cents(_readings(spark, folder))
+    skew = decided(rows, KEYS, SkewConfig())
+    alerts = detect.window_alerts(window_stats(rows, SIX_HOURS, skew=skew), skew=skew)
+    return alerts.withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
 
 
 # Deduplication: user ids stand in for message ids that come back
@@ -346,7 +359,8 @@ def dedup_short_ttl(spark, folder):
 
 @query
 def dedup_statistics(spark, folder):
-    return metrics.dedup_stats(_flagged(spark, folder), DAY_TTL)
+    rows = _readings(spark, folder, "user_id")
+    return metrics.dedup_stats(_flagged(spark, folder), DAY_TTL, rows=rows)
 
 
 # Parsing
@@ -414,8 +428,8 @@ def aggregator_statistics(spark, folder):
 
 @query
 def aggregator_buffers(spark, folder):
-    rows = _readings(spark, folder).filter(F.col("timestamp") <= F.lit(AS_OF).cast("timestamp"))
-    return metrics.buffer_sizes(rows, window_stats(rows, SIX_HOURS, as_of=AS_OF), SIX_HOURS)
+    rows = _readings(spark, folder).filter(F.col("timestamp") <= F.lit(MID_WINDOW).cast("timestamp"))
+    return metrics.buffer_sizes(rows, MID_WINDOW, SIX_HOURS)
 
 
 @query
@@ -483,8 +497,47 @@ def _drain(rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{folder}/out")
 
 
+def _in_five_files(spark, folder, part):
+    """The events as a stream of five triggers; ``part`` tells the trigger of a row, from 0 to 4."""
+    events, path = table(spark, folder, "events"), f"{_stream_folder(spark)}/events"
+    for n in range(5):
+        events.filter(part == n).coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(path)
+
+
+def _in_time_order(spark, folder):
+    first, last = table(spark, folder, "events").agg(F.min("ts"), F.max("ts")).first()
+    share = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))) / (
+        F.unix_micros(F.lit(last).cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))
+    )
+    return _in_five_files(spark, folder, F.least(F.floor(share * 5), F.lit(4)))
+
+
+def _run(rows: DataFrame, out: str, step) -> None:
+    run_by_trigger(rows, out, step, {"availableNow": True}).awaitTermination()
+
+
 @query
 def stream_dedup(spark, folder):
+    out = _stream_folder(spark)
+    stage = DedupStage(out, DAY_TTL, ["event_id"])
+    _run(readings(_event_stream(spark, folder), "user_id"), out, stage.step)
+    return spark.read.parquet(stage.out).select("event_id", "message_id", "is_duplicate")
+
+
+@query
+def stream_dedup_five_triggers(spark, folder):
+    """The ids of earlier triggers count."""
+    out = _stream_folder(spark)
+    stage = DedupStage(out, DAY_TTL, ["event_id"])
+    _run(readings(_in_time_order(spark, folder), "user_id"), out, stage.step)
+    return spark.read.parquet(stage.out).select("event_id", "message_id", "is_duplicate")
+
+
+@query
+def stream_dedup_keyed_state(spark, folder):
+    """The same with state kept by Spark."""
     rows = streaming.watermarked(readings(_event_stream(spark, folder), "user_id"))
     flagged = streaming.dedup_ttl(rows, DAY_TTL, ["event_id"])
     return _drain(flagged).select("event_id", "message_id", "is_duplicate")
@@ -497,20 +550,32 @@ def stream_dedup_within_watermark(spark, folder):
     return _drain(streaming.dedup_within_watermark(rows, DAY_TTL)).select("message_id")
 
 
+def _scores_by_trigger(spark, rows, skew=SkewConfig()):
+    out = _stream_folder(spark)
+    now = {"availableNow": True}
+    score_by_trigger(rows, out, parquet_sink(f"{out}/scored"), skew=skew, trigger=now).awaitTermination()
+    return _scored(spark.read.parquet(f"{out}/scored"))
+
+
 @query
 def stream_zscore_baseline(spark, folder):
+    return _scores_by_trigger(spark, readings(_event_stream(spark, folder)))
+
+
+@query
+def stream_zscore_five_triggers(spark, folder):
+    return _scores_by_trigger(spark, readings(_in_time_order(spark, folder)))
+
+
+@query
+def stream_zscore_keyed_state(spark, folder):
     return _scored(_drain(streaming.score_records(readings(_event_stream(spark, folder)))))
 
 
 @query
 def stream_zscore_by_trigger(spark, folder):
     """The same scores by the batch operator, with every series treated as hot."""
-    out = _stream_folder(spark)
-    rows = readings(_event_stream(spark, folder))
-    now = {"availableNow": True}
-    run = score_by_trigger(rows, out, parquet_sink(f"{out}/scored"), skew=FORCED, trigger=now)
-    run.awaitTermination()
-    return _scored(spark.read.parquet(f"{out}/scored"))
+    return _scores_by_trigger(spark, readings(_event_stream(spark, folder)), FORCED)
 
 
 @query
@@ -525,27 +590,73 @@ def stream_window_spikes(spark, folder):
     return _published(_drain(streaming.window_alerts(streaming.window_stats(rows, ONE_DAY))))
 
 
+def _windows_by_trigger(spark, rows, cfg):
+    out = _stream_folder(spark)
+    stage = WindowStage(out, cfg)
+    _run(rows, out, stage.step)
+    return _windows(spark.read.parquet(stage.out))
+
+
+@query
+def stream_windows_five_triggers(spark, folder):
+    return _windows_by_trigger(spark, readings(_in_time_order(spark, folder)), ONE_DAY)
+
+
 @query
 def stream_anchored_windows(spark, folder):
-    """In one trigger a series' windows close until the first sparse one."""
+    return _windows_by_trigger(spark, readings(_event_stream(spark, folder)), ANCHORED)
+
+
+@query
+def stream_anchored_five_triggers(spark, folder):
+    return _windows_by_trigger(spark, readings(_in_time_order(spark, folder)), ANCHORED)
+
+
+@query
+def stream_anchored_keyed_state(spark, folder):
     rows = streaming.watermarked(readings(_event_stream(spark, folder)))
     return _windows(_drain(streaming.anchored_window_stats(rows, ONE_DAY)))
 
 
-@query
-def stream_end_to_end_alerts(spark, folder):
+def _whole_stream(spark, raw):
     cfg = replace(EngineConfig(), dedup=DAY_TTL, windows=ONE_DAY)
     out = _stream_folder(spark)
-    streams = start_streams(
-        raw_messages(_event_stream(spark, folder), "user_id"),
-        out,
-        cfg,
-        on_alert=parquet_sink(f"{out}/alerts/kind=record"),
-        on_window_alert=parquet_sink(f"{out}/alerts/kind=window"),
-        on_window=parquet_sink(f"{out}/windows"),
-        tie_break=["event_id"],
-        trigger={"availableNow": True},
-    )
+    now = {"availableNow": True}
+    streams = start_streams(raw, out, cfg, tie_break=["event_id"], trigger=now)
     streams.wait()
     streams.stop()
+    return out
+
+
+@query
+def stream_end_to_end_alerts(spark, folder):
+    out = _whole_stream(spark, raw_messages(_event_stream(spark, folder), "user_id"))
     return _published(spark.read.parquet(f"{out}/alerts"))
+
+
+@query
+def stream_end_to_end_five_triggers(spark, folder):
+    out = _whole_stream(spark, raw_messages(_in_time_order(spark, folder), "user_id"))
+    return _published(spark.read.parquet(f"{out}/alerts"))
+
+
+def _out_of_order(spark, folder):
+    """Every trigger holds a fifth of all times, so all but the first bring late readings."""
+    events = _in_five_files(spark, folder, F.col("event_id") % 5)
+    return _whole_stream(spark, raw_messages(events))
+
+
+@query
+def stream_late_records(spark, folder):
+    """Late readings are processed like others."""
+    flagged = spark.read.parquet(f"{_out_of_order(spark, folder)}/flagged")
+    rows = flagged.filter(~F.col("is_duplicate"))
+    return rows.select("event_id", "message_id", *KEYS, "value", _ntz("timestamp"))
+
+
+@query
+def stream_late_counters(spark, folder):
+    """received = malformed + dupes + processed; the late ones had their window closed."""
+    rows = spark.read.parquet(f"{_out_of_order(spark, folder)}/counters")
+    names = ("received", "malformed", "dupes", "processed", "late")
+    return rows.agg(*[F.sum(c).alias(c) for c in names])

@@ -12,15 +12,21 @@ from ..functions.parsing import decode_utf8
 FORMATS = ("kafka", "json", "text", "parquet")
 
 
-def kafka_options(cfg: KafkaConfig, streaming: bool = True) -> dict[str, str]:
-    """Reader options. Offsets are committed by the checkpoint, never by the consumer."""
+def kafka_options(
+    cfg: KafkaConfig, streaming: bool = True, fixed_group: bool = False
+) -> dict[str, str]:
+    """Reader options. Offsets are committed by the checkpoint, never by the consumer.
+
+    The group id is only a prefix, so that each query has a group of its own and reads all data;
+    ``fixed_group`` uses it as it is, for brokers that admit named groups alone.
+    """
     options = {
         "kafka.bootstrap.servers": cfg.bootstrap_servers,
         "subscribe": cfg.topic,
         "startingOffsets": cfg.auto_offset_reset,
         "kafka.session.timeout.ms": str(cfg.session_timeout_ms),
         "kafka.max.poll.records": str(cfg.max_poll_records),
-        "kafka.group.id": cfg.group_id,
+        "kafka.group.id" if fixed_group else "groupIdPrefix": cfg.group_id,
         "failOnDataLoss": "true",
     }
     if not streaming:

@@ -21,12 +21,19 @@ def window_lines(windows: DataFrame) -> DataFrame:
 
 
 def print_alerts(alerts: DataFrame, batch_id: int) -> None:
-    """Console sink for demonstrations; large results belong in ``parquet_sink``."""
-    alert_lines(alerts).show(truncate=False)
+    """Prints every alert on the driver, one partition at a time; large results belong in
+    ``parquet_sink``."""
+    _print(alert_lines(alerts))
 
 
 def print_windows(windows: DataFrame, batch_id: int) -> None:
-    window_lines(windows).show(truncate=False)
+    """Prints every window, as ``print_alerts`` does."""
+    _print(window_lines(windows))
+
+
+def _print(lines: DataFrame) -> None:
+    for row in lines.toLocalIterator():
+        print(row["line"])
 
 
 def parquet_sink(path: str) -> BatchHook:

@@ -1,23 +1,18 @@
 """Scoring a stream trigger by trigger with the batch operator.
 
-The keyed-state operator brings all rows of a series and a trigger to one task. Where one series
-may hold a large share of a trigger, this variant is the better one: it needs only the last
-rows of each series from the trigger before, and the batch operator cuts hot series into
+The keyed-state operator brings all rows of a series and a trigger to one task. This one needs only the
+last values of each series from the triggers before, stays in the JVM, and cuts hot series into
 slices. Both give the same scores.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DetectConfig, SkewConfig
-from ..operators.detect import score_records
-from ..schema import KEYS, ORDER
 from ..sources.sinks import BatchHook
-
-_AGE = "__age"
+from .triggers import ScoreStage, run_by_trigger
 
 
 def score_by_trigger(
@@ -30,43 +25,13 @@ def score_by_trigger(
     trigger: dict | None = None,
     name: str = "scores",
 ) -> StreamingQuery:
-    """Start a query that hands the scored rows of each trigger to ``publish``.
-
-    The rows a series needs from earlier are kept per trigger in ``folder/recent``, on shared
-    storage, so a replayed trigger starts from the same rows. Folders of older triggers than
-    the last two may be deleted.
-    """
-    order = order or ORDER
-    spark = records.sparkSession
-
-    def recent(batch_id: int) -> str:
-        return f"{folder}/recent/batch_id={batch_id}"
+    """Start a query that hands the scored rows of each trigger to ``publish``. What a series needs from
+    earlier is kept in ``folder/state``, on shared storage."""
+    stage = ScoreStage.of_readings(folder, cfg, order, skew)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        rows = batch.withColumn(_AGE, F.lit(0))
-        if batch_id > 0:
-            earlier = spark.read.parquet(recent(batch_id - 1))
-            rows = rows.unionByName(earlier, allowMissingColumns=True)
-        arrival = [_AGE, *order]
-        scored = score_records(rows, cfg, arrival, skew)
-        publish(scored.filter(F.col(_AGE) == 0).drop(_AGE), batch_id)
-
-        # The limit per series runs before the shuffle, so a hot series sends few rows.
-        newest = Window.partitionBy(*KEYS).orderBy(*[F.col(c).desc() for c in arrival])
-        kept = (
-            rows.select(*dict.fromkeys([*KEYS, *order, "value", _AGE]))
-            .withColumn("__rank", F.row_number().over(newest))
-            .filter(F.col("__rank") <= cfg.baseline_rows)
-            .withColumn(_AGE, -F.col("__rank"))
-            .drop("__rank")
-        )
-        kept.write.mode("overwrite").parquet(recent(batch_id))
+        publish(stage.step(batch, batch_id), batch_id)
         batch.unpersist()
 
-    writer = (
-        records.writeStream.queryName(name)
-        .foreachBatch(step)
-        .option("checkpointLocation", f"{folder}/checkpoints/{name}")
-    )
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    return run_by_trigger(records, folder, step, trigger, name)

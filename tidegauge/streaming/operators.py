@@ -132,7 +132,7 @@ def spikes(scored: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFrame:
 
 
 def anchored_window_stats(df: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
-    """Series-anchored windows in arrival order, with ``closed_at``; needs a watermark."""
+    """Series-anchored windows with ``closed_at``; needs a watermark."""
     use_state_store(df.sparkSession)
     bigint = T.LongType()
     schema = T.StructType(

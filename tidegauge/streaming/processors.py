@@ -117,12 +117,11 @@ class TrailingBaseline(StatefulProcessor):
 
 
 class AnchoredWindows(StatefulProcessor):
-    """Windows that start at the first record of a series and close with the watermark.
+    """Windows on the grid of a series' first record, closed with the watermark.
 
-    A window takes every buffered row up to its upper bound (included), however old, so late
-    rows count in the window that is open. The next window starts at that bound; after a window
-    with too few rows, which is left out with its rows used up, it starts at the watermark. A
-    series without buffered rows is forgotten and starts again with its next record.
+    A row belongs to the window that includes its time as upper bound, or, if that one is closed, to
+    the first open one. Windows with too few rows are left out, with their rows used up. The
+    grid of a series stays, also while no row of it is buffered.
     """
 
     def __init__(self, width_us: int, min_samples: int, percentile: float, names: list[str]):
@@ -133,53 +132,61 @@ class AnchoredWindows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.start = handle.getValueState("window_start", "t bigint")
-        self.buffer = handle.getListState("buffer", "t bigint, value double")
+        self.grid = handle.getValueState("grid", "first bigint, open bigint")
+        self.buffer = handle.getListState("buffer", "window bigint, value double")
         self.out = Row(*self.names)
 
-    def _due(self, start: int) -> int:
-        return -(-(start + self.width_us) // 1000)
+    def _arm(self, first: int, window: int) -> None:
+        """A timer for the end of a window; timers have no finer grain than milliseconds."""
+        self.handle.registerTimer(-(-(first + (window + 1) * self.width_us) // 1000))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         incoming = [(row["__t"], row["value"]) for row in rows]
-        if not self.start.exists():
-            first = min(t for t, _ in incoming)
-            self.start.update((first,))
-            self.handle.registerTimer(self._due(first))
-        self.buffer.appendList(incoming)
+        state = self.grid.get()
+        if state is None:
+            state = (min(t for t, _ in incoming), 0)
+            self.grid.update(state)
+        first, open_ = state
+        placed = [(max(-((first - t) // self.width_us) - 1, open_), v) for t, v in incoming]
+        self.buffer.appendList(placed)
+        for window in {w for w, _ in placed}:
+            self._arm(first, window)
         yield from ()
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        start = self.start.get()[0]
-        held = [(row[0], row[1]) for row in self.buffer.get()]
-        while held and start + self.width_us <= now:
-            end = start + self.width_us
-            values = np.array([v for t, v in held if t <= end], dtype="float64")
-            held = [(t, v) for t, v in held if t > end]
-            if len(values) < self.min_samples:
-                start = now
-                continue
-            yield self.out(
-                *key,
-                start,
-                end,
-                now,
-                len(values),
-                float(values.mean()),
-                float(values.min()),
-                float(values.max()),
-                float(values.std(ddof=1)) if len(values) > 1 else 0.0,
-                float(np.percentile(values, self.percentile)),
-            )
-            start = end
+        first, open_ = self.grid.get()
+        after = max(open_, (now - first) // self.width_us)
+        if after == open_:
+            return
+        held: list[tuple[int, float]] = []
+        due: dict[int, list[float]] = {}
+        for row in self.buffer.get():
+            if row[0] < after:
+                due.setdefault(row[0], []).append(row[1])
+            else:
+                held.append((row[0], row[1]))
+        self.grid.update((first, after))
         if held:
-            self.start.update((start,))
             self.buffer.put(held)
-            self.handle.registerTimer(self._due(start))
         else:
-            self.start.clear()
             self.buffer.clear()
+        for window in sorted(due):
+            values = np.array(due[window], dtype="float64")
+            if len(values) >= self.min_samples:
+                start = first + window * self.width_us
+                yield self.out(
+                    *key,
+                    start,
+                    start + self.width_us,
+                    now,
+                    len(values),
+                    float(values.mean()),
+                    float(values.min()),
+                    float(values.max()),
+                    float(values.std(ddof=1)) if len(values) > 1 else 0.0,
+                    float(np.percentile(values, self.percentile)),
+                )
 
     def close(self) -> None:
         pass

@@ -2,62 +2,47 @@
 
 from __future__ import annotations
 
-import threading
 import time
-from collections import defaultdict
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery
 
 from ..config import EngineConfig
-from ..operators.detect import is_record_anomaly, record_alert_columns
+from ..functions.parsing import PAYLOAD_CHARS
+from ..operators import detect
+from ..operators.metrics import one_row
 from ..operators.parse import dead_letters, parse, valid_records
-from ..schema import WINDOW
-from ..sources.sinks import BatchHook, parquet_sink, print_alerts, print_windows
-from . import operators as ops
-from .batchwise import score_by_trigger
+from ..plans.skew import decided
+from ..schema import KEYS, WINDOW
+from ..sources.sinks import BatchHook, parquet_sink
+from .triggers import DedupStage, ScoreStage, WindowStage, run_by_trigger, stored
 
-COUNTS = ["received", "malformed", "dupes", "processed", "alerts", "late"]
+COUNTS = ["received", "malformed", "dupes", "processed", "alerts", "windows", "late"]
 
 
-class CounterListener(StreamingQueryListener):
-    """Totals of the observed counters of all queries.
+@dataclass
+class Counters:
+    """Counters of all triggers, kept as one row per trigger in the stream's folder.
 
-    received = malformed + late + dupes + processed, where late rows were behind the watermark.
+    received = malformed + dupes + processed; late rows are processed, only their window had closed.
     """
 
-    def __init__(self):
-        self._lock = threading.Lock()
-        self._seen: dict[tuple, dict[str, int]] = defaultdict(dict)
-
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
-        progress = event.progress
-        with self._lock:
-            for name, row in progress.observedMetrics.items():
-                # Keyed by trigger, so a replayed trigger is not counted twice.
-                self._seen[(str(progress.id), progress.batchId, name)] = row.asDict()
-            if progress.name == "flagged":
-                late = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
-                self._seen[(str(progress.id), progress.batchId, "late")] = {"late": late}
-
-    def onQueryIdle(self, event) -> None:
-        pass
+    spark: SparkSession
+    folder: str
 
-    def onQueryTerminated(self, event) -> None:
-        pass
+    def rows(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/counters")
 
     def totals(self) -> dict[str, float]:
-        totals = dict.fromkeys(COUNTS, 0)
-        with self._lock:
-            for row in self._seen.values():
-                for name, value in row.items():
-                    if name in totals:
-                        totals[name] += value or 0
+        """Totals since the folder was first used, whatever was restarted in between."""
+        try:
+            row = self.rows().agg(*[F.sum(c).alias(c) for c in COUNTS]).first().asDict()
+        except AnalysisException:  # no trigger has ended yet
+            row = {}
+        totals = {c: row.get(c) or 0 for c in COUNTS}
         received = max(totals["received"], 1)
         return totals | {
             "malformed_pct": round(100 * totals["malformed"] / received, 2),
@@ -68,7 +53,7 @@ class CounterListener(StreamingQueryListener):
 @dataclass
 class Streams:
     queries: list[StreamingQuery]
-    counters: CounterListener
+    counters: Counters
     spark: SparkSession
 
     def wait(self, seconds: float | None = None) -> None:
@@ -79,7 +64,7 @@ class Streams:
             query.awaitTermination(left) if left is not None else query.awaitTermination()
 
     def stop(self, seconds: float = 60.0) -> None:
-        """Stop between triggers where possible; open windows resume from the checkpoint."""
+        """Stop between triggers where possible; open windows resume from the folder."""
         deadline = time.monotonic() + seconds
         for query in self.queries:
             while query.isActive and query.status["isTriggerActive"]:
@@ -87,175 +72,103 @@ class Streams:
                     break
                 time.sleep(0.05)
             query.stop()
-        self.spark.streams.removeListener(self.counters)
-
-
-def clean_stream(
-    raw: DataFrame,
-    folder: str,
-    cfg: EngineConfig = EngineConfig(),
-    tie_break: list[str] | None = None,
-    trigger: dict | None = None,
-    on_dead_letter: BatchHook | None = None,
-) -> list[StreamingQuery]:
-    """Two queries: malformed messages to the dead letters; valid ones, flagged as duplicate or
-    not, to the table ``folder/flagged``, partitioned by the flag."""
-    trigger = trigger or {"processingTime": f"{cfg.flush_interval_seconds} seconds"}
-    parsed = parse(raw)
-    gate = parsed.observe(
-        "gate",
-        F.count(F.lit(1)).alias("received"),
-        F.count_if(F.col("reason_code").isNotNull()).alias("malformed"),
-    )
-    rejected = (
-        dead_letters(gate)
-        .writeStream.queryName("dead_letters")
-        .foreachBatch(on_dead_letter or parquet_sink(f"{folder}/dead_letters"))
-        .option("checkpointLocation", f"{folder}/checkpoints/dead_letters")
-        .trigger(**trigger)
-        .start()
-    )
-    # State and tables keep the tags as JSON text.
-    valid = valid_records(parsed).withColumn("tags", F.col("tags").cast("string"))
-    flagged = ops.dedup_ttl(
-        ops.watermarked(valid, cfg.watermark_delay_seconds), cfg.dedup, tie_break
-    ).observe(
-        "dedup",
-        F.count_if("is_duplicate").alias("dupes"),
-        F.count_if(~F.col("is_duplicate")).alias("processed"),
-    )
-    kept = (
-        flagged.writeStream.queryName("flagged")
-        .format("parquet")
-        .partitionBy("is_duplicate")
-        .option("path", f"{folder}/flagged")
-        .option("checkpointLocation", f"{folder}/checkpoints/flagged")
-        .outputMode("append")
-        .trigger(**trigger)
-        .start()
-    )
-    return [rejected, kept]
-
-
-def accepted_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """The accepted records of ``clean_stream`` as a stream; the file sink's log makes each
-    appear exactly once."""
-    rows = spark.readStream.schema(schema).parquet(f"{folder}/flagged")
-    return rows.filter(~F.col("is_duplicate")).drop("is_duplicate")
-
-
-def _computed(hook: BatchHook) -> BatchHook:
-    """Compute every partition before the hook, which may then look at a few rows or none;
-    otherwise the state of the partitions it leaves out would not be committed."""
 
-    def call(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        batch.count()
-        hook(batch, batch_id)
-        batch.unpersist()
 
-    return call
-
-
-def detect_stream(
-    records: DataFrame,
-    folder: str,
-    cfg: EngineConfig = EngineConfig(),
-    on_alert: BatchHook = print_alerts,
-    on_window: BatchHook = print_windows,
-    on_window_alert: BatchHook | None = None,
-    order: list[str] | None = None,
-    trigger: dict | None = None,
-    hot_series: bool = False,
-) -> list[StreamingQuery]:
-    """Two queries: reading alerts; closed windows with their spike alerts, which are handed
-    over before the windows. ``hot_series`` scores readings with the batch operator, which
-    spreads a series that holds much of a trigger over many tasks; its alerts are not in the
-    counters.
-
-    Each query numbers its triggers from 0, so a hook that writes by trigger number needs one
-    place per kind of alert: give ``on_window_alert`` as well (by default it is ``on_alert``).
-    """
-    on_spike = on_window_alert or on_alert
-    trigger = trigger or {"processingTime": f"{cfg.flush_interval_seconds} seconds"}
-    if hot_series:
-
-        def publish_scored(scored: DataFrame, batch_id: int) -> None:
-            anomalies = scored.filter(is_record_anomaly(cfg.detect))
-            on_alert(anomalies.select(*record_alert_columns(cfg.detect)), batch_id)
-
-        by_record = score_by_trigger(
-            records, folder, publish_scored, cfg.detect, order, cfg.skew, trigger, "record_alerts"
+class Engine:
+    """All stages for one trigger's raw messages; see ``start_streams``."""
+
+    def __init__(
+        self,
+        folder: str,
+        cfg: EngineConfig,
+        on_alert: BatchHook | None = None,
+        on_window: BatchHook | None = None,
+        on_window_alert: BatchHook | None = None,
+        on_dead_letter: BatchHook | None = None,
+        tie_break: list[str] | None = None,
+        order: list[str] | None = None,
+    ):
+        self.folder, self.cfg, self.order = folder, cfg, order
+        self.on_alert = on_alert or parquet_sink(f"{folder}/alerts/kind=record")
+        self.on_window_alert = on_window_alert or on_alert or parquet_sink(f"{folder}/alerts/kind=window")
+        self.on_window = on_window or parquet_sink(f"{folder}/windows")
+        self.on_dead_letter = on_dead_letter or parquet_sink(f"{folder}/dead_letters")
+        self.dedup = DedupStage(folder, cfg.dedup, tie_break, cfg.skew)
+        self.windows = WindowStage(folder, cfg.windows, cfg.watermark_delay_seconds, cfg.skew)
+        self.means = ScoreStage.of_windows(folder, cfg.detect, cfg.skew)
+
+    def step(self, raw: DataFrame, n: int) -> None:
+        detecting = self.cfg.detect
+        failed = F.col("reason_code").isNotNull()
+        parsed = parse(raw)
+        parsed = parsed.withColumn("raw", F.when(failed, F.substring("raw", 1, PAYLOAD_CHARS))).persist()
+        self.on_dead_letter(dead_letters(parsed), n)
+        gate = parsed.agg(
+            F.count(F.lit(1)).alias("received"), F.count_if(failed).alias("malformed")
         )
-    else:
-        count = F.count(F.lit(1)).alias("alerts")
-        alerts = ops.record_alerts(records, cfg.detect, order).observe("record_alerts", count)
-        by_record = (
-            alerts.writeStream.queryName("record_alerts")
-            .foreachBatch(_computed(on_alert))
-            .option("checkpointLocation", f"{folder}/checkpoints/record_alerts")
-            .trigger(**trigger)
-            .start()
+        # Tables keep the tags as JSON text.
+        valid = valid_records(parsed).withColumn("tags", F.col("tags").cast("string"))
+        if self.dedup.ties is None:
+            self.dedup.ties = [c for c in ("partition", "offset") if c in raw.columns]
+        flagged = self.dedup.step(valid, n)
+        deduplicated = flagged.agg(
+            F.count_if("is_duplicate").alias("dupes"),
+            F.count_if(~F.col("is_duplicate")).alias("processed"),
         )
-
-    timed = ops.watermarked(records, cfg.watermark_delay_seconds)
-    scored = ops.score_windows(ops.window_stats(timed, cfg.windows), cfg.detect).observe(
-        "window_alerts", F.count_if(ops.is_window_anomaly(cfg.detect)).alias("alerts")
-    )
-    names = WINDOW.fieldNames()
-
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        on_spike(ops.spikes(batch, cfg.detect), batch_id)
-        on_window(batch.select(*names), batch_id)
-
-    by_window = (
-        scored.writeStream.queryName("windows")
-        .foreachBatch(_computed(publish))
-        .option("checkpointLocation", f"{folder}/checkpoints/windows")
-        .trigger(**trigger)
-        .start()
-    )
-    return [by_record, by_window]
+        records = flagged.filter(~F.col("is_duplicate")).drop("is_duplicate")
+
+        skew = decided(records, KEYS, self.cfg.skew)
+        scoring = ScoreStage.of_readings(self.folder, detecting, self.order, skew)
+        scored = scoring.step(records, n).filter(detect.is_record_anomaly(detecting))
+        alerts = scored.select(*detect.record_alert_columns(detecting)).persist()
+        self.on_alert(alerts, n)
+
+        closed, late = self.windows.step(records, n)
+        spikes = self.means.step(closed, n).filter(detect.is_window_anomaly(detecting))
+        spikes = spikes.select(*detect.window_alert_columns(detecting)).persist()
+        self.on_window_alert(spikes, n)
+        self.on_window(closed.select(*WINDOW.fieldNames()), n)
+
+        def count(rows: DataFrame, name: str) -> DataFrame:
+            return rows.agg(F.count(F.lit(1)).alias(name))
+
+        raised = count(alerts.unionByName(spikes), "alerts")
+        counters = one_row(
+            gate, deduplicated, raised, count(closed, "windows"), count(late, "late")
+        )
+        stored(counters, f"{self.folder}/counters", n)
+        for rows in (parsed, alerts, spikes):
+            rows.unpersist()
 
 
 def start_streams(
     raw: DataFrame,
     folder: str,
     cfg: EngineConfig = EngineConfig(),
-    on_alert: BatchHook = print_alerts,
-    on_window: BatchHook = print_windows,
+    on_alert: BatchHook | None = None,
+    on_window: BatchHook | None = None,
     on_window_alert: BatchHook | None = None,
     on_dead_letter: BatchHook | None = None,
     tie_break: list[str] | None = None,
     trigger: dict | None = None,
-    hot_series: bool = False,
+    order: list[str] | None = None,
 ) -> Streams:
-    """Start everything on a streaming table of raw messages.
-
-    ``folder`` is on shared storage; it holds the checkpoints and the cleaned tables, and a
-    restart with the same folder goes on where the last run ended. The message is parsed and
-    deduplicated once; the detectors read the cleaned table. With ``availableNow`` in
-    ``trigger`` the cleaning ends before the detectors start, as a backfill.
+    """Start everything on a streaming table of raw messages, as one query that reads and parses each
+    message once.
+
+    ``folder`` is on shared storage; it holds the checkpoint, the state, the flagged records, late
+    rows and counters, and, unless hooks are given, alerts, windows and dead letters. A restart with the same
+    folder goes on where the last run ended, and a replayed trigger overwrites its own output.
+
+    Readings are deduplicated and scored in the order of arrival, however late they are: trigger by
+    trigger, and within one by time or by ``order``. Copies of one message at one time are ordered by
+    ``tie_break``, by default by partition and offset, where there are such. Window alerts are handed over
+    before the windows. A hook that writes by trigger number needs one place per kind of alert: give
+    ``on_window_alert`` as well (by default it is ``on_alert``).
     """
-    spark = raw.sparkSession
-    ops.use_state_store(spark)
-    counters = CounterListener()
-    spark.streams.addListener(counters)
-    queries = clean_stream(raw, folder, cfg, tie_break, trigger, on_dead_letter)
-    if trigger and trigger.get("availableNow"):
-        for query in queries:
-            query.awaitTermination()
-    valid = valid_records(parse(raw)).withColumn("tags", F.col("tags").cast("string"))
-    schema = valid.schema.add("is_duplicate", "boolean")
-    records = accepted_stream(spark, folder, schema)
-    queries += detect_stream(
-        records,
-        folder,
-        cfg,
-        on_alert,
-        on_window,
-        on_window_alert,
-        trigger=trigger,
-        hot_series=hot_series,
+    trigger = trigger or {"processingTime": f"{cfg.flush_interval_seconds} seconds"}
+    engine = Engine(
+        folder, cfg, on_alert, on_window, on_window_alert, on_dead_letter, tie_break, order
     )
-    return Streams(queries, counters, spark)
+    query = run_by_trigger(raw, folder, engine.step, trigger, "tidegauge")
+    return Streams([query], Counters(raw.sparkSession, folder), raw.sparkSession)
