@@ -89,6 +89,7 @@ class SkewConfig:
     max_dedup_group_rows: int = 2_000
     rows_per_slice: int = 2_000_000
     broadcast_rows: int = 200_000
+    broadcast_bytes: int = 32_000_000
 
     def __post_init__(self):
         _require(self.mode in ("auto", "off", "on"), "mode is 'auto', 'off' or 'on'")

@@ -73,7 +73,7 @@ def split_hot(df: DataFrame, keys: list[str], max_rows: int, skew: SkewConfig) -
     """Tell the rows of hot groups from the rest.
 
     A hot group holds more than ``max_rows`` rows, so there are at most rows / max_rows
-    of them. That list is broadcast only while its counted size is small; beyond that
+    of them. That list is broadcast only while its counted rows and bytes are few; beyond that
     the joins shuffle. Without a hot group, the usual case, this costs one scan of the key
     columns with a count that is combined before its shuffle.
     """
@@ -85,9 +85,10 @@ def split_hot(df: DataFrame, keys: list[str], max_rows: int, skew: SkewConfig) -
     if hot.isEmpty():
         return HotSplit(df, None)
     hot = materialize(hot)
-    groups, rows = hot.agg(F.count(F.lit(1)), F.sum("__n")).first()
+    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys])
+    groups, rows, size = hot.agg(F.count(F.lit(1)), F.sum("__n"), F.sum(width)).first()
     hot = hot.drop("__n")
-    if groups <= skew.broadcast_rows:
+    if groups <= skew.broadcast_rows and size <= skew.broadcast_bytes:
         hot = F.broadcast(hot)
     on = null_safe(df, hot, keys)
     return HotSplit(df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi"), rows)

@@ -38,7 +38,6 @@ ANCHORED = WindowConfig(window_seconds=24 * 3600, alignment="series")
 DAY_TTL = DedupConfig(ttl_seconds=24 * 3600)
 AS_OF = "2024-01-15 00:00:00"
 MID_WINDOW = "2024-01-15 05:30:00"
-FORCED = SkewConfig(mode="on", rows_per_slice=2_000)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -65,6 +64,12 @@ def _raw(spark: SparkSession, folder: str, message_id: str = "event_id") -> Data
     return raw_messages(table(spark, folder, "events"), message_id)
 
 
+def _forced(spark: SparkSession, folder: str) -> SkewConfig:
+    """Every group treated as hot, in slices that are a share of the events."""
+    rows = table(spark, folder, "events").count()
+    return SkewConfig(mode="on", rows_per_slice=max(2_000, rows // 16))
+
+
 def _cents(df: DataFrame) -> DataFrame:
     """Whole numbers, whose sums do not depend on the order, for texts with rounded digits."""
     return df.withColumn("value", F.rint(F.col("value") * 100))
@@ -102,7 +107,7 @@ def zscore_baseline(spark, folder):
 @query
 def zscore_baseline_sliced(spark, folder):
     """The same with every series treated as hot."""
-    return _scored(detect.score_records(_readings(spark, folder), skew=FORCED))
+    return _scored(detect.score_records(_readings(spark, folder), skew=_forced(spark, folder)))
 
 
 def _anomalies(spark, folder, cfg=DetectConfig()):
@@ -190,7 +195,7 @@ def window_stats_as_of(spark, folder):
 @query
 def window_stats_sliced(spark, folder):
     """Daily windows with every window treated as hot."""
-    return _windows(window_stats(_readings(spark, folder), ONE_DAY, skew=FORCED))
+    return _windows(window_stats(_readings(spark, folder), ONE_DAY, skew=_forced(spark, folder)))
 
 
 @query
@@ -222,7 +227,7 @@ def series_percentiles(spark, folder):
 @query
 def series_percentiles_sliced(spark, folder):
     pcts = {"p05": 5.0, "p50": 50.0, "p95": 95.0, "p99": 99.0}
-    rows = percentiles(_readings(spark, folder), KEYS, pcts, FORCED)
+    rows = percentiles(_readings(spark, folder), KEYS, pcts, _forced(spark, folder))
     return rows.select(*KEYS, *[_r6(name) for name in pcts])
 
 
@@ -260,7 +265,7 @@ def running_moments(spark, folder):
 
 @query
 def running_moments_sliced(spark, folder):
-    return _running(spark, folder, FORCED)
+    return _running(spark, folder, _forced(spark, folder))
 
 
 # Spikes of window means
@@ -335,7 +340,7 @@ def dedup_flagged(spark, folder):
 @query
 def dedup_flagged_chain(spark, folder):
     """The same with every id treated as hot."""
-    return _flagged(spark, folder, FORCED).select("event_id", "message_id", "is_duplicate")
+    return _flagged(spark, folder, _forced(spark, folder)).select("event_id", "message_id", "is_duplicate")
 
 
 @query
@@ -575,7 +580,7 @@ def stream_zscore_keyed_state(spark, folder):
 @query
 def stream_zscore_by_trigger(spark, folder):
     """The same scores by the batch operator, with every series treated as hot."""
-    return _scores_by_trigger(spark, readings(_event_stream(spark, folder)), FORCED)
+    return _scores_by_trigger(spark, readings(_event_stream(spark, folder)), _forced(spark, folder))
 
 
 @query
