@@ -19,6 +19,7 @@ import heapq
 import json
 import math
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,12 +120,14 @@ class Splitter:
         self.words: dict[str, int] = {}
         self.bare: dict[str, int] = {}
         self.spaced: dict[str, int] = {}  # pieces with a space before, which is not in the key
-        self.piece_words: list[list[int]] = []
+        self.flat = array("I")  # the words of all pieces
+        self.lengths = array("I")  # and how many each piece has
 
     def _new(self, known: dict[str, int], key: str, piece: str) -> int:
-        number = known[key] = len(self.piece_words)
-        words = self.words
-        self.piece_words.append([words.setdefault(w, len(words)) for w in self.findall(piece)])
+        number = known[key] = len(self.lengths)
+        words, before = self.words, len(self.flat)
+        self.flat.extend([words.setdefault(w, len(words)) for w in self.findall(piece)])
+        self.lengths.append(len(self.flat) - before)
         return number
 
     def pieces_of(self, text: str) -> np.ndarray:
@@ -158,8 +161,8 @@ class Splitter:
 
     def word_numbers(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the pre-tokens of texts given by their pieces, and how many each text has."""
-        lengths = np.array([len(w) for w in self.piece_words], dtype=np.int64)
-        flat = np.array([n for w in self.piece_words for n in w], dtype=np.uint32)
+        lengths = np.array(self.lengths, dtype=np.int64)
+        flat = np.array(self.flat, dtype=np.uint32)
         pieces = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
         numbers = spread(flat, np.cumsum(lengths) - lengths, lengths, pieces)
         ends = np.concatenate([[0], np.cumsum(lengths[pieces])])
@@ -362,7 +365,8 @@ def encode_documents(
     shares = max(8, math.ceil(size / SHARE_BYTES))
     buckets = max(8, math.ceil(size / chunk_chars))
     held = store_bucketed(split_chunks(docs, pattern, shares, chunk_chars), "chunk", buckets)
-    return token_documents(held, encode_words(held, ranks))
+    # dealt like the buckets, so that neither the grouping nor the join deals anew
+    return token_documents(held, encode_words(held, ranks).repartition(buckets, "chunk"))
 
 
 def store_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
