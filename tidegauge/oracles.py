@@ -309,6 +309,9 @@ FROM flagged WHERE """
   reason_code, received_at FROM parsed WHERE reason_code IS NOT NULL"""
     sql["parse_outcomes"] = _with(_raw(), _PARSED) + """SELECT
   coalesce(reason_code, 'VALID') AS outcome, count(*) AS n FROM parsed GROUP BY 1"""
+    sql["source_decoded_rows"] = _with(_raw(), _PARSED) + """SELECT CAST(event_id % 3 AS INTEGER) AS "partition",
+  event_id AS "offset", message_id, sensor_id, metric_name, value, "timestamp" FROM valid"""
+    sql["source_text_outcomes"] = sql["parse_outcomes"]
     sql["parse_page_markup"] = """SELECT page_id, 'JSON_PARSE' AS reason_code,
   html[:500] AS raw_payload FROM pages"""
     sql["record_ages"] = _with(_tel()) + """SELECT message_id,
@@ -381,6 +384,7 @@ FROM tel WHERE "timestamp" <= TIMESTAMP '2024-01-15 05:30:00' GROUP BY 1"""
     unique = _with(_raw(), _PARSED)
     sql["stream_late_records"] = unique + """SELECT event_id, message_id, sensor_id, metric_name,
   value, "timestamp" FROM valid"""
+    sql["stream_restart_records"] = sql["stream_late_records"]
     sql["stream_late_counters"] = unique + """SELECT (SELECT count(*) FROM parsed) AS received,
   (SELECT count(*) FROM parsed WHERE reason_code IS NOT NULL) AS malformed, 0 AS dupes,
   count(*) AS processed,

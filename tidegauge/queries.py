@@ -25,6 +25,7 @@ from .plans.batch import run_batch
 from .plans.skew import decided, use_checkpoint_dir
 from .plans.trailing import with_running_moments
 from .schema import KEYS, ORDER
+from .sources.readers import from_kafka, open_source
 from .sources.sinks import parquet_sink
 from .sources.views import raw_messages, readings, table
 from .streaming import operators as streaming
@@ -415,6 +416,31 @@ def parse_page_markup(spark, folder):
     )
 
 
+@query
+def source_decoded_rows(spark, folder):
+    """Rows as a broker hands them over: bytes with their coordinates."""
+    sent = _raw(spark, folder).select(
+        F.encode("raw", "UTF-8").alias("value"),
+        F.lit("telemetry.raw").alias("topic"),
+        (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+    return valid_records(parse(from_kafka(sent))).select(
+        "partition", "offset", "message_id", *KEYS, "value", _ntz("timestamp")
+    )
+
+
+@query
+def source_text_outcomes(spark, folder):
+    """Messages written as text lines and read back as a source of lines."""
+    path = f"{_stream_folder(spark)}/lines"
+    _raw(spark, folder).select("raw").write.text(path)
+    parsed = parse(open_source(spark, "json", path))
+    return parsed.groupBy(F.coalesce("reason_code", F.lit("VALID")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 @query
 def record_ages(spark, folder):
     now = F.lit("2024-02-01 00:00:00").cast("timestamp")
@@ -511,6 +537,21 @@ def _in_five_files(spark, folder, part):
     return reader.parquet(path)
 
 
+@query
+def stream_restart_records(spark, folder):
+    """A second run on the same folder goes on where the first has ended."""
+    events, out = table(spark, folder, "events"), _stream_folder(spark)
+    half = F.col("event_id") % 2
+    for n in range(2):
+        events.filter(half == n).write.mode("append").parquet(f"{out}/events")
+        rows = spark.readStream.schema(events.schema).parquet(f"{out}/events")
+        streams = start_streams(raw_messages(rows), f"{out}/state", trigger={"availableNow": True})
+        streams.wait()
+        streams.stop()
+    flagged = spark.read.parquet(f"{out}/state/flagged").filter(~F.col("is_duplicate"))
+    return flagged.select("event_id", "message_id", *KEYS, "value", _ntz("timestamp"))
+
+
 def _in_time_order(spark, folder):
     first, last = table(spark, folder, "events").agg(F.min("ts"), F.max("ts")).first()
     share = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))) / (
