@@ -84,9 +84,8 @@ def parse(df: DataFrame, raw: str = "raw", received_at: Column | None = None) ->
         "value": "__value",
         "timestamp": "__time",
         "tags": _TAGS,
-        "tags_map": f"try_variant_get({_TAGS}, '$', 'map<string,string>')",
     }
-    return step.selectExpr(
+    step = step.selectExpr(
         *names,
         "__raw AS raw",
         "received_at",
@@ -97,6 +96,7 @@ def parse(df: DataFrame, raw: str = "raw", received_at: Column | None = None) ->
             for name, sql in outputs.items()
         ],
     )
+    return step.selectExpr("*", "try_variant_get(tags, '$', 'map<string,string>') AS tags_map")
 
 
 def valid_records(parsed: DataFrame) -> DataFrame:
