@@ -38,7 +38,7 @@ RIDGE = 1.0
 #: Share of the landmark's neighbouring letters that a word must have in order, at most three letters
 #: between, to be compared at all.
 PAIRS = 0.7
-_CACHE = 400_000
+_CACHE = 200_000
 _GAP, _EDGE = 0, 1
 _REACH = 4
 
