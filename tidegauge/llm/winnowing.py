@@ -170,7 +170,8 @@ def consecutive(docs: DataFrame) -> DataFrame:
     placed = texts.select("id", "doc_id", "text").mapInArrow(
         run, "part int, guest boolean, id bigint, doc_id bigint, text string"
     )
-    return placed.repartition(ranges, "part").sortWithinPartitions("part", "guest", "id", "text")
+    # one range per task; a hash of the range would put several into one
+    return placed.repartitionById(ranges, "part").sortWithinPartitions("part", "guest", "id", "text")
 
 
 def compare_with_next(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
