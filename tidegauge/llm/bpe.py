@@ -313,20 +313,26 @@ def encode_words(chunks: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     )
 
 
-def token_documents(chunks: DataFrame, encoded: DataFrame) -> DataFrame:
-    """``doc_id`` and ``ids`` of each document: the numbers of a chunk replaced by the ids of its words."""
+def token_documents(
+    chunks: DataFrame, encoded: DataFrame, ranks: dict[bytes, int] | None = None
+) -> DataFrame:
+    """``doc_id`` and ``ids`` of each document: the numbers of a chunk replaced by the ids of its words.
+    With ``ranks`` also ``bytes``, what the ids are decoded to."""
     answers = encoded.groupBy("chunk").agg(
         F.sort_array(F.collect_list(F.struct("share", "sizes", "ids"))).alias("answers")
     )
     joined = chunks.drop("words").join(answers, "chunk", "left")
+    sent = None if ranks is None else _send_tokens(chunks, ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                yield from _assemble(batch.slice(i, 1).to_pylist()[0])
+                for part in _assemble(batch.slice(i, 1).to_pylist()[0]):
+                    yield part if sent is None else _decoded(part, sent.value)
 
     columns = joined.select("doc_ids", "n_words", "numbers", "at", "answers")
-    return columns.mapInArrow(run, "doc_id bigint, ids binary")
+    more = "" if ranks is None else ", bytes binary"
+    return columns.mapInArrow(run, "doc_id bigint, ids binary" + more)
 
 
 def _assemble(row: dict) -> Iterator[pa.RecordBatch]:
@@ -352,10 +358,15 @@ def _assemble(row: dict) -> Iterator[pa.RecordBatch]:
 
 
 def encode_documents(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, chunk_chars: int = CHUNK_CHARS
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    chunk_chars: int = CHUNK_CHARS,
+    decode: bool = False,
 ) -> DataFrame:
     """``doc_id`` and ``ids`` of each row of ``docs``: the token ids, packed as little-endian unsigned
-    32-bit numbers; ``unpacked`` makes an array of them.
+    32-bit numbers; ``unpacked`` makes an array of them. With ``decode`` also ``bytes``, as by
+    ``decode_documents`` but in the same task.
 
     A null or empty text has no ids. Repeated rows are each encoded, null ids passed on, other
     columns not read, and an empty table gives no rows. The split texts are stored once, bucketed by
@@ -366,7 +377,8 @@ def encode_documents(
     buckets = max(8, math.ceil(size / chunk_chars))
     held = store_bucketed(split_chunks(docs, pattern, shares, chunk_chars), "chunk", buckets)
     # dealt like the buckets, so that neither the grouping nor the join deals anew
-    return token_documents(held, encode_words(held, ranks).repartition(buckets, "chunk"))
+    encoded = encode_words(held, ranks).repartition(buckets, "chunk")
+    return token_documents(held, encoded, ranks if decode else None)
 
 
 def store_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
@@ -393,27 +405,34 @@ def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     is joined by broadcast. Null or empty ids give empty bytes, an id that the table does not
     have fails.
     """
-    tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    sent = encoded.sparkSession.sparkContext.broadcast(tokens)
+    sent = _send_tokens(encoded, ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_of = sent.value.__getitem__
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                texts = [
-                    b"".join(map(token_of, np.frombuffer(ids or b"", "<u4").tolist()))
-                    for ids in part["ids"].to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], part["ids"], pa.array(texts, pa.binary())], ["doc_id", "ids", "bytes"]
-                )
+                yield _decoded(batch.slice(low, 512), sent.value)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids binary, bytes binary")
 
 
+def _send_tokens(df: DataFrame, ranks: dict[bytes, int]):
+    """Broadcast of the token-byte table, by id; an id without a token has None."""
+    tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return df.sparkSession.sparkContext.broadcast(tokens)
+
+
+def _decoded(part: pa.RecordBatch, tokens: list[bytes | None]) -> pa.RecordBatch:
+    token_of = tokens.__getitem__
+    texts = [
+        b"".join(map(token_of, np.frombuffer(ids or b"", "<u4").tolist()))
+        for ids in part["ids"].to_pylist()
+    ]
+    columns = [part["doc_id"], part["ids"], pa.array(texts, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "bytes"])
+
+
 def token_digests(decoded: DataFrame) -> DataFrame:
     """Number of ids, and SHA-256 of the packed ids and of the decoded bytes."""
     ids = F.coalesce("ids", F.lit("").cast("binary"))

@@ -66,8 +66,8 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = bpe.tokenizer(spark)
-    encoded = bpe.encode_documents(table(spark, folder, "documents"), ranks, pattern)
-    return bpe.token_digests(bpe.decode_documents(encoded, ranks))
+    docs = table(spark, folder, "documents")
+    return bpe.token_digests(bpe.encode_documents(docs, ranks, pattern, decode=True))
 
 
 @query
