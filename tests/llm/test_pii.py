@@ -72,3 +72,39 @@ def test_table(docs_of):
     assert found == [(2, 1, "email:0:6,email:12:30")] * 2
     assert len(rows) == len(EDGE) + 3 and sum(r["n_email"] for r in rows) == 4
     assert pii.find_pii(docs_of([])).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("kind", "text"),
+    [
+        ("phone", "call [plus 49 30 1234567] today"),
+        ("phone", "call [+ 49 30 1234567] today"),
+        ("ip", "host [one.two.three.four] is up"),
+        ("ip", "host [1 ( . ) 2 dot 3 dot 4] is up"),
+        ("email", "write [juan arroba example.com] now"),
+        ("email", "write [jan ät example.de] now"),
+        ("email", "write [jan at example.de] now"),
+        ("email", "write [jan ( at ) example.de] now"),
+        ("ip", "host [one dot ſix dot three dot four] is up"),
+    ],
+)
+def test_disguises_do_not_need_another_character(kind, text):
+    start, end = text.index("["), text.rindex("]") - 1
+    text = text[:start] + text[start + 1 : end + 1] + text[end + 2 :]
+    for whole in (text, text + " " + "x" * 400 + " \u2014 \u201cquoted\u201d"):
+        assert pii.all_spans(whole, pii.base_spans(whole))[kind] == [(start, end)]
+
+
+def test_spans_are_the_same_without_the_gate(monkeypatch):
+    rng = random.Random(6)
+    parts = [
+        *"0 1 49 . - + ( ) [ ] { } < > @ , _ a".split(), " ", " ", " ", "\t", "\n", "  ", "plus", "PLUS", "dot", "Punkt", "point",
+        "at", "AT", "ät", "Ät", "arroba", "one", "Two", "ſix", "sİx", "fünf", "null", "juan", "example", "com", "de", "pl", "é",
+    ]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(2, 24))) for _ in range(60_000)]
+    gated = [pii.all_spans(t, pii.base_spans(t)) for t in texts]
+    closed = sum(not pii.suspicious(t) for t in texts)
+    monkeypatch.setattr(pii, "suspicious", lambda text: True)
+    for text, spans in zip(texts, gated, strict=True):
+        assert pii.all_spans(text, pii.base_spans(text)) == spans, text
+    assert closed > 5_000

@@ -189,6 +189,8 @@ DIGITS = {
 _NUMERAL = "|".join(sorted(DIGITS, key=len, reverse=True))
 _DOT_NAMES = "dot|point|punkt|punto"
 _SPELLED = re.compile(rf"(?<!\w)(?:{_NUMERAL})(?!\w)", re.I)
+# letters that match an ASCII letter when case is ignored
+_CASES = str.maketrans("ıİſ", "iis")
 _ROW = re.compile(
     rf"(?<!\w)(?:{_NUMERAL}|\d+)(?:(?:[\s().,-]{{1,4}}|[ \t]+(?:{_DOT_NAMES})[ \t]+)(?:{_NUMERAL}|\d+))+(?!\w)", re.I
 )
@@ -207,7 +209,7 @@ def unmask_digits(mapped: Mapped) -> Mapped:
         for m in _SPELLED.finditer(mapped.text, *row.span()):
             if last is not None and mapped.text[last : m.start()].strip(" \t\n-") == "":
                 edits.append((last, m.start(), ""))
-            edits.append((*m.span(), DIGITS[m[0].lower()]))
+            edits.append((*m.span(), DIGITS[m[0].translate(_CASES).lower()]))
             last = m.end()
     mapped = rewrite(mapped, edits)
     mapped = rewrite(mapped, [(*m.span(), ".") for m in _POINT.finditer(mapped.text)])
@@ -233,10 +235,9 @@ _DOT = re.compile(rf"{_DOT_BOXED}|{_DOT_WORD}", re.I)
 # what a disguised address has; the long pattern is tried only around it
 _HINT = re.compile(
     rf"(?<![a-z])(?:{_DOT_NAMES})(?![a-z])|[\[({{<][ \t]*(?:at|@|a|ät|arroba|\.)[ \t]*[\])}}>]"
-    r"|[_-]at[_-]|[ \t]@|@[ \t]",
+    rf"|[_-]at[_-]|[ \t]@|@[ \t]|[ \t](?:at|ät|arroba)[ \t]+{_LABEL}\.[A-Za-z0-9-]",
     re.I,
 )
-_HINT_TEXTS = (*_DOT_NAMES.split("|"), "at)", "at]", "at}", "at>", "@", "(a)", "[a]", "ät", "arroba", "(.)", "[.]", "_at", "-at")
 _REACH = 200
 
 
@@ -268,17 +269,37 @@ def base_spans(text: str) -> dict[str, list[Span]]:
     return {kind: detect(text) for kind, detect in DETECTORS.items()}
 
 
-_JOINED = re.compile(rf"(?<!\w)(?:{_NUMERAL})-(?:{_NUMERAL})(?!\w)", re.I)
+# Of lowered texts, what every match of the transducers contains; a search that starts with a character of
+# few kinds is fast.
+_DIGIT_GATE = re.compile(
+    rf"(?:{_NUMERAL})(?:[\s().,-]|[ \t]+(?:{_DOT_NAMES}))[\s().,-]*(?:{_NUMERAL}|\d)"
+    rf"|\d(?:[\s().,-]|[ \t]+(?:{_DOT_NAMES}))[\s().,-]*(?:{_NUMERAL})"
+)
+# words of texts without _ODD characters, whose letters outside ASCII are all word characters
+_WORDS = bytes(c if c >= 128 or chr(c).isalnum() or c == ord("_") else ord(" ") for c in range(256))
+_DIGIT_WORDS = frozenset(name.encode() for name in DIGITS)
+_POINT_GATE = re.compile(rf"\d[ \t]*(?:[\[({{<]|[ \t](?:{_DOT_NAMES}))")
+_BOX_GATE = re.compile(r"[\[({<][ \t]*(?:at|@|a|ät|arroba|\.)[ \t]*[\])}>]")
+_AT_GATE = re.compile(r"[ \t](?:at|ät|arroba)[ \t]+[a-z0-9-]+\.[a-z0-9-]")
+_HINT_TEXTS = (*_DOT_NAMES.split("|"), "@", "_at", "-at")
 
 
 def suspicious(text: str) -> bool:
-    """Whether a transducer can change anything; the cheap tests come first."""
-    if not text.isascii() and _ODD.search(text):
-        return True
+    """Whether a transducer can change anything: true for every text that one changes, and for few others."""
+    if not text.isascii():
+        if _ODD.search(text):
+            return True
+        if any(c in text for c in "ıİſ"):
+            text = text.translate(_CASES)
     lower = text.lower()
-    if not DIGITS.keys().isdisjoint(lower.split()) and _ROW.search(text):
+    words = lower.encode().translate(_WORDS).split()
+    if not _DIGIT_WORDS.isdisjoint(words) and _DIGIT_GATE.search(lower):
+        return True
+    if _BOX_GATE.search(lower) or _AT_GATE.search(lower):
+        return True
+    if ("+" in lower or "plus" in lower) and _PLUS.search(text):
         return True
-    if "-" in text and _JOINED.search(text):
+    if _POINT_GATE.search(lower) and _POINT.search(text):
         return True
     return any(h in lower for h in _HINT_TEXTS) and _HINT.search(text) is not None
 
