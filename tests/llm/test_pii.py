@@ -108,3 +108,26 @@ def test_spans_are_the_same_without_the_gate(monkeypatch):
     for text, spans in zip(texts, gated, strict=True):
         assert pii.all_spans(text, pii.base_spans(text)) == spans, text
     assert closed > 5_000
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "write [jane (at) firma.pl] now",
+        "write [info [at] site.ca].",
+        "[x (at) host dot se]",
+        "[x {at} mail.firma.com.au], please",
+        "[kim <at> kaisha.jp]",
+        "[max (ät) firma dot online]",
+        "[ana arroba casa.br]",
+    ],
+)
+def test_any_domain_after_a_sure_at(text):
+    start, end = text.index("["), text.rindex("]") - 1
+    text = text[:start] + text[start + 1 : end + 1] + text[end + 2 :]
+    assert pii.all_spans(text, pii.base_spans(text))["email"] == [(start, end)]
+
+
+def test_prose_around_the_plain_word_has_none():
+    for text in ("He was at home.Then (a) he left.", "see us at noon.Bring it", "thanks @john.smith dot", "item (a) first.second"):
+        assert not any(pii.all_spans(text, pii.base_spans(text)).values()), text

@@ -219,16 +219,19 @@ def unmask_digits(mapped: Mapped) -> Mapped:
 _OPEN, _CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _NAME = r"[A-Za-z0-9._%+-]"
 _LABEL = r"[A-Za-z0-9-]+"
-_AT_BOXED = rf"{_OPEN}(?:at|@|a|ät|arroba){_CLOSE}"
-_AT_WORD = r"[ \t]+(?:at|@|ät|arroba)[ \t]+|[ \t]+@|@[ \t]+|[ \t]*[_-]+at[_-]+[ \t]*"
+# what can only stand for "@", and what is also a word, a mark or a mention in clean prose
+_AT_SURE = rf"{_OPEN}(?:at|@|ät|arroba){_CLOSE}|[ \t]+(?:@|ät|arroba)[ \t]+|@[ \t]+|@"
+_AT_DOUBT = rf"{_OPEN}a{_CLOSE}|[ \t]+at[ \t]+|[ \t]+@|[ \t]*[_-]+at[_-]+[ \t]*"
 _DOT_BOXED = rf"{_OPEN}(?:{_DOT_NAMES}|\.){_CLOSE}"
 _DOT_WORD = rf"[ \t]+(?:{_DOT_NAMES})[ \t]+|[ \t]*[_-]+dot[_-]+[ \t]*"
-#: Ends of domains that count after a plain or a merely spelled dot; fixed values.
+#: Ends of domains that count after a doubtful "at" and a plain or a merely spelled dot; fixed values.
 _TOP = r"(?:com|org|net|edu|gov|io|info|biz|co|example|test|invalid|dev|app|ai|me|de|fr|es|uk|us|eu|ch|at|it|nl)"
+_HOST = rf"{_LABEL}(?:(?:{_DOT_BOXED}|{_DOT_WORD}|\.){_LABEL})*"
 _DISGUISED = re.compile(
-    rf"(?<![A-Za-z0-9])(?:{_NAME}+(?:{_DOT_BOXED}|{_DOT_WORD}))*{_NAME}+?(?P<at>{_AT_BOXED}|{_AT_WORD}|@)"
-    rf"{_LABEL}(?:(?:{_DOT_BOXED}|{_DOT_WORD}|\.){_LABEL})*"
-    rf"(?:{_DOT_BOXED}[A-Za-z]{{2,}}|(?:{_DOT_WORD}|\.){_TOP})(?![A-Za-z0-9-])",
+    rf"(?<![A-Za-z0-9])(?:{_NAME}+(?:{_DOT_BOXED}|{_DOT_WORD}))*{_NAME}+?(?:"
+    rf"(?P<sure>{_AT_SURE}){_HOST}(?:{_DOT_BOXED}|{_DOT_WORD}|\.)[A-Za-z]{{2,}}"
+    rf"|(?P<doubt>{_AT_DOUBT}){_HOST}(?:{_DOT_BOXED}[A-Za-z]{{2,}}|(?:{_DOT_WORD}|\.){_TOP})"
+    r")(?![A-Za-z0-9-])",
     re.I,
 )
 _DOT = re.compile(rf"{_DOT_BOXED}|{_DOT_WORD}", re.I)
@@ -242,8 +245,8 @@ _REACH = 200
 
 
 def unmask_addresses(mapped: Mapped) -> Mapped:
-    """ "name (at) host dot org" and the like. A plain " at " counts only before a disguised or real dot and
-    a well-known end of a domain, and where one of the two is disguised."""
+    """ "name (at) host dot org" and the like. After a bracketed "at" any end of two letters or more
+    counts. A plain " at " counts only before a disguised dot or a well-known end of a domain."""
     text = mapped.text
     edits, end = [], 0
     for hint in _HINT.finditer(text):
@@ -251,9 +254,10 @@ def unmask_addresses(mapped: Mapped) -> Mapped:
             continue
         low, high = max(end, hint.start() - _REACH), min(len(text), hint.end() + _REACH)
         for m in _DISGUISED.finditer(text, low, high):
-            at = m.start("at"), m.end("at")
+            form = "sure" if m["sure"] else "doubt"
+            at = m.span(form)
             new = []
-            if m["at"] != "@":
+            if m[form] != "@":
                 new.append((*at, "@"))
             for before, after in ((m.start(), at[0]), (at[1], m.end())):
                 new += [(*d.span(), ".") for d in _DOT.finditer(text, before, after)]
