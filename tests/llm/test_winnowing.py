@@ -72,3 +72,12 @@ def test_fingerprint_table_and_empty_tables(docs_of):
     assert w.fingerprints(docs_of([])).collect() == [] == w.compare_with_next(docs_of([])).collect()
     alone = w.compare_with_next(docs_of([(1, "only one text, which is its own next one")])).collect()
     assert len(alone) == 1 and alone[0]["near_next"] == 1.0
+
+
+def test_short_texts_with_a_changed_quarter_are_alike(docs_of):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(rng.randint(24, 100))) for _ in range(150)]
+    rows = w.compare_with_next(docs_of(list(enumerate(texts)))).collect()
+    assert len(rows) == 150 and all(r["near_edited"] > 0.2 for r in rows)
+    passage = "a passage of 24 letters."
+    assert w.likeness(w.winnow("x" * 30 + passage), w.winnow(passage + "y" * 30)) > 0

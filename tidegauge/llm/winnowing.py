@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GRAM = 24
-WINDOW = 40
+#: One choice for texts of all lengths: 15 characters in a row that two texts share are seen.
+GRAM = 8
+WINDOW = 8
 #: Rows that a task of ``consecutive`` gets, roughly.
 ROWS_PER_RANGE = 4_000
 _BASE = 0x9E3779B97F4A7C15
