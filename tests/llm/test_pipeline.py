@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import corpus_pipeline
@@ -59,8 +60,49 @@ def test_edge_rows_through_all_filters(spark, docs_of):
     assert lines.columns == docs.columns and lines.count() == docs.count()
     groups = filters.one_of_each_group(docs)
     assert groups.columns == docs.columns
-    ids = [r["doc_id"] for r in groups.collect()]
-    assert sorted(i for i in ids if i is not None) == [-7, 1, 4, 5, 6] and ids.count(None) == 1
+    kept = [(r["doc_id"], r["text"]) for r in groups.collect()]
+    texts = [t for _, t in kept]
+    # texts without words are copies of each other, and so are the two equal rows of id 4
+    assert sorted(i for i, _ in kept if i is not None) == [-7, 1, 4, 4, 5, 6]
+    assert (None, "a row without an id") in kept and len(kept) == 7 and len(set(texts)) == 7
+
+
+def test_one_row_per_group_against_brute_force(spark, docs_of):
+    """Groups of copies, ids that repeat or are missing: one row per component, its smallest id."""
+    rng = random.Random(3)
+    pairs = []
+    for base in range(12):
+        words = rng.choices([f"w{i}" for i in range(300)], k=300)
+        for copy in range(rng.choice([1, 2, 5])):
+            changed = list(words)
+            if copy % 2:
+                changed[rng.randrange(300)] = "new"
+            pairs.append((rng.choice([None, base, base + 40 + copy]), " ".join(changed)))
+    fps = [brute_fingerprint(t) for _, t in pairs]
+    some = set(fps)
+    root = roots(some, [(a, b) for a in some for b in some if a < b and (a ^ b).bit_count() <= 3])
+    members = {}
+    for (i, t), f in zip(pairs, fps, strict=True):
+        members.setdefault(root[f], []).append((i, t))
+    kept = [(r["doc_id"], r["text"]) for r in filters.one_of_each_group(docs_of(pairs)).collect()]
+    assert len(kept) == len(members)
+    for group in members.values():
+        ids = [i for i, _ in group if i is not None]
+        assert len([row for row in kept if row in group and row[0] == (min(ids) if ids else None)]) == 1
+
+
+def test_filters_on_an_empty_table(spark, docs_of):
+    benchmark = spark.createDataFrame([(1, "one two three four five six seven")], "item_id bigint, text string")
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    docs = docs_of([])
+    assert filters.without_toxic(docs, toxicity.train(docs, labels)).collect() == []
+    assert filters.without_leaks(docs, benchmark).collect() == []
+    assert filters.without_repeated_lines(docs).collect() == []
+
+
+def test_one_of_each_group_keeps_columns(docs_of):
+    docs = docs_of([(1, "a b c"), (2, "a b c")])
+    assert filters.one_of_each_group(docs).columns == docs.columns
     assert filters.one_of_each_group(docs_of([])).collect() == []
 
 
@@ -68,7 +110,7 @@ def test_queries_are_registered(spark):
     from __spark_entry__ import oracle_sql, queries
 
     names = set(queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(oracle_sql()) <= names
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "simhash_dedup", "decontamination", "bpe"]
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.skew import store_table
-from . import decontaminate, line_dedup, near, toxicity
+from . import decontaminate, line_dedup, simhash, toxicity
 
 _ROW = "__filter_row"
 
@@ -53,11 +53,12 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """Of each component of near copies (``near``) one row: that with the smallest doc_id, and one without an id
+    """Of each component of near copies (``simhash``) one row: that with the smallest doc_id, and one without an id
     only if its component has no other. Rows that share an id or have none are told apart by a key
-    of their own. Whole rows are stored once, as the key must not change, and shuffled once by it."""
+    of their own, so another text under the same id stays; texts without words are copies of each other, and an
+    empty table gives no rows. Whole rows are stored once, as the key must not change, and shuffled once by it."""
     rows = store_table(docs.withColumn(_ROW, F.monotonically_increasing_id()))
-    chosen = near.first_of_each_group(rows, _ROW).select(_ROW)
+    chosen = simhash.first_of_each_group(rows, _ROW)
     return rows.join(chosen, _ROW, "left_semi").select(*docs.columns)
 
 

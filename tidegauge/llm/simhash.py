@@ -1,17 +1,14 @@
-"""SimHash near-duplicates found with pivot distance tables.
+"""SimHash near-duplicates: banded candidates, pivot distance tables, exact verification.
 
-Each distinct fingerprint is described by its Hamming distances to reference fingerprints, and two
-fingerprints that differ in at most three bits have distances to every reference that differ by
-at most three. The references are of two kinds:
+Fingerprints that differ in at most three bits agree in at least three of six segments of their bits, so an
+equi-join on every three segments (banding) finds all candidates. Each distinct fingerprint also
+carries its Hamming distances to eight spread reference fingerprints, computed once and kept in one number:
+by the triangle inequality a link's distances to each reference differ by at most three, and the
+largest coordinate difference discards a candidate before its bits are counted.
 
-* the zero fingerprint and the 64 fingerprints with one bit set. Their distances to x, taken
-  together, are the bits of x, and of these coordinates a link leaves all but three equal. Laid out
-  in six segments, at least three segments agree as a whole. So the coordinates of every three
-  of the segments are the key of an equi-join, and no link is missed;
-* eight spread references. Their distances, computed once per fingerprint and kept in one number,
-  discard pairs by the largest coordinate difference.
-
-What survives is verified by counting the differing bits.
+The distances alone cannot propose the candidates: two random fingerprints pass one reference with
+probability 0.46, so cells of the distances stay as full as a cross join until there are far too many
+neighbouring cells to look into (README, "SimHash").
 """
 
 from __future__ import annotations
@@ -60,20 +57,22 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(np.packbits(totals * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed number, of each row. No shuffle."""
+def fingerprints(docs: DataFrame, shingle: int, row: str | None = None) -> DataFrame:
+    """``doc_id`` and ``fp``, the fingerprint as a signed number, of each row, and the number ``row`` that
+    tells the rows apart, where one is named. No shuffle."""
+    kept = ["doc_id", *([row] if row else [])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
+            yield pd.DataFrame({c: batch[c] for c in kept} | {"fp": fps.view(np.int64)})
 
     columns = docs.select(
-        F.col("doc_id").cast("bigint").cast("string").alias("doc_id"),
+        *[F.col(c).cast("bigint").cast("string").alias(c) for c in kept],
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    found = columns.mapInPandas(run, "doc_id string, fp bigint")
-    return found.select(F.col("doc_id").cast("bigint").alias("doc_id"), "fp")
+    found = columns.mapInPandas(run, ", ".join(f"{c} string" for c in kept) + ", fp bigint")
+    return found.select(*[F.col(c).cast("bigint").alias(c) for c in kept], "fp")
 
 
 def _distances(fp: Column) -> Column:
@@ -131,16 +130,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     are linked through it, not in pairs. The fingerprints are stored once in the shared folder.
     """
     stored = store_table(fingerprints(docs, shingle))
-    least = stored.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = connected_components(links(least.select("fp")))
-    named = least.join(roots, least["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    named = _rooted(stored.groupBy("fp").agg(F.min("doc_id").alias("first")))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = named.join(smallest, "root").select(F.col("fp").alias("class_fp"), "component_id")
     joined = stored.join(classes, stored["fp"] == classes["class_fp"])
     return joined.select("doc_id", "fp", "component_id")
 
 
+def _rooted(distinct: DataFrame) -> DataFrame:
+    """``distinct`` fingerprints ``fp`` with ``root``, the smallest fingerprint of their component."""
+    roots = connected_components(links(distinct.select("fp")))
+    joined = distinct.join(roots, distinct["fp"] == roots["node"], "left")
+    return joined.select(*distinct.columns, F.coalesce("root", "fp").alias("root"))
+
+
+def first_of_each_group(docs: DataFrame, row: str, shingle: int = 3) -> DataFrame:
+    """For each component the number ``row`` (unique in ``docs``) of one of its rows: that with the
+    smallest doc_id, of several with it that with the smallest number, and a row without an id only where no
+    other is. Nulls, repeats and empty tables are as in ``near_duplicates``."""
+    stored = store_table(fingerprints(docs, shingle, row))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row"))
+    named = _rooted(stored.groupBy("fp").agg(F.min(place).alias("first")))
+    return named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+
+
 def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
