@@ -19,19 +19,28 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose score is below a half. A null text is scored as an empty one, repeated rows and rows without
+    an id are scored like others, and an empty table, or one without labels, loses no row."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return filters.without_toxic(docs, toxicity.train(docs, labels))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows; lines of 40 characters or more that five documents share stay in the one with the largest id.
+    A text that loses no line, a null one included, is passed on unchanged."""
     return filters.without_repeated_lines(docs)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component of the SimHash links (three-word shingles, three bits): its smallest id.
+    Texts without words, nulls among them, are one group; rows without an id stay only
+    where their group has no other; repeated rows are copies of each other."""
     return filters.one_of_each_group(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows in which no item of the benchmark is found. A null or empty text holds none and stays, and so
+    does every row where the benchmark is empty."""
     return filters.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
