@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_extract, line_dedup, pii, sharding, simhash, substring_dedup, toxicity, winnowing
+from . import bpe, chat, decontaminate, hard_negatives, html_extract, line_dedup, pii, sharding, simhash, substring_dedup, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -95,3 +95,8 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substring_dedup.dedup_substrings(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
