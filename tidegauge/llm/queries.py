@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, hard_negatives, html_extract, line_dedup, pii, sharding, simhash, substring_dedup, toxicity, winnowing
+from . import bpe, chat, conversation_repair, decontaminate, hard_negatives, html_extract, line_dedup, pii, sharding, simhash, substring_dedup, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -100,3 +100,8 @@ def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(table(spark, folder, "conversations")))
