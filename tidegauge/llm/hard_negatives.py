@@ -313,12 +313,12 @@ def hard_negatives(
     chosen = rows.where(F.col("vec_id") % every == 0)
     # one block of anchors per partition, so that no task holds more than some of them
     count = chosen.count()
-    spread = chosen.repartition(max(1, -(-count // BLOCK_ANCHORS)), "row")
+    spread = chosen.repartition(max(1, -(-count // BLOCK_ANCHORS)))
     anchors = blocks(spread, BLOCK_ANCHORS, width, "a_")
     first = _best_of(anchors.crossJoin(all_rows), _Positives(positives), "row bigint, score bigint, id bigint")
     best = store_table(_ranked(first, ["row"], positives).select("row", "score", "id", "rank"))
     listed = best.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("rank", "score"))).alias("scores"))
-    asked = chosen.join(listed, "row").repartition(max(1, -(-count // BLOCK_ANCHORS)), "row")
+    asked = chosen.join(listed, "row").repartition(max(1, -(-count // BLOCK_ANCHORS)))
     second = _best_of(
         blocks(asked, BLOCK_ANCHORS, width, "a_", scores=True).crossJoin(all_rows),
         _Negatives(negatives, low, high),
