@@ -75,6 +75,18 @@ class DetectConfig:
         )
 
 
+@dataclass(frozen=True)
+class ClockConfig:
+    """How a stream's clock follows event times; see ``streaming.triggers.Clock``."""
+
+    delay_seconds: int = 0
+    ahead_seconds: int = 86_400
+    idle_seconds: int = 600
+
+    def __post_init__(self):
+        _require(self.ahead_seconds > 0, "ahead_seconds must be positive")
+
+
 @dataclass(frozen=True)
 class SkewConfig:
     """When a group is too large for one task.
@@ -102,5 +114,5 @@ class EngineConfig:
     windows: WindowConfig = field(default_factory=WindowConfig)
     detect: DetectConfig = field(default_factory=DetectConfig)
     skew: SkewConfig = field(default_factory=SkewConfig)
+    clock: ClockConfig = field(default_factory=ClockConfig)
     flush_interval_seconds: float = 10.0
-    watermark_delay_seconds: int = 0

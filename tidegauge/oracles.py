@@ -97,6 +97,36 @@ flagged AS (
   SELECT n.*, w.is_duplicate FROM numbered n JOIN walk w USING (message_id, rn))"""
 
 
+def _fifths(time: str) -> str:
+    """The trigger of each event, by the fifth of the span of ``time``."""
+    return f"""dealt AS (
+  SELECT event_id, CAST(least(floor((t - first) / greatest(1, last - first)::DOUBLE * 5), 4) AS INTEGER) AS trigger
+  FROM (SELECT event_id, t, min(t) OVER () AS first, max(t) OVER () AS last
+        FROM (SELECT event_id, epoch_us({time}) AS t FROM events)))"""
+
+
+_MESSAGE_TIME = """CASE event_id % 25 WHEN 11 THEN ts - INTERVAL 330 MINUTE
+  WHEN 6 THEN date_trunc('second', ts) ELSE ts END"""
+
+
+def _arrived(ttl_seconds: int, source: str) -> str:
+    """is_duplicate in the order of arrival: an accepted row of the id is close in time, before or after.
+    ``source`` has a trigger."""
+    return f"""numbered AS (
+  SELECT *, epoch_us("timestamp") AS t,
+         row_number() OVER (PARTITION BY message_id ORDER BY trigger, "timestamp", event_id) AS rn
+  FROM {source}),
+walk AS (
+  SELECT message_id, rn, false AS is_duplicate, [t] AS kept FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT message_id, rn, near, CASE WHEN near THEN kept ELSE list_append(kept, t) END
+  FROM (SELECT n.message_id, n.rn, n.t, w.kept,
+          len(list_filter(w.kept, lambda a: abs(n.t - a) <= {ttl_seconds * 1000000})) > 0 AS near
+        FROM walk w JOIN numbered n ON n.message_id = w.message_id AND n.rn = w.rn + 1)),
+flagged AS (
+  SELECT n.*, w.is_duplicate FROM numbered n JOIN walk w USING (message_id, rn))"""
+
+
 def _raw(message_id: str = "event_id") -> str:
     return f"""texts AS (
   SELECT event_id, ts AS received_at, event_id % 25 AS fault,
@@ -403,4 +433,81 @@ FROM valid LEFT JOIN (
         + _both_alerts()
     )
     sql["stream_end_to_end_five_triggers"] = sql["stream_end_to_end_alerts"]
+    sql["stream_end_to_end_windows"] = (
+        _end_to_end(_windows(_DAY, source="tel2"), closed.format(source="tel2")) + f"SELECT {_WINDOW_COLUMNS} FROM closed"
+    )
+    sql["stream_running_moments"] = sql["running_moments"]
+    sql["stream_dedup_out_of_order"] = (
+        _with(
+            _tel("user_id"), "sent AS (SELECT *, event_id % 5 AS trigger FROM tel)", _arrived(_DAY, "sent"), recursive=True
+        )
+        + flags
+    )
+    # The reading of 2099 is in no closed window, and the others close as without it.
+    sql["stream_windows_future_reading"] = (
+        _with(
+            _tel(),
+            "others AS (SELECT * FROM tel WHERE event_id <> (SELECT min(event_id) FROM tel))",
+            _windows(_DAY, source="others"),
+            closed.format(source="others"),
+        )
+        + f"SELECT {_WINDOW_COLUMNS} FROM closed"
+    )
+    sql["stream_end_to_end_arrival_order"] = _arrival_order()
+    sql["stream_statistics_five_triggers"] = _statistics()
     return sql
+
+
+def _arrival_order() -> str:
+    scored = _scored("tel2").replace('ORDER BY "timestamp"', 'ORDER BY trigger, "timestamp"')
+    return _with(
+        _raw("user_id"),
+        _PARSED,
+        _fifths("ts"),
+        "sent AS (SELECT v.*, d.trigger FROM valid v JOIN dealt d USING (event_id))",
+        _arrived(_DAY, "sent"),
+        "tel2 AS (SELECT * FROM flagged WHERE NOT is_duplicate)",
+        scored,
+        # a row whose window had closed before its trigger is in no window
+        """clocks AS (
+  SELECT trigger, max(newest) OVER (ORDER BY trigger ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock
+  FROM (SELECT trigger, max("timestamp") AS newest FROM tel2 GROUP BY 1)),
+timely AS (
+  SELECT t.* FROM tel2 t JOIN clocks c USING (trigger)
+  WHERE c.clock IS NULL
+    OR time_bucket(INTERVAL '1 day', t."timestamp") + INTERVAL '1 day' > c.clock)""",
+        _windows(_DAY, source="timely"),
+        """closed AS (SELECT * FROM win WHERE window_end <= (SELECT max("timestamp") FROM tel2))""",
+        _wscored("closed"),
+        recursive=True,
+    ) + _both_alerts()
+
+
+def _statistics() -> str:
+    return _end_to_end(
+        _fifths(_MESSAGE_TIME),
+        "seen AS (SELECT f.*, d.trigger FROM flagged f JOIN dealt d USING (event_id))",
+        _scored("tel2"),
+        _windows(_DAY, source="tel2"),
+        f"""turns AS (
+  SELECT d.trigger AS n, (SELECT max(t) FROM seen WHERE trigger <= d.trigger AND NOT is_duplicate) AS now
+  FROM (SELECT DISTINCT trigger FROM dealt) d),
+rows_so_far AS (
+  SELECT n, count(*) AS total_seen, count(*) FILTER (is_duplicate) AS total_dupes,
+    count(*) FILTER (NOT is_duplicate AND t BETWEEN now - {_DAY * 1000000} AND now) AS cache_size,
+    count(DISTINCT sensor_id || '::' || metric_name) FILTER (NOT is_duplicate) AS active_keys,
+    count(*) FILTER (NOT is_duplicate AND t // {_DAY * 1000000} * {_DAY * 1000000} + {_DAY * 1000000} > now)
+      AS waiting_rows
+  FROM turns JOIN seen ON seen.trigger <= n GROUP BY 1),
+windows_so_far AS (
+  SELECT n, count(win.window_start) AS total_windows_flushed,
+    count(DISTINCT sensor_id || '::' || metric_name) AS window_tracked_keys
+  FROM turns LEFT JOIN win ON epoch_us(window_end) <= now GROUP BY 1),
+alerts_so_far AS (
+  SELECT n, count(s.event_id) AS total_alerts FROM turns LEFT JOIN (
+    SELECT s.event_id, d.trigger FROM scored s JOIN dealt d USING (event_id) WHERE {_ANOMALY}
+  ) s ON s.trigger <= n GROUP BY 1)""",
+    ) + """SELECT n AS batch_id, total_seen, total_dupes, cache_size, active_keys, waiting_rows,
+  total_windows_flushed, active_keys AS tracked_keys, window_tracked_keys, total_alerts,
+  round(100.0 * total_dupes / greatest(total_seen, 1), 2) AS dupe_rate_pct
+FROM rows_so_far JOIN windows_so_far USING (n) JOIN alerts_so_far USING (n)"""

@@ -30,8 +30,9 @@ from .sources.sinks import parquet_sink
 from .sources.views import raw_messages, readings, table
 from .streaming import operators as streaming
 from .streaming.batchwise import score_by_trigger
-from .streaming.run import start_streams
-from .streaming.triggers import DedupStage, WindowStage, run_by_trigger
+from .streaming.ledger import published, run_by_trigger
+from .streaming.run import Counters, start_streams
+from .streaming.triggers import Clock, DedupStage, MomentStage, WindowStage
 
 SIX_HOURS = WindowConfig(window_seconds=6 * 3600)
 ONE_DAY = WindowConfig(window_seconds=24 * 3600)
@@ -248,7 +249,10 @@ def whole_series_stats(spark, folder):
 
 
 def _running(spark, folder, skew=SkewConfig()):
-    rows = with_running_moments(_readings(spark, folder), KEYS, ORDER, "value", skew)
+    return _moments(with_running_moments(_readings(spark, folder), KEYS, ORDER, "value", skew))
+
+
+def _moments(rows):
     return rows.select(
         "message_id",
         "running_n",
@@ -528,13 +532,13 @@ def _drain(rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{folder}/out")
 
 
-def _in_five_files(spark, folder, part):
-    """The events as a stream of five triggers; ``part`` tells the trigger of a row, from 0 to 4."""
+def _five_times(spark, folder, part, run):
+    """Append the events in five parts to a folder and drain it after each; ``part`` tells the trigger of a row, from
+    0 to 4. ``run`` starts a stream on the folder's rows."""
     events, path = table(spark, folder, "events"), f"{_stream_folder(spark)}/events"
     for n in range(5):
-        events.filter(part == n).coalesce(1).write.mode("append").parquet(path)
-    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(path)
+        events.filter(part == n).write.mode("append").parquet(path)
+        run(spark.readStream.schema(events.schema).parquet(path))
 
 
 @query
@@ -545,40 +549,61 @@ def stream_restart_records(spark, folder):
     for n in range(2):
         events.filter(half == n).write.mode("append").parquet(f"{out}/events")
         rows = spark.readStream.schema(events.schema).parquet(f"{out}/events")
-        streams = start_streams(raw_messages(rows), f"{out}/state", trigger={"availableNow": True})
-        streams.wait()
-        streams.stop()
-    flagged = spark.read.parquet(f"{out}/state/flagged").filter(~F.col("is_duplicate"))
+        _whole_stream(spark, raw_messages(rows), f"{out}/state", EngineConfig())
+    flagged = published(spark, f"{out}/state", "flagged").filter(~F.col("is_duplicate"))
     return flagged.select("event_id", "message_id", *KEYS, "value", _ntz("timestamp"))
 
 
-def _in_time_order(spark, folder):
-    first, last = table(spark, folder, "events").agg(F.min("ts"), F.max("ts")).first()
-    share = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))) / (
-        F.unix_micros(F.lit(last).cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))
-    )
-    return _in_five_files(spark, folder, F.least(F.floor(share * 5), F.lit(4)))
+def _fifth(spark, folder, time):
+    """The fifth of the span of ``time``, a timestamp of the events, that a row is in."""
+    first, last = table(spark, folder, "events").agg(F.unix_micros(F.min(time)), F.unix_micros(F.max(time))).first()
+    share = (F.unix_micros(time) - F.lit(first)) / F.lit(max(1, last - first))
+    return F.least(F.floor(share * 5), F.lit(4))
+
+
+def _by_time(spark, folder):
+    return _fifth(spark, folder, F.col("ts").cast("timestamp"))
+
+
+def _by_message_time(spark, folder):
+    """As the messages tell it: some give their time with an offset, some in whole seconds (see ``raw_messages``)."""
+    time, case = F.col("ts").cast("timestamp"), F.col("event_id") % 25
+    told = F.when(case == 11, time - F.expr("INTERVAL 330 MINUTES")).when(case == 6, F.date_trunc("second", time))
+    return _fifth(spark, folder, told.otherwise(time))
 
 
 def _run(rows: DataFrame, out: str, step) -> None:
     run_by_trigger(rows, out, step, {"availableNow": True}).awaitTermination()
 
 
+def _flags(spark, out):
+    return published(spark, out, "flagged").select("event_id", "message_id", "is_duplicate")
+
+
 @query
 def stream_dedup(spark, folder):
     out = _stream_folder(spark)
-    stage = DedupStage(out, DAY_TTL, ["event_id"])
-    _run(readings(_event_stream(spark, folder), "user_id"), out, stage.step)
-    return spark.read.parquet(stage.out).select("event_id", "message_id", "is_duplicate")
+    _run(readings(_event_stream(spark, folder), "user_id"), out, DedupStage(DAY_TTL, ["event_id"]).step)
+    return _flags(spark, out)
+
+
+def _dedup_five_times(spark, folder, part):
+    out = _stream_folder(spark)
+    stage = DedupStage(DAY_TTL, ["event_id"], keep_seconds=366 * 24 * 3600, clock=Clock())
+    _five_times(spark, folder, part, lambda rows: _run(readings(rows, "user_id"), out, stage.step))
+    return _flags(spark, out)
 
 
 @query
 def stream_dedup_five_triggers(spark, folder):
     """The ids of earlier triggers count."""
-    out = _stream_folder(spark)
-    stage = DedupStage(out, DAY_TTL, ["event_id"])
-    _run(readings(_in_time_order(spark, folder), "user_id"), out, stage.step)
-    return spark.read.parquet(stage.out).select("event_id", "message_id", "is_duplicate")
+    return _dedup_five_times(spark, folder, _by_time(spark, folder))
+
+
+@query
+def stream_dedup_out_of_order(spark, folder):
+    """Every trigger holds a fifth of all times; a copy counts as one if an accepted row is close to it in time."""
+    return _dedup_five_times(spark, folder, F.col("event_id") % 5)
 
 
 @query
@@ -596,21 +621,36 @@ def stream_dedup_within_watermark(spark, folder):
     return _drain(streaming.dedup_within_watermark(rows, DAY_TTL)).select("message_id")
 
 
-def _scores_by_trigger(spark, rows, skew=SkewConfig()):
-    out = _stream_folder(spark)
+def _scores_by_trigger(spark, rows, out, skew=SkewConfig()):
     now = {"availableNow": True}
     score_by_trigger(rows, out, parquet_sink(f"{out}/scored"), skew=skew, trigger=now).awaitTermination()
+
+
+def _scores(spark, out):
     return _scored(spark.read.parquet(f"{out}/scored"))
 
 
 @query
 def stream_zscore_baseline(spark, folder):
-    return _scores_by_trigger(spark, readings(_event_stream(spark, folder)))
+    out = _stream_folder(spark)
+    _scores_by_trigger(spark, readings(_event_stream(spark, folder)), out)
+    return _scores(spark, out)
 
 
 @query
 def stream_zscore_five_triggers(spark, folder):
-    return _scores_by_trigger(spark, readings(_in_time_order(spark, folder)))
+    out = _stream_folder(spark)
+    part = _by_time(spark, folder)
+    _five_times(spark, folder, part, lambda rows: _scores_by_trigger(spark, readings(rows), out))
+    return _scores(spark, out)
+
+
+@query
+def stream_running_moments(spark, folder):
+    """Count, sum and deviation of the series so far, merged over five triggers."""
+    out, stage = _stream_folder(spark), MomentStage()
+    _five_times(spark, folder, _by_time(spark, folder), lambda rows: _run(readings(rows), out, stage.step))
+    return _moments(published(spark, out, "moments"))
 
 
 @query
@@ -621,7 +661,9 @@ def stream_zscore_keyed_state(spark, folder):
 @query
 def stream_zscore_by_trigger(spark, folder):
     """The same scores by the batch operator, with every series treated as hot."""
-    return _scores_by_trigger(spark, readings(_event_stream(spark, folder)), _forced(spark, folder))
+    out = _stream_folder(spark)
+    _scores_by_trigger(spark, readings(_event_stream(spark, folder)), out, _forced(spark, folder))
+    return _scores(spark, out)
 
 
 @query
@@ -636,26 +678,41 @@ def stream_window_spikes(spark, folder):
     return _published(_drain(streaming.window_alerts(streaming.window_stats(rows, ONE_DAY))))
 
 
-def _windows_by_trigger(spark, rows, cfg):
-    out = _stream_folder(spark)
-    stage = WindowStage(out, cfg)
-    _run(rows, out, stage.step)
-    return _windows(spark.read.parquet(stage.out))
+def _windows_by_trigger(spark, folder, cfg, part=None, view=readings):
+    out, stage = _stream_folder(spark), WindowStage(cfg)
+    if part is None:
+        _run(view(_event_stream(spark, folder)), out, stage.step)
+    else:
+        _five_times(spark, folder, part, lambda rows: _run(view(rows), out, stage.step))
+    return _windows(published(spark, out, "closed"))
 
 
 @query
 def stream_windows_five_triggers(spark, folder):
-    return _windows_by_trigger(spark, readings(_in_time_order(spark, folder)), ONE_DAY)
+    return _windows_by_trigger(spark, folder, ONE_DAY, _by_time(spark, folder))
+
+
+@query
+def stream_windows_future_reading(spark, folder):
+    """One reading of the first trigger is dated 2099. It moves no clock, and no other reading is late for it."""
+    first = table(spark, folder, "events").agg(F.min("event_id")).first()[0]
+
+    def view(events):
+        ahead = F.when(F.col("event_id") == first, F.lit("2099-01-01").cast("timestamp_ntz"))
+        return readings(events.withColumn("ts", F.coalesce(ahead, F.col("ts").cast("timestamp_ntz"))))
+
+    part = F.when(F.col("event_id") == first, 0).otherwise(_by_time(spark, folder))
+    return _windows_by_trigger(spark, folder, ONE_DAY, part, view)
 
 
 @query
 def stream_anchored_windows(spark, folder):
-    return _windows_by_trigger(spark, readings(_event_stream(spark, folder)), ANCHORED)
+    return _windows_by_trigger(spark, folder, ANCHORED)
 
 
 @query
 def stream_anchored_five_triggers(spark, folder):
-    return _windows_by_trigger(spark, readings(_in_time_order(spark, folder)), ANCHORED)
+    return _windows_by_trigger(spark, folder, ANCHORED, _by_time(spark, folder))
 
 
 @query
@@ -664,45 +721,77 @@ def stream_anchored_keyed_state(spark, folder):
     return _windows(_drain(streaming.anchored_window_stats(rows, ONE_DAY)))
 
 
-def _whole_stream(spark, raw):
-    cfg = replace(EngineConfig(), dedup=DAY_TTL, windows=ONE_DAY)
-    out = _stream_folder(spark)
-    now = {"availableNow": True}
-    streams = start_streams(raw, out, cfg, tie_break=["event_id"], trigger=now)
+def _whole_stream(spark, raw, out, cfg=replace(EngineConfig(), dedup=DAY_TTL, windows=ONE_DAY)):
+    streams = start_streams(raw, out, cfg, tie_break=["event_id"], trigger={"availableNow": True})
     streams.wait()
     streams.stop()
-    return out
+    return streams.counters
+
+
+def _stream_alerts(spark, out):
+    return _published(published(spark, out, "alerts"))
 
 
 @query
 def stream_end_to_end_alerts(spark, folder):
-    out = _whole_stream(spark, raw_messages(_event_stream(spark, folder), "user_id"))
-    return _published(spark.read.parquet(f"{out}/alerts"))
+    out = _stream_folder(spark)
+    _whole_stream(spark, raw_messages(_event_stream(spark, folder), "user_id"), out)
+    return _stream_alerts(spark, out)
+
+
+def _alerts_five_times(spark, folder, part):
+    out = _stream_folder(spark)
+    _five_times(spark, folder, part, lambda rows: _whole_stream(spark, raw_messages(rows, "user_id"), out))
+    return _stream_alerts(spark, out)
 
 
 @query
 def stream_end_to_end_five_triggers(spark, folder):
-    out = _whole_stream(spark, raw_messages(_in_time_order(spark, folder), "user_id"))
-    return _published(spark.read.parquet(f"{out}/alerts"))
+    """Messages in the order of the times they tell."""
+    return _alerts_five_times(spark, folder, _by_message_time(spark, folder))
+
+
+@query
+def stream_end_to_end_arrival_order(spark, folder):
+    """Messages with an offset arrive a trigger late; all is decided in the order of arrival."""
+    return _alerts_five_times(spark, folder, _by_time(spark, folder))
+
+
+@query
+def stream_end_to_end_windows(spark, folder):
+    """The table of windows that the stream publishes."""
+    out = _stream_folder(spark)
+    part = _by_message_time(spark, folder)
+    _five_times(spark, folder, part, lambda rows: _whole_stream(spark, raw_messages(rows, "user_id"), out))
+    return _windows(published(spark, out, "windows"))
 
 
 def _out_of_order(spark, folder):
     """Every trigger holds a fifth of all times, so all but the first bring late readings."""
-    events = _in_five_files(spark, folder, F.col("event_id") % 5)
-    return _whole_stream(spark, raw_messages(events))
+    out = _stream_folder(spark)
+    _five_times(spark, folder, F.col("event_id") % 5, lambda rows: _whole_stream(spark, raw_messages(rows), out))
+    return out
 
 
 @query
 def stream_late_records(spark, folder):
     """Late readings are processed like others."""
-    flagged = spark.read.parquet(f"{_out_of_order(spark, folder)}/flagged")
-    rows = flagged.filter(~F.col("is_duplicate"))
+    rows = published(spark, _out_of_order(spark, folder), "flagged").filter(~F.col("is_duplicate"))
     return rows.select("event_id", "message_id", *KEYS, "value", _ntz("timestamp"))
 
 
 @query
 def stream_late_counters(spark, folder):
     """received = malformed + dupes + processed; the late ones had their window closed."""
-    rows = spark.read.parquet(f"{_out_of_order(spark, folder)}/counters")
+    rows = Counters(spark, _out_of_order(spark, folder)).rows()
     names = ("received", "malformed", "dupes", "processed", "late")
     return rows.agg(*[F.sum(c).alias(c) for c in names])
+
+
+@query
+def stream_statistics_five_triggers(spark, folder):
+    """What deduplication, aggregation and detection hold after each trigger."""
+    out = _stream_folder(spark)
+    part = _by_message_time(spark, folder)
+    _five_times(spark, folder, part, lambda rows: _whole_stream(spark, raw_messages(rows, "user_id"), out))
+    return Counters(spark, out).statistics()

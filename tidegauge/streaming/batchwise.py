@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DetectConfig, SkewConfig
 from ..sources.sinks import BatchHook
-from .triggers import ScoreStage, run_by_trigger
+from .ledger import Turn, run_by_trigger
+from .triggers import ScoreStage
 
 
 def score_by_trigger(
@@ -27,11 +28,11 @@ def score_by_trigger(
 ) -> StreamingQuery:
     """Start a query that hands the scored rows of each trigger to ``publish``. What a series needs from
     earlier is kept in ``folder/state``, on shared storage."""
-    stage = ScoreStage.of_readings(folder, cfg, order, skew)
+    stage = ScoreStage.of_readings(cfg, order, skew)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
+    def step(batch: DataFrame, turn: Turn) -> None:
         batch.persist()
-        publish(stage.step(batch, batch_id), batch_id)
+        publish(stage.step(batch, turn), turn.n)
         batch.unpersist()
 
     return run_by_trigger(records, folder, step, trigger, name)
