@@ -9,7 +9,7 @@ from tidegauge.llm.filters import without_leaks
 
 
 def test_seeds_survive_any_fifth_replaced():
-    for n in range(d.LEAST_ITEM, 17):
+    for n in range(5, 17):
         for gone in itertools.combinations(range(n), n // 5):
             assert any(
                 not any(start + i in gone for i, used in enumerate(mask) if used == "1")
@@ -62,7 +62,7 @@ def brute(items, pairs):
         for k, item in items:
             words = d.words_of(item or "")
             least = min(13, len(words))
-            if len(words) < 5 or len(doc) > 1000:
+            if not words or len(doc) > 1000:
                 continue
             for shift in range(-len(words) + 1, len(doc)):
                 low, high = max(0, -shift), min(len(words), len(doc) - shift)
@@ -96,3 +96,55 @@ def test_blocks_and_empty_tables(spark, docs_of, monkeypatch):
     nothing = spark.createDataFrame([], schema)
     assert d.find_leaks(docs_of(pairs), nothing).collect() == []
     assert without_leaks(docs_of(pairs), nothing).count() == len(pairs)
+
+
+def test_short_items_and_scripts_without_spaces(spark, docs_of):
+    items = [(1, "what is ai"), (2, "機械学習とは何ですか"), (3, "Größe?"), (4, "one two three four"), (5, "?!")]
+    pairs = [
+        (10, "So, what is AI? Nobody knows."),
+        (11, "what is an ai"),
+        (12, "前置き。機械学習とは何ですか。後書き"),
+        (13, "機械学習は何ですか"),  # a character short of it, and it differs
+        (14, "die größe zählt"),
+        (15, "one two three and four"),
+        (16, "zero one, two; three: four five"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in d.find_leaks(docs_of(pairs), benchmark).collect()}
+    assert got == brute(items, pairs)
+    assert {(10, 1), (12, 2), (14, 3), (16, 4)} <= got and (11, 1) not in got and (15, 4) not in got
+
+
+def test_repetitions_against_brute_force():
+    rng = random.Random(4)
+    for _ in range(60):
+        words = [rng.choice("ab") if rng.random() < 0.8 else f"w{rng.randrange(20)}" for _ in range(rng.randrange(5, 40))]
+        doc = [*(["a"] * rng.randrange(60)), *words, *(["b", "a"] * rng.randrange(40)), *rng.choices("ab", k=20)]
+        index = d.build_index([(7, " ".join(words))])
+        hits = d._hits(index, d._hashes(doc, {}))
+        want = set()
+        for nth, mask in index.masks:
+            a, b = d.seeds(d._hashes(words, {}), mask, nth), d.seeds(d._hashes(doc, {}), mask, nth)
+            want |= {j - i for i in range(len(a)) for j in range(len(b)) if a[i] == b[j]}
+        assert set(hits.get(0, np.zeros(0)).tolist()) >= want
+        best = None
+        for shift in range(-len(words) + 1, len(doc)):
+            low, high = max(0, -shift), min(len(words), len(doc) - shift)
+            equal = np.array([words[i] == doc[i + shift] for i in range(low, high)])
+            stretch = d.longest_stretch(equal, min(13, len(words))) if high - low >= min(13, len(words)) else None
+            if stretch:
+                start = low + stretch[0]
+                found = (int(equal[slice(*stretch)].sum()), -(start + shift), -(low + stretch[1] + shift), start)
+                best = found if best is None else max(best, found)
+        got = list(d.matches(index, d._hashes(doc, {})))
+        assert got == ([] if best is None else [(0, -best[1], -best[2], best[3], best[0])])
+
+
+def test_a_long_repetition_takes_seconds():
+    import time
+
+    index = d.build_index([(1, "same " * 500), (2, "same " * 499 + "end")])
+    doc = d._hashes(["same"] * 200_000, {})
+    begun = time.monotonic()
+    assert sorted(d.matches(index, doc)) == [(0, 0, 500, 0, 500), (1, 0, 500, 0, 499)]
+    assert time.monotonic() - begun < 20

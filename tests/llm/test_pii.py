@@ -131,3 +131,33 @@ def test_any_domain_after_a_sure_at(text):
 def test_prose_around_the_plain_word_has_none():
     for text in ("He was at home.Then (a) he left.", "see us at noon.Bring it", "thanks @john.smith dot", "item (a) first.second"):
         assert not any(pii.all_spans(text, pii.base_spans(text)).values()), text
+
+
+def test_long_names_and_what_lies_around_do_not_cut_an_address():
+    for n in (10, 199, 200, 201, 500, 1_500):
+        for text in (
+            f"write to {'a' * n} (at) host dot org now",
+            f"{'word ' * 90}jane (at) {'h' * n} dot org {'word ' * 90}",
+            f"{'x ' * 300}{'b' * (n // 2)}.{'c' * (n // 2)} [at] host.museum",
+            f"{'x ' * 300}{' dot '.join('abcdefgh' for _ in range(n // 40 + 1))} at host dot com {'y ' * 300}",
+        ):
+            found = pii.all_spans(text, pii.base_spans(text))["email"]
+            whole = [m.span() for m in pii._DISGUISED.finditer(text)]
+            assert found == whole and len(found) == 1, (n, text)
+
+
+def test_parts_around_hints_give_what_the_whole_text_gives():
+    rng = random.Random(8)
+    parts = ["jane", "(at)", "[at]", " at ", "dot", " dot ", ".", "com", "org", " ", " ", "word ", "firma", "_at_", "x" * 60, "-", "\n"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(5, 200)))
+        whole, end = [], 0
+        for m in pii._DISGUISED.finditer(text):
+            whole.append(m.span())
+        got, end = [], 0
+        for hint in pii._HINT.finditer(text):
+            if hint.start() >= end:
+                for m in pii._around(text, end, *hint.span()):
+                    got.append(m.span())
+                    end = m.end()
+        assert got == whole, text

@@ -25,16 +25,23 @@ MASKS = ("1111", "11011", "10111", "11101")
 MIN_WORDS = 13
 #: Share of the words of a stretch that agree.
 MIN_SHARE = (4, 5)
-#: Items with fewer words are too common to be looked for.
-LEAST_ITEM = 5
-#: Words of the items that are sent to the tasks at once; a larger benchmark is taken in blocks.
-BLOCK_WORDS = 2_000_000
-_WORD = re.compile(r"\w+")
+#: Items of fewer words are found by all their words, as one seed without gaps.
+SHORT_MASKS = ("1", "11", "111")
+#: Words of the items that are sent to the tasks at once, some 35 MB; a larger benchmark is taken in blocks.
+BLOCK_WORDS = 400_000
+#: Shifts of an item that are compared at once.
+_SHIFTS = 512
+#: Pairs of places of one seed from which on they are taken as runs.
+_REPEATED = 64
+#: Characters of scripts that do without spaces.
+_ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_ALONE}]|[^\W{_ALONE}]+")
 _FILTER_BITS = 22
 _KNOWN_WORDS = 200_000
 
 
 def words_of(text: str) -> list[str]:
+    """Runs of letters, digits and underscores, lower-cased; in scripts without spaces every character."""
     return _WORD.findall(text.lower())
 
 
@@ -75,6 +82,7 @@ class Index(NamedTuple):
     item: np.ndarray
     place: np.ndarray
     present: np.ndarray
+    masks: list[tuple[int, str]]
 
 
 def build_index(items: list[tuple[int | None, str]]) -> Index:
@@ -82,42 +90,81 @@ def build_index(items: list[tuple[int | None, str]]) -> Index:
     ids, hashed = [], []
     for item_id, text in items:
         h = _hashes(words_of(text), known)
-        if len(h) >= LEAST_ITEM:
+        if len(h):
             ids.append(item_id)
             hashed.append(h)
-    found, item, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    found, item, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    masks = set()
     for i, h in enumerate(hashed):
-        for nth, mask in enumerate(MASKS):
+        short = len(h) <= len(SHORT_MASKS)
+        own = [(len(MASKS) + len(h), SHORT_MASKS[len(h) - 1])] if short else list(enumerate(MASKS))
+        masks.update(own)
+        for nth, mask in own:
             s = seeds(h, mask, nth)
             found.append(s)
-            item.append(np.full(len(s), i))
-            place.append(np.arange(len(s)))
+            item.append(np.full(len(s), i, np.int32))
+            place.append(np.arange(len(s), dtype=np.int32))
     all_seeds = np.concatenate(found)
     order = np.argsort(all_seeds, kind="stable")
     all_seeds = all_seeds[order]
     present = np.zeros(1 << _FILTER_BITS, dtype=bool)
     present[all_seeds >> np.uint64(64 - _FILTER_BITS)] = True
-    return Index(ids, hashed, all_seeds, np.concatenate(item)[order], np.concatenate(place)[order], present)
+    item, place = np.concatenate(item)[order], np.concatenate(place)[order]
+    return Index(ids, hashed, all_seeds, item, place, present, sorted(masks))
 
 
-def _hits(index: Index, doc: np.ndarray) -> np.ndarray:
-    """Distinct (item, shift) with a seed in common; the item's word i lies on word i + shift."""
+def _runs(at: np.ndarray) -> list[tuple[int, int]]:
+    """First and last of the runs of consecutive numbers."""
+    breaks = np.flatnonzero(np.diff(at) != 1)
+    return list(zip(at[np.r_[0, breaks + 1]].tolist(), at[np.r_[breaks, len(at) - 1]].tolist(), strict=True))
+
+
+def _hits(index: Index, doc: np.ndarray) -> dict[int, np.ndarray]:
+    """For each item with a seed in common the shifts, ascending: the item's word i lies on word i + shift.
+
+    Where a seed is repeated, its places in the item and in the document are taken as runs of consecutive
+    ones: two runs give all shifts from the first place less the last one to the last less the first. So long
+    repetitions cost their runs and not the product of their places."""
+    spans: dict[int, list[tuple[int, int]]] = {}
     pairs = []
-    for nth, mask in enumerate(MASKS):
+    for nth, mask in index.masks:
         s = seeds(doc, mask, nth)
         at = np.flatnonzero(index.present[s >> np.uint64(64 - _FILTER_BITS)])
         if not len(at):
             continue
-        low = np.searchsorted(index.seeds, s[at], "left")
-        n = np.searchsorted(index.seeds, s[at], "right") - low
-        total = int(n.sum())
-        if total:
-            stops = np.cumsum(n)
-            rows = np.repeat(low - (stops - n), n) + np.arange(total)
-            pairs.append(np.stack([index.item[rows], np.repeat(at, n) - index.place[rows]], axis=1))
-    if not pairs:
-        return np.zeros((0, 2), np.int64)
-    return np.unique(np.concatenate(pairs), axis=0)
+        values, back, counts = np.unique(s[at], return_inverse=True, return_counts=True)
+        low = np.searchsorted(index.seeds, values, "left")
+        n = np.searchsorted(index.seeds, values, "right") - low
+        repeated = n * counts > _REPEATED
+        single = ~repeated[back]
+        places, own, many = at[single], low[back[single]], n[back[single]]
+        if total := int(many.sum()):
+            stops = np.cumsum(many)
+            rows = np.repeat(own - (stops - many), many) + np.arange(total)
+            pairs.append(np.stack([index.item[rows], np.repeat(places, many) - index.place[rows]], axis=1))
+        for v in np.flatnonzero(repeated).tolist():
+            runs = _runs(at[back == v])
+            items, where = index.item[low[v] : low[v] + n[v]], index.place[low[v] : low[v] + n[v]].astype(np.int64)
+            edges = np.flatnonzero(np.r_[True, items[1:] != items[:-1], True]).tolist()
+            for a, b in zip(edges, edges[1:]):
+                found = spans.setdefault(int(items[a]), [])
+                for first, last in _runs(where[a:b]):
+                    found += [(p - last, q - first) for p, q in runs]
+    if pairs:
+        for item, shift in np.unique(np.concatenate(pairs), axis=0).tolist():
+            spans.setdefault(item, []).append((shift, shift))
+    return {item: _union(found) for item, found in spans.items()}
+
+
+def _union(spans: list[tuple[int, int]]) -> np.ndarray:
+    """All numbers of the spans (ends included), ascending, once."""
+    merged: list[list[int]] = []
+    for low, high in sorted(set(spans)):
+        if merged and low <= merged[-1][1] + 1:
+            merged[-1][1] = max(merged[-1][1], high)
+        else:
+            merged.append([low, high])
+    return np.concatenate([np.arange(low, high + 1) for low, high in merged])
 
 
 def longest_stretch(equal: np.ndarray, least: int) -> tuple[int, int] | None:
@@ -144,22 +191,42 @@ def matches(index: Index, doc: np.ndarray) -> Iterator[tuple[int, int, int, int,
     """For each item found in a document: its number, the words of the document from and to, the
     first word of the item, and the words that agree. Of several stretches the one with the most
     agreeing words counts, then the first."""
-    best: dict[int, tuple[int, int, int, int]] = {}
-    for item, shift in _hits(index, doc).tolist():
-        words = index.items[item]
-        low, high = max(0, -shift), min(len(words), len(doc) - shift)
-        least = min(MIN_WORDS, len(words))
-        if high - low < least:
-            continue
-        equal = words[low:high] == doc[low + shift : high + shift]
-        stretch = longest_stretch(equal, least)
-        if stretch:
-            agree = int(equal[stretch[0] : stretch[1]].sum())
-            start = low + stretch[0]
-            found = (agree, -(start + shift), -(low + stretch[1] + shift), start)
-            best[item] = max(best.get(item, found), found)
-    for item, (agree, start, end, first) in best.items():
-        yield item, -start, -end, first, agree
+    for item, shifts in _hits(index, doc).items():
+        best = _best_stretch(index.items[item], doc, shifts)
+        if best is not None:
+            agree, start, end, first = best
+            yield item, -start, -end, first, agree
+
+
+def _best_stretch(words: np.ndarray, doc: np.ndarray, shifts: np.ndarray) -> tuple[int, int, int, int] | None:
+    """Agreeing words, minus the first and the last word of the document, and the item's first word."""
+    n, best = len(words), None
+    least = min(MIN_WORDS, n)
+    num, den = MIN_SHARE
+    padded = np.concatenate([np.zeros(n, np.uint64), doc, np.zeros(n, np.uint64)])
+    step = max(1, _SHIFTS * 512 // n)
+    for i in range(0, len(shifts), step):
+        some = shifts[i : i + step]
+        # how many words agree at all at each shift tells which can still be the best
+        agree = np.array([(padded[s + n : s + 2 * n] == words).sum() for s in some.tolist()]) if n > 4_096 else (
+            (padded[some[:, None] + n + np.arange(n)] == words).sum(axis=1)
+        )
+        for shift, most in zip(some.tolist(), agree.tolist(), strict=True):
+            low, high = max(0, -shift), min(n, len(doc) - shift)
+            if high - low < least or most * den < num * least:
+                continue
+            if best is not None and (most < best[0] or (most == best[0] and shift + low > -best[1])):
+                continue
+            equal = words[low:high] == doc[low + shift : high + shift]
+            stretch = longest_stretch(equal, least)
+            if stretch:
+                start = low + stretch[0]
+                count = int(equal[stretch[0] : stretch[1]].sum())
+                found = (count, -(start + shift), -(low + stretch[1] + shift), start)
+                best = found if best is None else max(best, found)
+        if best is not None and best[0] == n:
+            return best  # nothing later can be better
+    return best
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
@@ -171,7 +238,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
     block, size = [], 0
     for row in rows.toLocalIterator():
         block.append((row["item_id"], row["text"]))
-        size += len(row["text"]) // 4 + 1
+        size += len(words_of(row["text"])) + 1
         if size >= BLOCK_WORDS:
             yield block
             block, size = [], 0
@@ -184,10 +251,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``end_word`` of the stretch in the document, ``item_word`` where it starts in the item, ``n_words`` long,
     ``n_equal`` and their share, ``similarity``.
 
-    A stretch has thirteen words, or all of a shorter item, and four fifths of them agree. Words are runs
-    of letters, digits and underscores, in lower case. Documents are read once per block of the
-    benchmark and not shuffled. Null and empty texts, and items of fewer than five words, match
-    nothing. Repeated rows are each answered, repeated items each found, null ids passed on, other
+    A stretch has thirteen words, or all of a shorter item, and four fifths of them agree; of an item of fewer
+    than five words all do. Words are runs of letters, digits and underscores, in lower case, and single characters
+    in scripts without spaces. Documents are read once per block of the benchmark and not shuffled. Null and
+    empty texts, and items without words, match nothing. Repeated rows are each answered, repeated items each found, null ids passed on, other
     columns not read. Without documents or items there are no rows.
     """
     columns = docs.select(

@@ -241,7 +241,25 @@ _HINT = re.compile(
     rf"|[_-]at[_-]|[ \t]@|@[ \t]|[ \t](?:at|ät|arroba)[ \t]+{_LABEL}\.[A-Za-z0-9-]",
     re.I,
 )
-_REACH = 200
+# It sees so much text around that, and more while fewer than _MARGIN words lie between it and a cut: no match
+# goes over so many words that it does not contain. Addresses of some thousand characters are not looked for.
+_REACH, _FARTHEST, _MARGIN = 200, 6_400, 4
+
+
+def _around(text: str, bound: int, start: int, stop: int) -> list[re.Match]:
+    """Disguised addresses around a hint, not before ``bound``; none is cut off by the part that is looked at."""
+    reach = _REACH
+    while True:
+        low, high = max(bound, start - reach), min(len(text), stop + reach)
+        found = list(_DISGUISED.finditer(text, low, high))
+        first = min(start, found[0].start()) if found else start
+        last = max(stop, found[-1].end()) if found else stop
+        cut = (low > bound and len(text[low:first].split()) < _MARGIN) or (
+            high < len(text) and len(text[last:high].split()) < _MARGIN
+        )
+        if not cut or reach >= _FARTHEST:
+            return found
+        reach *= 2
 
 
 def unmask_addresses(mapped: Mapped) -> Mapped:
@@ -252,8 +270,7 @@ def unmask_addresses(mapped: Mapped) -> Mapped:
     for hint in _HINT.finditer(text):
         if hint.start() < end:
             continue
-        low, high = max(end, hint.start() - _REACH), min(len(text), hint.end() + _REACH)
-        for m in _DISGUISED.finditer(text, low, high):
+        for m in _around(text, end, *hint.span()):
             form = "sure" if m["sure"] else "doubt"
             at = m.span(form)
             new = []
