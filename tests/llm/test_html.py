@@ -1,6 +1,8 @@
 import itertools
 import random
 
+import pytest
+
 from tidegauge.llm.html_extract import extract_pages, main_text, minimum_cut
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
@@ -18,6 +20,47 @@ def test_article_without_the_rest():
     assert main_text(PAGE) == "The head\nFirst <para> goes on.\nS.\none\ntwo"
 
 
+ARTICLE = "<h2>Title</h2>" + "".join(
+    f"<p>Paragraph {i} tells a long story about rivers, tides and gauges, in plain words that go on.</p>" for i in range(5)
+)
+MENU = "<ul><li><a href=/>Home</a><li><a href=/b>News of the day</a><li><a href=/c>About us and others</a></ul>"
+WRAPPERS = [
+    '<form id="aspnetForm"><input type="hidden" name="state">%s</form>',
+    '<form action="/go"><input type="text" name="q">%s</form>',
+    '<div class="side-by-side">%s</div>',
+    '<div class="page header-fixed">%s</div>',
+    '<div id="page" class="sticky-nav">%s</div>',
+    '<div class="content share-enabled">%s</div>',
+    '<div class="sidebar-closed menu-open">%s</div>',
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_names_and_tags_around_the_page_lose_no_article(wrapper):
+    text = main_text(ARTICLE)
+    assert len(text) > 400 and text.startswith("Title")
+    assert main_text(f"<body>{wrapper % ARTICLE}</body>") == text
+    assert main_text(f"<body>{wrapper % (MENU + ARTICLE)}</body>") == text
+    assert main_text(f"<body>{wrapper % (MENU + '<main>' + ARTICLE + '</main>')}<footer>{'All rights reserved. ' * 40}</footer></body>") == text
+
+
+def test_marked_parts_of_a_page_still_go():
+    side = "<p>" + "A note beside the text, which goes on for a while and then some more. " * 6 + "</p>"
+    for part in (
+        f'<div class="sidebar">{side}</div>',
+        f"<aside>{side}</aside>",
+        f'<div id="comments">{side * 3}</div>',
+        f"<form><label>Your name, please, and what you think of this</label><input name=a><textarea></textarea><button>Send</button></form>",
+    ):
+        assert main_text(f"<body><article>{ARTICLE}</article>{part}</body>") == main_text(ARTICLE)
+
+
+def test_a_page_of_one_line():
+    assert main_text("just one line") == "just one line"
+    assert main_text("<html><body><b>One</b> &amp; only</body></html>") == "One & only"
+    assert main_text('<a href="/">Home</a>') == ""
+
+
 def test_short_block_follows_its_neighbours():
     text = "This is a long paragraph of the text, with many words that say one thing and another. " * 3
     page = f"<div><p>{text}</p><p>Ok.</p><p>{text}</p></div><ul><li><a href=1>More</a><li><a href=2>Less</a></ul>"

@@ -60,7 +60,8 @@ _NO_DISPLAY = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 #: Parts of names (class, id, role) that speak against or for content; stated by hand.
 PLAIN_NAMES = re.compile(
-    r"(?<![a-z])(?:(?:with|without|has|no)[-_]?[a-z]+|(?:article|content|entry|main|post|story)[-_]*header)",
+    r"(?<![a-z])(?:(?:with|without|has|no)[-_]?[a-z]+|(?:article|content|entry|main|post|story)[-_]*header|side[-_]by[-_]side"
+    r"|[a-z]+[-_](?:fixed|sticky|enabled|disabled|open|opened|closed|collapsed|expanded|visible)(?![a-z]))",
     re.I,
 )
 BAD_NAMES = re.compile(
@@ -76,6 +77,7 @@ GOOD_NAMES = re.compile(
     r"(?<![a-z])(?:article\w*|body|content|entry|main|post|story|text)(?![a-z])", re.I
 )
 BAD_TAGS = {"nav": 9.0, "footer": 9.0, "aside": 8.0, "form": 9.0, "menu": 8.0, "dialog": 8.0, "header": 5.0}
+CONTROLS = frozenset("input select textarea button".split())
 GOOD_TAGS = {"article": 6.0, "main": 4.0}
 
 # The classifier: weights of the log-odds that a block is content, stated by hand.
@@ -86,6 +88,11 @@ PARAGRAPH = 1.0
 HEADING = 0.6
 BAD_NAME = -8.0
 GOOD_NAME = 2.0
+# A mark against an element counts less the more of the page's text it holds: wholly up to this share, not at all if
+# it holds everything. It does not count either if the page's heading or its main part is inside, and a form
+# counts as one by its controls: so many characters to a control are text that a form was put around.
+WHOLE_SHARE = 0.7
+PER_CONTROL = 300
 # Smoothness between neighbours in the page, and between blocks by their depth of common ancestor.
 ADJACENT = 0.4
 NEAR = 1.6
@@ -108,6 +115,22 @@ class _Node(NamedTuple):
     skip: bool
 
 
+class _Marked:
+    """An element with a mark against it, and what is found inside."""
+
+    def __init__(self, tag: str, bad: float):
+        self.tag, self.bad = tag, bad
+        self.chars = self.controls = 0
+        self.main = False
+
+    def weight(self, chars: int) -> float:
+        """The mark, by the share of the page's ``chars`` characters."""
+        if self.main or (self.tag == "form" and self.controls and self.chars > PER_CONTROL * self.controls):
+            return 0.0
+        share = self.chars / max(chars, 1)
+        return self.bad * min(1.0, (1.0 - share) / (1.0 - WHOLE_SHARE))
+
+
 def _names(attributes: str) -> str:
     found = []
     for m in _ATTRIBUTE.finditer(attributes):
@@ -120,9 +143,15 @@ def _hidden(attributes: str) -> bool:
     return bool(_HIDDEN.search(_VALUE.sub("=", attributes)) or _NO_DISPLAY.search(attributes))
 
 
+def _hidden_control(attributes: str) -> bool:
+    return any(m[1].lower() == "type" and (m[2] or m[3] or m[4] or "").lower() == "hidden" for m in _ATTRIBUTE.finditer(attributes))
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of text of a page in page order. Unclosed and stray tags are put up with."""
     found: list[Block] = []
+    held: list[list[_Marked]] = []  # of each block the marked elements around it
+    marked: dict[int, _Marked] = {}
     stack: list[_Node] = []
     parts: list[str] = []
     linked = 0
@@ -136,10 +165,13 @@ def blocks(page: str) -> list[Block]:
             text = " ".join("".join(parts).split())
             if text:
                 boxes = [n for n in stack if n.tag in BLOCK]
-                bad = min((n.bad for n in stack), default=0.0)
+                around = [marked[n.number] for n in stack if n.number in marked]
+                for element in around:
+                    element.chars += len(text)
                 good = max((n.good for n in stack), default=0.0)
                 tag = boxes[-1].tag if boxes else ""
-                found.append(Block(text, linked, tag, tuple(n.number for n in boxes), (bad, good)))
+                found.append(Block(text, linked, tag, tuple(n.number for n in boxes), (0.0, good)))
+                held.append(around)
             parts.clear()
         linked = 0
 
@@ -210,6 +242,14 @@ def blocks(page: str) -> list[Block]:
                         pop_to(i)
                         break
             flush()
+        if tag in CONTROLS and not skipping and not _hidden_control(attributes):
+            for node in stack:
+                if node.number in marked:
+                    marked[node.number].controls += 1
+        elif tag in ("h1", "main"):
+            for node in stack:
+                if node.number in marked:
+                    marked[node.number].main = True
         if tag in VOID:
             continue
         number += 1
@@ -227,6 +267,8 @@ def blocks(page: str) -> list[Block]:
         if attributes.endswith("/") and tag not in BLOCK and tag not in RAW:
             continue
         stack.append(_Node(tag, number, bad, good, skip))
+        if bad:
+            marked[number] = _Marked(tag, bad)
         skipping += skip
         links += tag == "a"
         if tag in RAW:
@@ -236,7 +278,12 @@ def blocks(page: str) -> list[Block]:
             at = close.start() if close else size
     pop_to(0)
     flush()
-    return found
+    chars = sum(len(b.text) for b in found)
+    weights = {id(m): m.weight(chars) for m in marked.values()}
+    return [
+        b._replace(marks=(min((weights[id(m)] for m in around), default=0.0), b.marks[1]))
+        for b, around in zip(found, held, strict=True)
+    ]
 
 
 def content_score(block: Block) -> float:
@@ -338,6 +385,8 @@ def minimum_cut(costs: list[tuple[float, float]], ties: list[tuple[int, int, flo
 def labels(found: list[Block]) -> list[bool]:
     """True for each block that is content."""
     scores = [content_score(b) for b in found]
+    if len(found) == 1 and found[0].linked < len(found[0].text):
+        return [True]  # a page of one block is its text, unless that is a link
     costs = [(max(s, 0.0), max(-s, 0.0)) for s in scores]
     return minimum_cut(costs, list(_ties(found)))
 
