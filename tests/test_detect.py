@@ -168,3 +168,15 @@ def test_rounding_matches_exact_decimal_rounding(spark):
 def test_config_is_checked():
     with pytest.raises(ValueError):
         DetectConfig(baseline_rows=5)
+
+
+@pytest.mark.parametrize("digits", [2, 3, 4])
+def test_one_rounding_up_to_the_largest_numbers(spark, digits):
+    """Around the bounds where digits become coarser than the numbers, and far beyond."""
+    rng = random.Random(digits)
+    bound = 2.0**53 / 10**digits
+    values = [s * x for x in (bound, math.nextafter(bound, 0), 1e11, 99999999999.99995, 1e300, 2.0**53 + 2) for s in (1, -1)]
+    values += [rng.uniform(0.9, 1.1) * b for b in (bound, 1e11, bound / 2, 1e9) for _ in range(400)]
+    values += [math.floor(bound / 2) + rng.randrange(64) / 64 for _ in range(200)]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(round_exact("v", digits)).collect()]
+    assert got == [round(v, digits) for v in values]

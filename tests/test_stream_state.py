@@ -3,8 +3,11 @@
 import math
 import random
 import shutil
+import time
+from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from helpers import SCHEMA, START, at, record, records, rows_of
@@ -13,6 +16,7 @@ from tidegauge.operators import dedup, metrics, windows
 from tidegauge.plans.batch import run_batch
 from tidegauge.plans.trailing import with_running_moments
 from tidegauge.schema import KEYS, ORDER
+from tidegauge.streaming import operators as ops
 from tidegauge.streaming.ledger import KeyedState, begin, manifest, published
 from tidegauge.streaming.run import Counters, Engine
 from tidegauge.streaming.triggers import Clock, DedupStage, LiveIds, MomentStage, WindowStage
@@ -287,3 +291,92 @@ def test_stages_on_empty_triggers(spark, tmp_path):
     assert published(spark, str(tmp_path), "closed").count() == 1
     assert published(spark, str(tmp_path), "moments").count() == 2
     shutil.rmtree(tmp_path)
+
+
+def test_windows_that_close_by_the_wall_clock(spark, tmp_path):
+    """Under a processing-time trigger: a sparse window gives nothing and moves the next start to the present, readings that
+    came late for a window count in the next one, and the last window closes without new readings."""
+    source, width = str(tmp_path / "in"), 20
+    cfg = WindowConfig(window_seconds=width, min_samples=3)
+
+    def send(times, sensor):
+        rows = [(f"m{time.time_ns()}", sensor, "p", float(i), "bar", t, i) for i, t in enumerate(times)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+
+    begun = datetime.now(timezone.utc)
+    near = [begun + timedelta(seconds=s) for s in (0, 0.5, 1, 1.5)]
+    send(near, "full")
+    send(near[:2], "sparse")
+    rows = spark.readStream.schema(SCHEMA).parquet(source)
+    query = (
+        ops.wall_clock_window_stats(rows, cfg).writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        .option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(processingTime="1 second").start()
+    )
+
+    def closed():
+        try:
+            return spark.read.parquet(f"{tmp_path}/out").collect()
+        except AnalysisException:
+            return []
+
+    def wait_for(n):
+        deadline = time.monotonic() + 120
+        while len(closed()) < n and time.monotonic() < deadline:
+            assert query.isActive
+            time.sleep(0.5)
+        return closed()
+
+    try:
+        first = wait_for(1)
+        assert [(r["sensor_id"], r["sample_count"], r["window_start"]) for r in first] == [("full", 4, near[0].replace(tzinfo=None))]
+        assert first[0]["closed_at"] >= first[0]["window_end"] == first[0]["window_start"] + timedelta(seconds=width)
+        send(near[1:4], "full")  # for the window that has closed
+        send([datetime.now(timezone.utc) + timedelta(seconds=s) for s in (0, 0.1, 0.2)], "sparse")
+        rows = wait_for(3)
+    finally:
+        query.stop()
+    second = {r["sensor_id"]: r for r in rows if r not in first}
+    assert second["full"]["sample_count"] == 3 and second["full"]["window_start"] == first[0]["window_end"]
+    # the window started anew when the sparse one was given up, not at a multiple of the width
+    assert second["sparse"]["sample_count"] == 3
+    assert second["sparse"]["window_start"] > near[0].replace(tzinfo=None) + timedelta(seconds=width)
+
+
+def test_listener_adds_up_what_was_dropped(spark, tmp_path):
+    listener, source = ops.DroppedRows(), str(tmp_path / "in")
+    spark.streams.addListener(listener)
+    try:
+        for name, chunk in (("a", [1000, 2000, 2001]), ("b", [10, 20, 30, 3000]), ("c", [2000, 2999, 5000])):
+            records(spark, [record(i, seconds=s, message_id=f"{name}{i}") for i, s in enumerate(chunk)]).coalesce(1).write.mode(
+                "append"
+            ).parquet(source)
+            rows = ops.observed(spark.readStream.schema(SCHEMA).parquet(source))
+            kept = ops.dedup_within_watermark(rows, DedupConfig(ttl_seconds=100))
+            query = kept.writeStream.queryName("drops").format("parquet").option("path", f"{tmp_path}/out")
+            query = query.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+            query.awaitTermination()
+        deadline = time.monotonic() + 60
+        want = {"dropped_dedupeWithinWatermark": 4, "input_rows": 10}
+        while listener.totals.get("drops") != want and time.monotonic() < deadline:
+            time.sleep(0.2)
+        assert listener.totals["drops"] == want
+        assert spark.read.parquet(f"{tmp_path}/out").count() == 6
+    finally:
+        spark.streams.removeListener(listener)
+
+
+@pytest.mark.parametrize("size", [20, 200])
+def test_sketched_percentiles_are_within_their_bound(spark, size):
+    rng = random.Random(size)
+    rows = [record(i, rng.lognormvariate(0, 2), i * 0.01, sensor=f"s{i % 3}") for i in range(6000)]
+    cfg = WindowConfig(window_seconds=3600, percentile_method="sketch", sketch_size=size)
+    got = {r["sensor_id"]: r for r in windows.window_stats(records(spark, rows), cfg).collect()}
+    exact = {r["sensor_id"]: r for r in windows.window_stats(records(spark, rows), WindowConfig(window_seconds=3600)).collect()}
+    for sensor, r in got.items():
+        values = [x[3] for x in rows if x[1] == sensor]
+        below, upto = (sum(v < r["p95"] for v in values), sum(v <= r["p95"] for v in values))
+        bound = windows.rank_error(size) * len(values) + 1
+        assert below - bound <= 0.95 * len(values) <= upto + bound
+        assert {k: r[k] for k in ("sample_count", "minimum", "maximum")} == {k: exact[sensor][k] for k in ("sample_count", "minimum", "maximum")}
+    with pytest.raises(ValueError):
+        WindowConfig(percentile_method="guess")

@@ -42,11 +42,15 @@ class WindowConfig:
     min_samples: int = 3
     percentile: float = 95.0
     alignment: str = "epoch"  # or "series": anchored at the first record of each series
+    percentile_method: str = "exact"  # or "sketch": near enough, see operators.windows.rank_error
+    sketch_size: int = 200
 
     def __post_init__(self):
         _require(self.window_seconds > 0, "window_seconds must be positive")
         _require(0.0 <= self.percentile <= 100.0, "percentile must be within 0..100")
         _require(self.alignment in ("epoch", "series"), "alignment is 'epoch' or 'series'")
+        _require(self.percentile_method in ("exact", "sketch"), "percentile_method is 'exact' or 'sketch'")
+        _require(8 <= self.sketch_size <= 65_535, "sketch_size must be within 8..65535")
 
     @property
     def window_us(self) -> int:

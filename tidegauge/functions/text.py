@@ -38,8 +38,10 @@ def exact_sql(value: str, digits: int) -> str:
     steps = f"get(transform(array(part * {scale}D), scaled -> double(floor(scaled) + {up})), 0)"
     size = f"""get(transform(array(abs(v) - floor(abs(v))),
         part -> (floor(abs(v)) * {scale}D + {steps}) / {scale}D), 0)"""
-    return f"""get(transform(array({value}), v -> CASE WHEN abs(v) < 1e11D
-        THEN signum(v) * {size} ELSE bround(v, {digits}) END), 0)"""
+    # From here on neighbouring numbers are further apart than the digits, so a number is its own rounding.
+    coarse = 2.0**53 / scale
+    return f"""get(transform(array({value}), v -> CASE WHEN abs(v) < {coarse}D
+        THEN signum(v) * {size} ELSE v END), 0)"""
 
 
 def round_exact(value: str, digits: int) -> Column:

@@ -453,6 +453,18 @@ FROM valid LEFT JOIN (
         )
         + f"SELECT {_WINDOW_COLUMNS} FROM closed"
     )
+    sql["window_stats_sketched"] = _with(_tel(), _windows(_DAY)) + """SELECT sensor_id, metric_name, window_start,
+  sample_count, true AS within_bound FROM win"""
+    # Late is what is not after the newest time of the triggers before, in milliseconds, less the time-to-live.
+    sql["stream_watermark_drops"] = _with(
+        _tel(),
+        "sent AS (SELECT *, event_id % 5 AS trigger FROM tel)",
+        f"""marks AS (
+  SELECT trigger, max(newest) OVER (ORDER BY trigger ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - INTERVAL '{_DAY} seconds' AS mark
+  FROM (SELECT trigger, date_trunc('milliseconds', max("timestamp")) AS newest FROM sent GROUP BY 1))""",
+    ) + """SELECT count(*) AS received, count(*) FILTER ("timestamp" <= mark) AS dropped,
+  count(*) FILTER (mark IS NULL OR "timestamp" > mark) AS kept FROM sent JOIN marks USING (trigger)"""
     sql["stream_end_to_end_arrival_order"] = _arrival_order()
     sql["stream_statistics_five_triggers"] = _statistics()
     return sql

@@ -17,6 +17,7 @@ from .operators.parse import dead_letters, parse, valid_records
 from .operators.windows import (
     assign_windows,
     percentiles,
+    rank_error,
     rounded,
     series_stats,
     window_stats,
@@ -621,6 +622,25 @@ def stream_dedup_within_watermark(spark, folder):
     return _drain(streaming.dedup_within_watermark(rows, DAY_TTL)).select("message_id")
 
 
+@query
+def stream_watermark_drops(spark, folder):
+    """Rows read and rows dropped behind the watermark, where every trigger holds a fifth of all times."""
+    out, seen = _stream_folder(spark), []
+
+    def run(rows):
+        rows = streaming.observed(readings(rows))
+        kept = streaming.dedup_within_watermark(rows, DAY_TTL)
+        writer = kept.writeStream.format("parquet").option("path", f"{out}/out")
+        run = writer.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
+        run.awaitTermination()
+        seen.append(streaming.totals_of(run))
+
+    _five_times(spark, folder, F.col("event_id") % 5, run)
+    counts = [sum(t.get(n, 0) for t in seen) for n in ("input_rows", "dropped_dedupeWithinWatermark")]
+    kept = spark.read.parquet(f"{out}/out").agg(F.count(F.lit(1)).alias("kept"))
+    return kept.select(F.lit(counts[0]).cast("bigint").alias("received"), F.lit(counts[1]).cast("bigint").alias("dropped"), "kept")
+
+
 def _scores_by_trigger(spark, rows, out, skew=SkewConfig()):
     now = {"availableNow": True}
     score_by_trigger(rows, out, parquet_sink(f"{out}/scored"), skew=skew, trigger=now).awaitTermination()
@@ -666,6 +686,24 @@ def stream_zscore_by_trigger(spark, folder):
     return _scores(spark, out)
 
 
+@query
+def window_stats_sketched(spark, folder):
+    """Percentiles of sketches, and whether their rank is as near to the wanted one as a sketch of this size promises."""
+    rows = _readings(spark, folder)
+    cfg = replace(ONE_DAY, percentile_method="sketch")
+    placed = assign_windows(rows.select(*KEYS, "timestamp", "value"), cfg)
+    stats = window_stats(rows, cfg).select(*KEYS, "window_start", "sample_count", "minimum", "maximum", "p95")
+    both = placed.drop("window_end").join(stats, [*KEYS, "window_start"])
+    ranks = both.groupBy(*KEYS, "window_start").agg(
+        F.first("sample_count").alias("sample_count"),
+        (F.count_if(F.col("value") < F.col("p95")) / F.count("value")).alias("below"),
+        (F.count_if(F.col("value") <= F.col("p95")) / F.count("value")).alias("upto"),
+    )
+    bound = F.lit(rank_error(cfg.sketch_size)) + 1 / F.col("sample_count")
+    near = (F.col("below") <= 0.95 + bound) & (F.col("upto") >= 0.95 - bound)
+    return ranks.select(*KEYS, _ntz("window_start"), "sample_count", near.alias("within_bound"))
+
+
 @query
 def stream_window_stats(spark, folder):
     rows = streaming.watermarked(readings(_event_stream(spark, folder)))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ..config import DedupConfig, DetectConfig, WindowConfig
 from ..operators.detect import (
@@ -19,7 +21,7 @@ from ..operators.detect import (
 )
 from ..operators.windows import basic_stats, interpolated_percentile
 from ..schema import KEYS, ORDER
-from .processors import AnchoredWindows, TrailingBaseline, TtlDedup
+from .processors import AnchoredWindows, TrailingBaseline, TtlDedup, WallClockWindows
 
 _BASELINE = [
     T.StructField("baseline_n", T.LongType()),
@@ -131,8 +133,7 @@ def spikes(scored: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFrame:
     return scored.filter(is_window_anomaly(cfg)).select(*window_alert_columns(cfg))
 
 
-def anchored_window_stats(df: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
-    """Series-anchored windows with ``closed_at``; needs a watermark."""
+def _closing_windows(df: DataFrame, cfg: WindowConfig, processor: type, mode: str) -> DataFrame:
     use_state_store(df.sparkSession)
     bigint = T.LongType()
     schema = T.StructType(
@@ -145,9 +146,9 @@ def anchored_window_stats(df: DataFrame, cfg: WindowConfig = WindowConfig()) ->
             ],
         ]
     )
-    processor = AnchoredWindows(cfg.window_us, cfg.min_samples, cfg.percentile, schema.names)
+    made = processor(cfg.window_us, cfg.min_samples, cfg.percentile, schema.names)
     rows = df.select(*KEYS, "timestamp", "value", F.unix_micros("timestamp").alias("__t"))
-    closed = rows.groupBy(*KEYS).transformWithState(processor, schema, "append", "eventTime")
+    closed = rows.groupBy(*KEYS).transformWithState(made, schema, "append", mode)
     return closed.select(
         *KEYS,
         F.timestamp_micros("start").alias("window_start"),
@@ -160,3 +161,62 @@ def anchored_window_stats(df: DataFrame, cfg: WindowConfig = WindowConfig()) ->
         "std_dev",
         "p95",
     )
+
+
+def anchored_window_stats(df: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
+    """Series-anchored windows with ``closed_at``; needs a watermark."""
+    return _closing_windows(df, cfg, AnchoredWindows, "eventTime")
+
+
+def wall_clock_window_stats(df: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
+    """Windows that close by the wall clock, with ``closed_at``; without a watermark. Run it with a processing-time
+    trigger: each trigger looks for windows that are due, at most one per series."""
+    return _closing_windows(df, cfg, WallClockWindows, "processingTime")
+
+
+# What the watermark drops
+
+
+def _add(totals: dict[str, int], progress) -> None:
+    """Rows that stateful operators dropped as late, and observed counts, of one trigger."""
+    for operator in progress.stateOperators:
+        name = f"dropped_{operator.operatorName}"
+        totals[name] = totals.get(name, 0) + operator.numRowsDroppedByWatermark
+    for watch, row in (progress.observedMetrics or {}).items():
+        for name, value in row.asDict().items():
+            totals[f"{watch}_{name}"] = totals.get(f"{watch}_{name}", 0) + (value or 0)
+
+
+class DroppedRows(StreamingQueryListener):
+    """Adds up, by query name, what the watermark made operators drop, and the counts of ``observed``.
+
+    An operator that combines rows before its state counts what is combined (windows), others count rows.
+    """
+
+    def __init__(self):
+        self.totals: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        _add(self.totals.setdefault(event.progress.name or str(event.progress.id), {}), event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def observed(df: DataFrame, name: str = "input") -> DataFrame:
+    """Count the rows of a stream on their way, under ``name`` in each trigger's progress."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"))
+
+
+def totals_of(query: StreamingQuery) -> dict[str, int]:
+    """The same sums as ``DroppedRows`` for the triggers that a query still remembers."""
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        _add(totals, progress)
+    return totals

@@ -23,7 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class TtlDedup(StatefulProcessor):
-    """Flags repeats within the time-to-live of the last accepted row, by event time.
+    """Flags repeats within the time-to-live of the last accepted row, by event time. Row-at-a-time Python beside
+    ``triggers.DedupStage``, which works in the JVM and judges rows that come late by all accepted times near them.
 
     Rows carry their event time in microseconds as ``__t`` and are taken in the order
     (``__t``, tie-break columns). The state of an id is dropped by a timer once the watermark has
@@ -67,7 +68,8 @@ class TtlDedup(StatefulProcessor):
 
 
 class TrailingBaseline(StatefulProcessor):
-    """Count, mean and sample deviation of the last ``depth`` values before each row."""
+    """Count, mean and sample deviation of the last ``depth`` values before each row. Row-at-a-time Python
+    beside ``triggers.ScoreStage``."""
 
     def __init__(self, depth: int, value: str, columns: list[str], order: list[str]):
         self.depth = depth
@@ -116,6 +118,75 @@ class TrailingBaseline(StatefulProcessor):
         pass
 
 
+class WallClockWindows(StatefulProcessor):
+    """Windows that close when so much time has passed on the wall clock, whatever the readings tell.
+
+    A series' window starts at its first reading's time. Once the present is a window's width after the start, the readings
+    up to the start plus the width are used up: at least ``min_samples`` of them give a window, and the next one starts where
+    this one ended, so readings that came late for it are in it; fewer give none, and the next one starts at the present.
+    Timers on processing time tell when; they fire also without new readings. Row-at-a-time Python, as state timers
+    are offered in no other way; ``triggers.WindowStage`` is the form for event time in the JVM.
+    """
+
+    def __init__(self, width_us: int, min_samples: int, percentile: float, names: list[str]):
+        self.width_us = width_us
+        self.min_samples = min_samples
+        self.percentile = percentile
+        self.names = names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.start = handle.getValueState("start", "t bigint")
+        self.buffer = handle.getListState("buffer", "t bigint, value double")
+        self.out = Row(*self.names)
+
+    def _arm(self, start: int) -> None:
+        self.handle.registerTimer(-(-(start + self.width_us) // 1000))
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        incoming = [(row["__t"], row["value"]) for row in rows if row["__t"] is not None]
+        if incoming:
+            if self.start.get() is None:
+                first = min(t for t, _ in incoming)
+                self.start.update((first,))
+                self._arm(first)
+            self.buffer.appendList(incoming)
+        yield from ()
+
+    def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = timerValues.getCurrentProcessingTimeInMs() * 1000
+        start = self.start.get()[0]
+        end = start + self.width_us
+        if now < end:
+            return
+        rows = [(r[0], r[1]) for r in self.buffer.get()]
+        values = np.array([v for t, v in rows if t <= end], dtype="float64")
+        held = [(t, v) for t, v in rows if t > end]
+        if held:
+            self.buffer.put(held)
+        else:
+            self.buffer.clear()
+        start_after = end if len(values) >= self.min_samples else now
+        self.start.update((start_after,))
+        self._arm(start_after)
+        if len(values) >= self.min_samples:
+            yield self.out(
+                *key,
+                start,
+                end,
+                now,
+                len(values),
+                float(values.mean()),
+                float(values.min()),
+                float(values.max()),
+                float(values.std(ddof=1)) if len(values) > 1 else 0.0,
+                float(np.percentile(values, self.percentile)),
+            )
+
+    def close(self) -> None:
+        pass
+
+
 class AnchoredWindows(StatefulProcessor):
     """Windows on the grid of a series' first record, closed with the watermark.
 
