@@ -35,14 +35,19 @@ _SHIFTS = 512
 _REPEATED = 64
 #: Characters of scripts that do without spaces.
 _ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
-_WORD = re.compile(rf"[{_ALONE}]|[^\W{_ALONE}]+")
+_WORD = re.compile(r"\w+")
+_WORD_OR_CHARACTER = re.compile(rf"[{_ALONE}]|[^\W{_ALONE}]+")
+_HIGH = re.compile("[\u0e00-\U0010ffff]")
 _FILTER_BITS = 22
 _KNOWN_WORDS = 200_000
 
 
 def words_of(text: str) -> list[str]:
     """Runs of letters, digits and underscores, lower-cased; in scripts without spaces every character."""
-    return _WORD.findall(text.lower())
+    text = text.lower()
+    if text.isascii() or not _HIGH.search(text):
+        return _WORD.findall(text)
+    return _WORD_OR_CHARACTER.findall(text)
 
 
 def _hashes(words: list[str], known: dict[str, int]) -> np.ndarray:
@@ -132,6 +137,11 @@ def _hits(index: Index, doc: np.ndarray) -> dict[int, np.ndarray]:
         at = np.flatnonzero(index.present[s >> np.uint64(64 - _FILTER_BITS)])
         if not len(at):
             continue
+        low = np.searchsorted(index.seeds, s[at], "left")
+        real = index.seeds[np.minimum(low, len(index.seeds) - 1)] == s[at]
+        if not real.any():
+            continue  # the filter lets some others through
+        at = at[real]
         values, back, counts = np.unique(s[at], return_inverse=True, return_counts=True)
         low = np.searchsorted(index.seeds, values, "left")
         n = np.searchsorted(index.seeds, values, "right") - low
