@@ -31,15 +31,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.skew import store_table
 from .fm_index import FMIndex, matching_statistics
 
 #: Words of a window, and of the minimizer's grams.
 WINDOW = 13
-GRAM = 5
+GRAM = 3
 #: Bytes of text that a shard gets, roughly.
 SHARD_BYTES = 24_000_000
 #: Words that are cut at once; longer texts are cut in several goes.
-PIECE_WORDS = 400_000
+PIECE_WORDS = 600_000
 #: Longer words are told apart by their SHA-256 while they are searched.
 LONG_WORD = 64
 #: One of SAMPLE rows is looked at for hot minimizers, and at most HOT of them are split.
@@ -49,9 +50,9 @@ _SEPARATOR = b"\n"  # never inside a word
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
-_PACKED = (
-    "shard int, words binary, sizes binary, anchors binary, which binary, docs binary, keys binary, places binary"
-)
+#: What goes to a shard: ``words`` of ``n`` fragments, compressed, with the lower half of their minimizers, and ``m`` occurrences;
+#: or, without words, ``m`` numbers of intervals of ``n`` rows. ``meta`` holds columns of numbers, compressed.
+_PACKED = "shard int, n int, m int, words binary, anchors binary, meta binary, docs binary, keys binary"
 _SPANS = "doc_id bigint, row_key bigint, spans array<int>"
 
 
@@ -198,29 +199,36 @@ def _numbered(contents: list[bytes]) -> tuple[dict[bytes, int], np.ndarray]:
     return known, np.fromiter(map(known.__getitem__, contents), np.int64, len(contents))
 
 
+def _squeezed(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
+
+
+def _columns(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, each as differences, compressed."""
+    return _squeezed(b"".join(np.diff(c, prepend=0).astype("<i4").tobytes() for c in columns))
+
+
+def _uncolumns(data: bytes, *sizes: int) -> list[np.ndarray]:
+    flat = np.frombuffer(pa.decompress(data, 4 * sum(sizes), codec="zstd", asbytes=True), "<i4")
+    return [np.cumsum(part, dtype=np.int64) for part in np.split(flat, np.cumsum(sizes)[:-1])]
+
+
 def _pack(units: list[Unit], found: Fragments, shards: int, turn: int, window: int) -> Iterator[tuple]:
     """Rows of ``_PACKED``: for each shard the distinct fragments with their occurrences in the row with the
     smallest id, and one row with the intervals that are known to be repeated."""
     known, code = _numbered(found.contents)
-    doc = np.array([u.doc_id for u in units], np.int64)[found.units]
-    key = np.array([u.key for u in units], np.int64)[found.units]
+    ids, row_keys = (np.array(c, np.int64) for c in ([u.doc_id for u in units], [u.key for u in units]))
+    doc = ids[found.units]
     least = np.full(len(known), np.iinfo(np.int64).max)
     np.minimum.at(least, code, doc)
     late = doc > least[code]
     if late.any():
         stop = found.places + found.windows + window - 1
-        spans = merged_spans(doc[late], key[late], found.places[late], stop[late])
-        flat = spans["spans"]
-        yield (
-            turn % shards,
-            None,
-            np.diff(flat.offsets.to_numpy()).astype("<i4").tobytes(),
-            None,
-            None,
-            spans["doc_id"].to_numpy().astype("<i8").tobytes(),
-            spans["row_key"].to_numpy().astype("<i8").tobytes(),
-            flat.values.to_numpy().astype("<i4").tobytes(),
-        )
+        spans = merged_spans(doc[late], row_keys[found.units[late]], found.places[late], stop[late])
+        flat, n = spans["spans"].values.to_numpy(), spans.num_rows
+        meta = _columns(np.diff(spans["spans"].offsets.to_numpy()), flat)
+        two = (spans[c].to_numpy().astype("<i8").tobytes() for c in ("doc_id", "row_key"))
+        yield turn % shards, n, len(flat), None, None, meta, *two
     anchor = np.zeros(len(known), np.uint64)
     anchor[code] = found.anchors
     shard = (_mixed(anchor) % np.uint64(shards)).astype(np.int64)
@@ -237,19 +245,21 @@ def _pack(units: list[Unit], found: Fragments, shards: int, turn: int, window: i
             continue
         inside[mine] = np.arange(len(mine))
         parts = [texts[j] for j in mine.tolist()]
+        rows, unit = np.unique(found.units[own], return_inverse=True)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         yield (
             i,
-            pa.compress(b"".join(parts), codec="zstd", asbytes=True),
-            np.fromiter(map(len, parts), "<i4", len(parts)).tobytes(),
-            anchor[mine].astype("<u8").tobytes(),
-            inside[code[own]].astype("<i4").tobytes(),
-            doc[own].astype("<i8").tobytes(),
-            key[own].astype("<i8").tobytes(),
-            found.places[own].astype("<i4").tobytes(),
+            len(mine),
+            len(own),
+            _squeezed(b"".join(parts)),
+            anchor[mine].astype("<u4").tobytes(),
+            _columns(sizes, inside[code[own]], unit, found.places[own]),
+            ids[rows].astype("<i8").tobytes(),
+            row_keys[rows].astype("<i8").tobytes(),
         )
 
 
-_PACKED_TYPES = [pa.int32(), *[pa.binary()] * 7]
+_PACKED_TYPES = [*[pa.int32()] * 3, *[pa.binary()] * 5]
 
 
 def repeated_windows(contents: list[bytes], owners: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -277,12 +287,18 @@ def repeated_windows(contents: list[bytes], owners: np.ndarray, window: int) ->
 
 def _search(held: list[dict], window: int) -> pa.RecordBatch | None:
     """The intervals of one shard's rows that a smaller document has."""
-    anchors = np.concatenate([np.frombuffer(r["anchors"], "<u8") for r in held])
-    counts = [len(r["anchors"]) // 8 for r in held]
+    anchors = np.concatenate([np.frombuffer(r["anchors"], "<u4") for r in held])
+    counts = [r["n"] for r in held]
     base = np.cumsum(counts) - counts
-    which = np.concatenate([np.frombuffer(r["which"], "<i4") + b for r, b in zip(held, base, strict=True)])
-    docs, keys = (np.concatenate([np.frombuffer(r[c], "<i8") for r in held]) for c in ("docs", "keys"))
-    places = np.concatenate([np.frombuffer(r["places"], "<i4") for r in held]).astype(np.int64)
+    sizes, which, docs, keys, places = [], [], [], [], []
+    for r, b in zip(held, base.tolist(), strict=True):
+        size, content, unit, place = _uncolumns(r["meta"], r["n"], r["m"], r["m"], r["m"])
+        sizes.append(size)
+        which.append(content + b)
+        docs.append(np.frombuffer(r["docs"], "<i8")[unit])
+        keys.append(np.frombuffer(r["keys"], "<i8")[unit])
+        places.append(place)
+    which, docs, keys, places = map(np.concatenate, (which, docs, keys, places))
     doc = np.empty(len(anchors), np.int64)
     doc[which] = docs
     # minimizers of one document alone repeat nothing
@@ -292,13 +308,12 @@ def _search(held: list[dict], window: int) -> pa.RecordBatch | None:
     np.maximum.at(high, group, doc)
     needed = (low < high)[group]
     contents = []
-    for r, b, n in zip(held, base.tolist(), counts, strict=True):
-        mine = np.flatnonzero(needed[b : b + n])
+    for r, b, size in zip(held, base.tolist(), sizes, strict=True):
+        mine = np.flatnonzero(needed[b : b + r["n"]])
         if len(mine):
-            sizes = np.frombuffer(r["sizes"], "<i4").astype(np.int64)
-            stops = np.cumsum(sizes)
+            stops = np.cumsum(size)
             data = pa.decompress(r["words"], int(stops[-1]), codec="zstd", asbytes=True)
-            pairs = zip((stops - sizes)[mine].tolist(), stops[mine].tolist(), strict=True)
+            pairs = zip((stops - size)[mine].tolist(), stops[mine].tolist(), strict=True)
             contents += [data[x:y] for x, y in pairs]
     if not contents:
         return None
@@ -375,9 +390,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
                 if row["words"] is not None:
                     held.append(row)
                     continue
-                sizes = np.frombuffer(row["sizes"], "<i4")
+                sizes, flat = _uncolumns(row["meta"], row["n"], row["m"])
                 offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
-                spans = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(row["places"], "<i4")))
+                spans = pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32)))
                 ids = [pa.array(np.frombuffer(row[c], "<i8"), pa.int64()) for c in ("docs", "keys")]
                 yield pa.RecordBatch.from_arrays([*ids, spans], ["doc_id", "row_key", "spans"])
         if held and (found := _search(held, window)) is not None:
@@ -390,12 +405,22 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
 _KEPT = "doc_id bigint, n_words bigint, n_removed bigint, kept binary"
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, 512):
+            part = batch.slice(low, 512)
+            texts = part["text"].to_pylist()
+            packed = [pa.array([_squeezed(t) for t in texts], pa.binary()), pa.array(map(len, texts), pa.int32())]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["row_key"], *packed], ["doc_id", "row_key", "packed", "size"])
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low in range(0, batch.num_rows, 512):
             part, out = batch.slice(low, 512), []
-            for text, spans in zip(part["text"].to_pylist(), part["spans"].to_pylist(), strict=True):
-                words = text.split()
+            columns = (part[c].to_pylist() for c in ("packed", "size", "spans"))
+            for packed, size, spans in zip(*columns, strict=True):
+                words = pa.decompress(packed, size, codec="zstd", asbytes=True).split()
                 kept = words
                 if spans:
                     stays = np.ones(len(words), dtype=bool)
@@ -420,11 +445,14 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sh
     rows that share an id do not affect each other and are each answered, so repeated rows give equal answers. Other
     columns are not read. An empty table gives no rows.
     """
-    spans = repeated_spans(docs, window, gram, shard_bytes).groupBy("doc_id", "row_key")
-    spans = spans.agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    rows = _prepared(docs)
-    named = rows.where(F.col("doc_id").isNotNull()).join(spans, ["doc_id", "row_key"], "left")
+    # stored, so that what was sent to the shards is not needed any more when the texts are
+    spans = store_table(repeated_spans(docs, window, gram, shard_bytes))
+    spans = spans.groupBy("doc_id", "row_key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    rows = _prepared(docs).withColumn("text", F.col("text").cast("binary"))
+    packed = "doc_id bigint, row_key bigint, packed binary, size int"
+    named = rows.where(F.col("doc_id").isNotNull()).mapInArrow(_squeeze, packed).join(spans, ["doc_id", "row_key"], "left")
     # apart from the join, which would bring all rows without an id to one task
-    others = rows.where(F.col("doc_id").isNull()).withColumn("spans", F.lit(None).cast("array<int>"))
-    both = named.select("doc_id", "text", "spans").unionByName(others.select("doc_id", "text", "spans"))
-    return both.withColumn("text", F.col("text").cast("binary")).mapInArrow(_remove, _KEPT)
+    others = rows.where(F.col("doc_id").isNull()).mapInArrow(_squeeze, packed)
+    others = others.withColumn("spans", F.lit(None).cast("array<int>"))
+    wanted = ("doc_id", "packed", "size", "spans")
+    return named.select(*wanted).unionByName(others.select(*wanted)).mapInArrow(_remove, _KEPT)
