@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -23,6 +24,7 @@ def run_batch(
     tie_break: list[str] | None = None,
     store: bool = True,
     order: list[str] | None = None,
+    wanted: Collection[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Parse, deduplicate, score readings, aggregate windows, score windows.
 
@@ -52,7 +54,8 @@ def run_batch(
     skew = decided(records, KEYS, cfg.skew)
     record_alerts = detect.record_alerts(records, cfg.detect, order, skew)
     windows = window_stats(records, cfg.windows, as_of, skew)
-    if store:
+    readers = ("windows", "window_alerts", "alerts", "counters")
+    if store and (wanted is None or sum(name in wanted for name in readers) > 1):
         windows = store_table(windows)
     window_alerts = detect.window_alerts(windows, cfg.detect, skew)
     alerts = detect.all_alerts(record_alerts, window_alerts)

@@ -481,7 +481,7 @@ def detector_statistics(spark, folder):
 
 def _end_to_end(spark, folder, name):
     cfg = replace(EngineConfig(), dedup=DAY_TTL, windows=ONE_DAY)
-    return run_batch(_raw(spark, folder, "user_id"), cfg, tie_break=["event_id"])[name]
+    return run_batch(_raw(spark, folder, "user_id"), cfg, tie_break=["event_id"], wanted=[name])[name]
 
 
 @query
