@@ -75,63 +75,26 @@ def _by_window_and_fold(df: DataFrame, ttl: int, ties: list[str]) -> DataFrame:
     repeated = F.when(untimed, F.col("__nth") > 1).otherwise(~F.col("__fresh"))
     decided = base.filter(~beyond).select(*columns, repeated.alias("is_duplicate"))
 
-    row = F.struct("__t", *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)])
-    payload = F.struct(*columns)
-    sessions = (
-        base.filter(beyond)
-        .groupBy(ID, "__start")
-        .agg(F.collect_list(F.struct(row.alias("at"), payload.alias("row"))).alias("__rows"))
-        .withColumn(
-            "__rows",
-            F.array_sort(
-                "__rows",
-                lambda a, b: F.when(a["at"] < b["at"], -1)
-                .when(a["at"] > b["at"], 1)
-                .otherwise(0),
-            ),
-        )
-    )
-    # The fold keeps the last accepted time and the positions accepted so far.
-    start = F.struct(
-        F.col("__start").alias("last"),
-        F.lit(0).alias("at"),
-        F.array().cast("array<int>").alias("kept"),
-    )
+    # Only the distinct times of a session are folded; the rows themselves stay where they are.
+    rest = base.filter(beyond)
+    times = rest.groupBy(ID, "__start").agg(F.sort_array(F.collect_set("__t")).alias("__times"))
+    start = F.struct(F.col("__start").alias("last"), F.array().cast("array<bigint>").alias("kept"))
 
-    def step(state: Column, item: Column) -> Column:
-        take = item["at"]["__t"] - state["last"] > ttl
-        position = state["at"]
+    def step(state: Column, time: Column) -> Column:
+        take = time - state["last"] > ttl
         return F.struct(
-            F.when(take, item["at"]["__t"]).otherwise(state["last"]).alias("last"),
-            (position + 1).alias("at"),
-            F.when(take, F.concat(state["kept"], F.array(position)))
-            .otherwise(state["kept"])
-            .alias("kept"),
+            F.when(take, time).otherwise(state["last"]).alias("last"),
+            F.when(take, F.concat(state["kept"], F.array(time))).otherwise(state["kept"]).alias("kept"),
         )
 
-    folded = (
-        sessions.withColumn("__kept", F.aggregate("__rows", start, step, lambda s: s["kept"]))
-        # Accepted positions to one flag per row: an accepted row, then its duplicates.
-        .withColumn(
-            "__flags",
-            F.flatten(
-                F.transform(
-                    F.sequence(F.lit(0), F.size("__kept") - 1),
-                    lambda i: F.concat(
-                        F.array(F.lit(False)),
-                        F.array_repeat(
-                            F.lit(True),
-                            F.coalesce(F.get("__kept", i + 1), F.size("__rows"))
-                            - F.get("__kept", i)
-                            - 1,
-                        ),
-                    ),
-                )
-            ),
-        )
-        .select(F.explode(F.arrays_zip("__rows", "__flags")).alias("__x"))
-        .select("__x.__rows.row.*", F.col("__x.__flags").alias("is_duplicate"))
+    accepted_at = times.select(
+        F.col(ID).alias("__id"),
+        F.explode(F.aggregate("__times", start, step, lambda s: s["kept"])).alias("__accepted"),
     )
+    on = F.col(ID).eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__accepted"))
+    # of several rows at an accepted time the first one counts
+    lost = F.col("__accepted").isNull() | (F.col("__previous") == F.col("__t"))
+    folded = rest.join(accepted_at, on, "left").select(*columns, F.coalesce(lost, F.lit(False)).alias("is_duplicate"))
     return decided.unionByName(folded)
 
 

@@ -342,6 +342,8 @@ FROM flagged WHERE """
     sql["source_decoded_rows"] = _with(_raw(), _PARSED) + """SELECT CAST(event_id % 3 AS INTEGER) AS "partition",
   event_id AS "offset", message_id, sensor_id, metric_name, value, "timestamp" FROM valid"""
     sql["source_text_outcomes"] = sql["parse_outcomes"]
+    sql["source_parquet_outcomes"] = _with(_raw(), _PARSED) + """SELECT
+  coalesce(reason_code, 'VALID') AS outcome, count(*) AS n, min(event_id) AS first_event FROM parsed GROUP BY 1"""
     sql["parse_page_markup"] = """SELECT page_id, 'JSON_PARSE' AS reason_code,
   html[:500] AS raw_payload FROM pages"""
     sql["record_ages"] = _with(_tel()) + """SELECT message_id,

@@ -446,6 +446,17 @@ def source_text_outcomes(spark, folder):
     )
 
 
+@query
+def source_parquet_outcomes(spark, folder):
+    """Messages of a Parquet source, with the columns that go beside them."""
+    path = f"{_stream_folder(spark)}/messages"
+    _raw(spark, folder).write.parquet(path)
+    parsed = parse(open_source(spark, "parquet", path))
+    return parsed.groupBy(F.coalesce("reason_code", F.lit("VALID")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event")
+    )
+
+
 @query
 def record_ages(spark, folder):
     now = F.lit("2024-02-01 00:00:00").cast("timestamp")
