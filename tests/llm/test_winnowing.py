@@ -61,9 +61,11 @@ def test_next_document_and_edits(docs_of, monkeypatch, per_range):
             (
                 None if i == w._NULL_ID else i, len(text), hashlib.sha256(edited.encode()).hexdigest(),
                 w.as_text(own), w.as_text(changed), w.likeness(own, changed), w.likeness(own, w.winnow(after)),
+                tuple(own.positions.tolist()),
             )
         ] += 1
-    assert Counter(map(tuple, w.compare_with_next(docs_of(pairs)).collect())) == want
+    got = w.compare_with_next(docs_of(pairs)).collect()
+    assert Counter((*r[:-1], tuple(r["positions"])) for r in got) == want
 
 
 def test_fingerprint_table_and_empty_tables(docs_of):
@@ -81,3 +83,15 @@ def test_short_texts_with_a_changed_quarter_are_alike(docs_of):
     assert len(rows) == 150 and all(r["near_edited"] > 0.2 for r in rows)
     passage = "a passage of 24 letters."
     assert w.likeness(w.winnow("x" * 30 + passage), w.winnow(passage + "y" * 30)) > 0
+
+
+def test_query_positions_are_those_of_the_fingerprint(docs_of):
+    pairs = [(1, "a text that is long enough to have some windows of grams in it"), (2, "short"), (3, None)]
+    rows = {r["doc_id"]: r for r in w.compare_with_next(docs_of(pairs)).collect()}
+    for i, text in pairs:
+        own = w.winnow(text or "")
+        assert rows[i]["positions"] == own.positions.tolist()
+        assert len(rows[i]["positions"]) * 8 == len(rows[i]["fingerprint"])
+        # of any fifteen characters in a row one position starts a chosen gram
+        for start in range(len(text or "") - w.GRAM - w.WINDOW + 2):
+            assert any(start <= p < start + w.WINDOW for p in rows[i]["positions"])

@@ -22,6 +22,9 @@ GRAM = 8
 WINDOW = 8
 #: Rows that a task of ``consecutive`` gets, roughly.
 ROWS_PER_RANGE = 4_000
+#: Ranges at most, whose bounds (under a megabyte) are sent to the tasks; beyond it the ranges get longer. A task reads
+#: its range row by row, so a long one costs time and no memory.
+MAX_RANGES = 100_000
 _BASE = 0x9E3779B97F4A7C15
 _MASK64 = 0xFFFFFFFFFFFFFFFF
 #: Stands for a null id, which comes before all others.
@@ -145,11 +148,11 @@ def consecutive(docs: DataFrame) -> DataFrame:
     """
     texts = _texts(docs).withColumn("id", F.coalesce("doc_id", F.lit(_NULL_ID)))
     total, least = texts.agg(F.count(F.lit(1)), F.min("id")).first()
-    ranges = max(1, math.ceil(total / ROWS_PER_RANGE))
+    ranges = min(MAX_RANGES, max(1, math.ceil(total / ROWS_PER_RANGE)))
     bounds: list[int] = []
     if ranges > 1:
         cuts = [i / ranges for i in range(1, ranges)]
-        found = texts.agg(F.percentile_approx("id", cuts, 10_000)).first()[0]
+        found = texts.agg(F.percentile_approx("id", cuts, max(10_000, 10 * ranges))).first()[0]
         bounds = sorted({b for b in found if b > least})  # each is an id, so no range is empty
     sent = docs.sparkSession.sparkContext.broadcast((bounds, least))
 
@@ -177,7 +180,8 @@ def consecutive(docs: DataFrame) -> DataFrame:
 
 def compare_with_next(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Fingerprints of each text and of its edited text, whose last quarter is replaced by the beginning of
-    the next document, and how alike its fingerprint is to the edited text's and the next document's.
+    the next document, how alike its fingerprint is to the edited text's and the next document's, and the
+    ``positions`` of its hashes in the text: of any GRAM + WINDOW - 1 characters one starts a chosen gram.
 
     Nulls, repeats and order are as in ``consecutive`` and ``fingerprints``; a single row is its own next,
     and an empty table gives no rows.
@@ -196,6 +200,7 @@ def compare_with_next(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -
             as_text(changed),
             likeness(fingerprint, changed),
             likeness(fingerprint, after),
+            fingerprint.positions.tolist(),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +228,7 @@ def compare_with_next(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -
 
 _RESULT = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string,"
-    " near_edited double, near_next double"
+    " near_edited double, near_next double, positions array<int>"
 )
 _NAMES = [f.split()[0] for f in _RESULT.split(",")]
-_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.int32())]
