@@ -38,9 +38,9 @@ from .fm_index import FMIndex, matching_statistics
 WINDOW = 13
 GRAM = 3
 #: Bytes of text that a shard gets, roughly.
-SHARD_BYTES = 24_000_000
+SHARD_BYTES = 12_000_000
 #: Words that are cut at once; longer texts are cut in several goes.
-PIECE_WORDS = 600_000
+PIECE_WORDS = 400_000
 #: Longer words are told apart by their SHA-256 while they are searched.
 LONG_WORD = 64
 #: One of SAMPLE rows is looked at for hot minimizers, and at most HOT of them are split.
@@ -69,7 +69,7 @@ class _Hashes(dict):
     """Hashes of words, forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word, 7)
         return value
@@ -265,10 +265,11 @@ _PACKED_TYPES = [*[pa.int32()] * 3, *[pa.binary()] * 5]
 def repeated_windows(contents: list[bytes], owners: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """For distinct fragments, whose smallest document is ``owners``: the smallest document that has each of
     their windows, all in a row, and where each fragment's windows begin."""
-    number = _Numbers({_SEPARATOR: 0})
-    words = (b" " + _SEPARATOR + b" ").join(contents).split(b" ")
-    words.append(_SEPARATOR)
-    text = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    number, parts = _Numbers({_SEPARATOR: 0}), []
+    for low in range(0, len(contents), 10_000):
+        words = (b" " + _SEPARATOR + b" ").join([*contents[low : low + 10_000], b""]).split(b" ")[:-1]
+        parts.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+    text = np.concatenate(parts)
     ends = np.flatnonzero(text == 0)
     lengths = np.diff(np.r_[-1, ends]) - 1
     index = FMIndex(text, len(number), window)
