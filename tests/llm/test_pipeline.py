@@ -115,7 +115,7 @@ def test_queries_are_registered(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "simhash_dedup", "decontamination", "bpe"]
 
 
-@pytest.mark.parametrize("name", ["op2_chat", "op10_line_dedup"])
+@pytest.mark.parametrize("name", ["op2_chat", "op10_line_dedup", "op12_substring_dedup", "op13_hard_negatives"])
 def test_query_equals_sql(spark, name):
     import duckdb
     from check_queries import normalised
@@ -123,7 +123,7 @@ def test_query_equals_sql(spark, name):
     from __spark_entry__ import oracle_sql, queries
 
     db = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     got = queries()[name](spark, FOLDER).toPandas()
     want = db.execute(oracle_sql()[name]).df()

@@ -43,6 +43,47 @@ SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_droppe
 FROM marked GROUP BY doc_id
 """
 
+OP12 = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT r, doc_id, i, array_to_string(words[i:i + 12], ' ') AS key
+  FROM (SELECT *, unnest(range(1, greatest(len(words) - 11, 1))) AS i FROM split)
+), firsts AS (
+  SELECT key, min(doc_id) AS first FROM windows GROUP BY key
+), gone AS (
+  SELECT DISTINCT r, i + k AS p FROM windows JOIN firsts USING (key), range(13) AS t(k) WHERE first < doc_id
+), words AS (
+  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM split
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (r)
+"""
+
+OP13 = r"""
+WITH usable AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS s
+  FROM usable a JOIN usable b ON a.r <> b.r WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY s DESC, id NULLS LAST) AS k FROM scores WHERE same QUALIFY k <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+  (row_number() OVER (PARTITION BY p.r, p.k ORDER BY n.s DESC, n.id NULLS LAST))::INTEGER AS rank,
+  n.id AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM positives p JOIN scores n ON n.r = p.r AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s
+QUALIFY rank <= 5
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_chat": OP2, "op10_line_dedup": OP10}
+    return {"op2_chat": OP2, "op10_line_dedup": OP10, "op12_substring_dedup": OP12, "op13_hard_negatives": OP13}
