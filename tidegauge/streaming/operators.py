@@ -101,7 +101,11 @@ def record_alerts(
 
 
 def window_stats(df: DataFrame, cfg: WindowConfig = WindowConfig()) -> DataFrame:
-    """Epoch-aligned windows, each emitted once the watermark has passed its end."""
+    """Epoch-aligned windows, each emitted once the watermark has passed its end.
+
+    The exact percentile keeps the distinct values of an open window in one state row, which each trigger reads and
+    writes; ``triggers.WindowStage`` keeps them as a table and splits hot windows.
+    """
     use_state_store(df.sparkSession)
     bounds = F.window("timestamp", f"{cfg.window_seconds} seconds").alias("w")
     stats = df.groupBy(*KEYS, bounds).agg(
