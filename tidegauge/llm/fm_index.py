@@ -32,7 +32,7 @@ class WaveletTree:
             words = np.packbits(padded, bitorder="little").view("<u8")
             ones = np.bitwise_count(words).astype(np.int64)
             self.words.append(words)
-            self.counts.append(np.concatenate([[0], np.cumsum(ones)[:-1]]))
+            self.counts.append(np.concatenate([[0], np.cumsum(ones)[:-1]]).astype(np.int32))
             one = bit.astype(bool)
             self.zeros.append(int(len(bit) - ones.sum()))
             current = np.concatenate([current[~one], current[one]])
@@ -56,10 +56,18 @@ class WaveletTree:
 
 def _pairs(left: np.ndarray, right: np.ndarray, apart: int) -> np.ndarray:
     """Numbers, in order, of the pairs (left[i], right[i + apart]); beyond the end the pair is the least."""
-    after = np.zeros(len(left), dtype=np.int64)
-    after[: max(0, len(right) - apart)] = right[apart:] + 1
-    _, numbers = np.unique(left * (len(left) + 2) + after, return_inverse=True)
-    return numbers.astype(np.int64)
+    both = left.astype(np.int64) * (len(left) + 2)
+    both[: max(0, len(right) - apart)] += right[apart:].astype(np.int64) + 1
+    return _ranks(both)
+
+
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """The numbers of the values in order, from 0 on, in half the space."""
+    order = np.argsort(values, kind="stable")
+    values = values[order]
+    ranks = np.empty(len(values), dtype=np.int32)
+    ranks[order] = np.cumsum(np.r_[False, values[1:] != values[:-1]][: len(values)], dtype=np.int32)
+    return ranks
 
 
 class FMIndex:
@@ -69,8 +77,7 @@ class FMIndex:
         """``depth`` is the length of the matches, two at least."""
         text = text.astype(np.int64)
         self.size, self.depth = size, depth
-        _, ranks = np.unique(text, return_inverse=True)
-        known = {1: ranks.astype(np.int64)}
+        known = {1: _ranks(text)}
         step = 1
         while 2 * step < depth:
             known[2 * step] = _pairs(known[step], known[step], step)
@@ -83,8 +90,8 @@ class FMIndex:
         low = np.r_[True, shorter[order][1:] != shorter[order][:-1]] if len(text) else np.zeros(0, bool)
         starts = np.flatnonzero(low)
         group = np.cumsum(low) - 1
-        self.class_low = starts[group] if len(text) else starts
-        self.class_high = np.r_[starts[1:], len(text)][group] if len(text) else starts
+        self.class_low = starts[group].astype(np.int32) if len(text) else starts
+        self.class_high = np.r_[starts[1:], len(text)][group].astype(np.int32) if len(text) else starts
 
     def prepend(self, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The intervals of ``word`` followed by what the intervals low..high stand for."""

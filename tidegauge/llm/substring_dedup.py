@@ -38,9 +38,9 @@ from .fm_index import FMIndex, matching_statistics
 WINDOW = 13
 GRAM = 3
 #: Bytes of text that a shard gets, roughly.
-SHARD_BYTES = 12_000_000
+SHARD_BYTES = 6_000_000
 #: Words that are cut at once; longer texts are cut in several goes.
-PIECE_WORDS = 400_000
+PIECE_WORDS = 200_000
 #: Longer words are told apart by their SHA-256 while they are searched.
 LONG_WORD = 64
 #: One of SAMPLE rows is looked at for hot minimizers, and at most HOT of them are split.
@@ -69,7 +69,7 @@ class _Hashes(dict):
     """Hashes of words, forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word, 7)
         return value
@@ -287,7 +287,7 @@ def repeated_windows(contents: list[bytes], owners: np.ndarray, window: int) ->
 
 
 def _search(held: list[dict], window: int) -> pa.RecordBatch | None:
-    """The intervals of one shard's rows that a smaller document has."""
+    """The intervals of one shard's rows that a smaller document has. Empties ``held``."""
     anchors = np.concatenate([np.frombuffer(r["anchors"], "<u4") for r in held])
     counts = [r["n"] for r in held]
     base = np.cumsum(counts) - counts
@@ -318,12 +318,15 @@ def _search(held: list[dict], window: int) -> pa.RecordBatch | None:
             contents += [data[x:y] for x, y in pairs]
     if not contents:
         return None
+    held.clear()
     known, code = _numbered(contents)
-    owners = np.full(len(known), np.iinfo(np.int64).max)
+    contents = list(known)
+    del known
+    owners = np.full(len(contents), np.iinfo(np.int64).max)
     np.minimum.at(owners, code, doc[needed])
     distinct = np.full(len(anchors), -1)
     distinct[needed] = code
-    least, begin = repeated_windows(list(known), owners, window)
+    least, begin = repeated_windows(contents, owners, window)
     counts = np.diff(np.r_[begin, len(least)])
     some = needed[which]
     fragment, docs, keys, places = distinct[which[some]], docs[some], keys[some], places[some]
