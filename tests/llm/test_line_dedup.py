@@ -2,9 +2,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from corpus_cases import EDGE
+from pyspark.sql import functions as F
 
-from tidegauge.llm import line_dedup
+from tidegauge.llm import filters, line_dedup
 from tidegauge.llm.cuckoo import CuckooFilter, build
 
 A, B = "A line that is long enough to be a key of its own, yes", "ÄÖÜ another line that is long enough, in other letters"
@@ -58,6 +60,46 @@ def test_without_filters_and_broadcasts(docs_of, monkeypatch):
     assert rows(line_dedup.dedup_lines(docs_of(pairs))) == brute(pairs)
 
 
+@pytest.mark.parametrize("keys_per_shard, lines", [(1, 1), (2, 3), (100_000, 7)])
+def test_filters_joined_by_shard(docs_of, monkeypatch, keys_per_shard, lines):
+    """Filters that are too large to send: each line meets the filter of its shard, hot shards in many pieces."""
+    monkeypatch.setattr(line_dedup, "FILTER_BYTES", -1)
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", keys_per_shard)
+    monkeypatch.setattr(line_dedup, "LINES_PER_PIECE", lines)
+    pairs = pairs_of(4)
+    df = docs_of(pairs)
+    state = line_dedup.line_state(line_dedup.references(df))
+    assert rows(line_dedup.drop_lines(df, state)) == brute(pairs)
+    lines_of = df.select(F.lit(1).cast("bigint").alias("doc"), F.explode(line_dedup._hits(state, 40, False)).alias("key"))
+    found = {bytes(r["key"]) for r in line_dedup._in_filters(lines_of, state).collect()}
+    held = {bytes(r["key"]) for r in state.frequent.collect()}
+    every = {bytes(r["key"]) for r in lines_of.collect()}
+    assert held <= found and len(found) < len(every)
+
+
+def test_no_filters_at_all(docs_of, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FILTER_BYTES", -1)
+    pairs = [(1, A), (2, B)]
+    assert rows(line_dedup.dedup_lines(docs_of(pairs))) == brute(pairs)
+
+
+def test_columns_with_clashing_names(docs_of):
+    pairs = pairs_of(5)
+    df = docs_of(pairs).selectExpr("*", "1 AS kept", "2 AS hits", "3 AS drops", "4 AS doc", "5 AS row", "6 AS _kept")
+    found = line_dedup.dedup_lines(df, name="found")
+    assert found.columns == [*df.columns, "found"]
+    assert rows(found.select("doc_id", F.col("found").alias("kept"))) == brute(pairs)
+    assert {tuple(r) for r in found.select("kept", "hits", "drops", "doc", "row", "_kept").collect()} == {(1, 2, 3, 4, 5, 6)}
+    stage = filters.without_repeated_lines(df)
+    assert stage.columns == df.columns
+    got = Counter((r["doc_id"], r["text"] or "") for r in stage.collect())
+    want = Counter()
+    for (i, text, _, _), n in brute(pairs).items():
+        want[(i, text)] += n
+    assert got == want
+    assert filters.one_of_each_group(df).columns == df.columns
+
+
 def test_many_shards(docs_of, monkeypatch):
     monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", 1)
     pairs = pairs_of(3)
@@ -77,6 +119,59 @@ def test_insert_and_delete_are_reversible(spark, docs_of):
     assert sum(held.values()) == back.frequent.count()
 
 
+def held_keys(state):
+    return sum(len(CuckooFilter.from_bytes(r["filter"])) for r in state.filters.collect())
+
+
+def test_changes_in_a_row(spark, docs_of, monkeypatch):
+    """Documents come and go, some under ids that are there already; the state is that of what is left."""
+    monkeypatch.setattr(line_dedup, "REF_PIECES", 3)
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", 10)
+    rng = random.Random(6)
+
+    def text():
+        return "\n".join(rng.choices([A, B, "short", *(f"{A} {i}" for i in range(60))], k=12))
+
+    there = [(i, text()) for i in range(12)] + [(None, A)]
+    state = line_dedup.line_state(line_dedup.references(docs_of(there)))
+    shards = {state.shards}
+    for step in range(4):
+        new = [(rng.randint(0, 60), text()) for _ in range(20)] + [(None, B)] * (step % 2)
+        state = line_dedup.insert_documents(state, docs_of(new))
+        there += new
+        gone = rng.sample(range(61), 12) + [1000] + [None] * (step == 2)
+        state = line_dedup.delete_documents(state, spark.createDataFrame([(i,) for i in gone], "doc_id int"))
+        there = [(i, t) for i, t in there if i not in gone]
+        assert len(state.pieces) <= 3
+        afresh = line_dedup.line_state(line_dedup.references(docs_of(there)))
+        assert sorted(map(str, state.frequent.collect())) == sorted(map(str, afresh.frequent.collect()))
+        assert Counter(map(str, state.refs.collect())) == Counter(map(str, afresh.refs.collect()))
+        assert held_keys(state) == state.frequent.count()
+        shards.add(state.shards)
+    assert rows(line_dedup.drop_lines(docs_of(there), state)) == brute(there)
+    assert len(shards) > 1  # it has grown on the way
+
+
+def test_only_changed_keys_are_counted(spark, docs_of):
+    old = [(i, A + "\n" + B) for i in range(6)]
+    state = line_dedup.line_state(line_dedup.references(docs_of(old)))
+    same = line_dedup.delete_documents(state, spark.createDataFrame([(77,)], "doc_id bigint"))
+    assert same.pieces[-1].count() == 0 and held_keys(same) == 2
+    after = line_dedup.insert_documents(same, docs_of([(9, A)]))
+    assert after.pieces[-1].count() == 1
+    assert {r["n_docs"]: r["last"] for r in after.frequent.collect()} == {6: 5, 7: 9}
+
+
+def test_a_full_filter_is_built_from_all_keys_of_its_shard(spark, docs_of):
+    """The first filter has room for a few keys; those it held must be in the one that replaces it."""
+    first = [(i, A + "\n" + B) for i in range(5)]
+    more = [(10 + i, "\n".join(f"{A} {n}" for n in range(300))) for i in range(5)]
+    state = line_dedup.line_state(line_dedup.references(docs_of(first)))
+    state = line_dedup.insert_documents(state, docs_of(more))
+    assert state.shards == 1 and held_keys(state) == 302
+    assert rows(line_dedup.drop_lines(docs_of(first + more), state)) == brute(first + more)
+
+
 def test_empty_table(docs_of):
     assert line_dedup.dedup_lines(docs_of([])).collect() == []
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from ..plans.skew import store_table
 from . import decontaminate, line_dedup, simhash, toxicity
-
-_ROW = "__filter_row"
+from .names import free_name
 
 
 def _kept_rows(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]]) -> DataFrame:
@@ -44,9 +43,11 @@ def without_toxic(docs: DataFrame, model: toxicity.Model | None) -> DataFrame:
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """All rows of ``docs``; texts that lost lines, and their ``n_chars``, are replaced."""
-    found = line_dedup.dedup_lines(docs)
-    changed = F.col("kept.n_dropped") > 0
-    new = {"text": F.col("kept.text"), "n_chars": F.char_length("kept.text").cast("bigint")}
+    name = free_name(docs, "kept")
+    found = line_dedup.dedup_lines(docs, name=name)
+    kept = F.col(name)
+    changed = kept["n_dropped"] > 0
+    new = {"text": kept["text"], "n_chars": F.char_length(kept["text"]).cast("bigint")}
     return found.select(
         *(F.when(changed, new[c]).otherwise(F.col(c)).alias(c) if c in new else c for c in docs.columns)
     )
@@ -57,9 +58,10 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     only if its component has no other. Rows that share an id or have none are told apart by a key
     of their own, so another text under the same id stays; texts without words are copies of each other, and an
     empty table gives no rows. Whole rows are stored once, as the key must not change, and shuffled once by it."""
-    rows = store_table(docs.withColumn(_ROW, F.monotonically_increasing_id()))
-    chosen = simhash.first_of_each_group(rows, _ROW)
-    return rows.join(chosen, _ROW, "left_semi").select(*docs.columns)
+    row = free_name(docs, "row")
+    rows = store_table(docs.withColumn(row, F.monotonically_increasing_id()))
+    chosen = simhash.first_of_each_group(rows, row)
+    return rows.join(chosen, row, "left_semi").select(*docs.columns)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
