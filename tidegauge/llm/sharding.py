@@ -16,6 +16,8 @@ from ..plans.skew import store_table
 MULTIPLIER = 2862933555777941757
 LOW, HIGH = MULTIPLIER & 0xFFFFFFFF, MULTIPLIER >> 32
 MASK32, MASK16 = 0xFFFFFFFF, 0xFFFF
+#: Steps between two looks at whether a key has jumped past the last shard.
+STEPS = 64
 
 
 def _times(word: Column, factor: int) -> tuple[Column, Column]:
@@ -30,7 +32,8 @@ def _times(word: Column, factor: int) -> tuple[Column, Column]:
 def jump_hash(key: Column, shards: int) -> Column:
     """Shard from 0 to ``shards`` - 1 of a whole-number key; a null key goes where 0 goes.
 
-    Each step raises the shard by one at least, so ``shards`` steps are enough for every key.
+    Each step raises the shard by one at least, so ``shards`` steps are enough for every key. Most keys
+    need about ln(``shards``) of them, so the steps come in blocks, and a key that is done skips the rest.
     """
     if shards < 1:
         raise ValueError("there must be at least one shard")
@@ -56,8 +59,15 @@ def jump_hash(key: Column, shards: int) -> Column:
         moved = F.struct(hi.alias("hi"), lo.alias("lo"), state["j"].alias("b"), jump.alias("j"))
         return F.when(state["j"] < shards, moved).otherwise(state)
 
-    steps = F.sequence(F.lit(1), F.lit(shards))
-    return F.aggregate(steps, start, step, lambda s: s["b"].cast("int"))
+    if shards <= STEPS:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, step, lambda s: s["b"].cast("int"))
+
+    def block(state: Column, _: Column) -> Column:
+        steps = F.when(state["j"] < shards, F.sequence(F.lit(1), F.lit(STEPS))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(steps, state, step)
+
+    blocks = F.sequence(F.lit(1), F.lit(-(-shards // STEPS)))
+    return F.aggregate(blocks, start, block, lambda s: s["b"].cast("int"))
 
 
 def assign_shards(rows: DataFrame, key: str, shards: int, name: str = "shard") -> DataFrame:
