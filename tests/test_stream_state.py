@@ -50,6 +50,29 @@ def test_late_copies_are_judged_by_what_was_accepted_near_them(spark, tmp_path):
     assert flags(spark, tmp_path) == {0: False, 1: False, 2: True, 3: True, 4: False, 5: True, 6: False, 7: False}
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_joins_of_the_deduplication_send_no_rows_through_the_driver(spark, tmp_path, hot):
+    """Compressed tables are under the limit for broadcasts however many rows they hold."""
+    plans = []
+    skew = SkewConfig(mode="on") if hot else SkewConfig()
+    stage = DedupStage(DedupConfig(ttl_seconds=300), ["seq"], skew, keep_seconds=24 * HOUR)
+
+    def step(rows, turn):
+        write = turn.write
+
+        def watched(table, rows, **counts):
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+            return write(table, rows, **counts)
+
+        turn.write = watched
+        stage.step(rows, turn)
+
+    chunks = [[record(10 * n + i, seconds=100 * i + n, message_id="a") for i in range(8)] for n in range(2)]
+    turns(spark, tmp_path, chunks, step)
+    assert len(plans) == 2 and not any("BroadcastHashJoin" in p or "BroadcastExchange" in p for p in plans)
+    assert sorted(n for n, again in flags(spark, tmp_path).items() if not again) == [0, 4, 17]
+
+
 @pytest.mark.parametrize("every", [8, 2])
 def test_shuffled_triggers_equal_batch_where_no_copies_conflict(spark, tmp_path, monkeypatch, every):
     """Copies are at one time exactly, so their order does not matter."""

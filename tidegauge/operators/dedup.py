@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DedupConfig, SkewConfig
 from ..plans.chains import accepted_chain
-from ..plans.skew import split_hot, store_table, union_parts
+from ..plans.skew import by_shuffle, split_hot, store_table, union_parts
 
 ID = "message_id"
 
@@ -94,7 +94,7 @@ def _by_window_and_fold(df: DataFrame, ttl: int, ties: list[str]) -> DataFrame:
     on = F.col(ID).eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__accepted"))
     # of several rows at an accepted time the first one counts
     lost = F.col("__accepted").isNull() | (F.col("__previous") == F.col("__t"))
-    folded = rest.join(accepted_at, on, "left").select(*columns, F.coalesce(lost, F.lit(False)).alias("is_duplicate"))
+    folded = rest.join(by_shuffle(accepted_at), on, "left").select(*columns, F.coalesce(lost, F.lit(False)).alias("is_duplicate"))
     return decided.unionByName(folded)
 
 
@@ -108,7 +108,7 @@ def _by_chain(df: DataFrame, ttl: int, ties: list[str]) -> DataFrame:
     timed = points.filter(F.col("__t").isNotNull())
     chain = accepted_chain(timed.select(ID, "__t"), ID, "__t", ttl)
     on_chain = timed.alias("p").join(
-        chain.alias("c"),
+        by_shuffle(chain.alias("c")),
         F.col(f"p.{ID}").eqNullSafe(F.col(f"c.{ID}")) & (F.col("p.__t") == F.col("c.__t")),
         "left_semi",
     )
@@ -116,7 +116,7 @@ def _by_chain(df: DataFrame, ttl: int, ties: list[str]) -> DataFrame:
         F.col("__first.__row").alias("__winner")
     )
     return (
-        numbered.join(winners, F.col("__row") == F.col("__winner"), "left")
+        numbered.join(by_shuffle(winners), F.col("__row") == F.col("__winner"), "left")
         .withColumn("is_duplicate", F.col("__winner").isNull())
         .drop("__t", "__row", "__winner")
     )

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import materialize
+from .skew import by_shuffle, materialize
 
 _SHAPE = ["__node", "__entry", "__exit"]
 
@@ -91,7 +91,7 @@ def _merge(table: DataFrame, key: str, gap: int) -> DataFrame:
 def _descend(chain: DataFrame, level: DataFrame, key: str) -> DataFrame:
     """First accepted points of both halves of each stretch in ``chain``."""
     known = chain.alias("c").join(
-        level.alias("l"),
+        by_shuffle(level.alias("l")),
         F.col(f"c.{key}").eqNullSafe(F.col(f"l.{key}"))
         & (F.col("c.__node") == F.col("l.__node"))
         & (F.col("c.__entry") == F.col("l.__entry")),

@@ -65,6 +65,12 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     return configured or context.getCheckpointDir()
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """For the side of a join that grows with the input: it is shuffled, never sent through the driver. Left to itself Spark
+    goes by the size of the files below, and a few compressed megabytes of them are many times that as rows."""
+    return df.hint("merge")
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 

@@ -23,6 +23,7 @@ from ..operators.windows import (
     closed_windows,
     series_anchor,
 )
+from ..plans.skew import by_shuffle
 from ..plans.trailing import with_running_moments
 from ..schema import KEYS, ORDER
 from .ledger import SLOTS, KeyedState, Turn
@@ -149,7 +150,7 @@ class DedupStage:
         placed = rows.withColumn("__at", self._at())
         on = F.col(ID).eqNullSafe(F.col("__id")) & (self._stretch(F.col("__at")) == F.col("__stretch"))
         near = F.exists("__ats", lambda a: F.abs(a - F.col("__at")) <= F.lit(self.cfg.ttl_us))
-        return placed.join(sides, on, "left").select(*rows.columns, F.coalesce(near, F.lit(False)).alias("__near"))
+        return placed.join(by_shuffle(sides), on, "left").select(*rows.columns, F.coalesce(near, F.lit(False)).alias("__near"))
 
     def _live(self, rows: DataFrame, turn: Turn) -> DataFrame:
         low = turn.values.get("clock", {}).get("low")
