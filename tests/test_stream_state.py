@@ -244,6 +244,14 @@ def test_a_trigger_that_was_stopped_within_is_never_seen(spark, tmp_path, messag
     assert rows_of(alerts, *columns) == rows_of(batch["record_alerts"], *columns) and alerts.count() > 0
 
 
+def test_messages_of_one_split_are_parsed_by_many_tasks(spark, tmp_path, messages):
+    chunk = [m for c in messages for m in c]
+    turns(spark, str(tmp_path), [chunk], Engine(CFG, tie_break=["seq"]).step, lambda s, c: raw_of(s, c).coalesce(1))
+    parsed = spark.read.parquet(str(tmp_path / "parsed"))
+    by_task = [r["count"] for r in parsed.groupBy(F.input_file_name()).count().collect()]
+    assert sum(by_task) == len(chunk) and max(by_task) <= len(chunk) / 4
+
+
 def test_statistics_of_a_running_stream(spark, tmp_path, messages):
     folder = str(tmp_path)
     turns(spark, folder, messages, Engine(CFG, tie_break=["seq"]).step, raw_of)

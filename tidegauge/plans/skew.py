@@ -71,6 +71,12 @@ def by_shuffle(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly over all cores, for costly work on each of them: a source's splits follow its files and bytes,
+    and a few compressed megabytes in one split can be most rows."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 

@@ -23,7 +23,7 @@ from .operators.windows import (
     window_stats,
 )
 from .plans.batch import run_batch
-from .plans.skew import decided, use_checkpoint_dir
+from .plans.skew import decided, spread, use_checkpoint_dir
 from .plans.trailing import with_running_moments
 from .schema import KEYS, ORDER
 from .sources.readers import from_kafka, open_source
@@ -549,7 +549,7 @@ def _five_times(spark, folder, part, run):
     0 to 4. ``run`` starts a stream on the folder's rows."""
     events, path = table(spark, folder, "events"), f"{_stream_folder(spark)}/events"
     for n in range(5):
-        events.filter(part == n).write.mode("append").parquet(path)
+        spread(events.filter(part == n)).write.mode("append").parquet(path)
         run(spark.readStream.schema(events.schema).parquet(path))
 
 

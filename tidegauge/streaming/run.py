@@ -14,7 +14,7 @@ from ..config import EngineConfig
 from ..functions.parsing import PAYLOAD_CHARS
 from ..operators import detect
 from ..operators.parse import dead_letters, parse, valid_records
-from ..plans.skew import decided
+from ..plans.skew import decided, spread
 from ..schema import KEYS, WINDOW
 from ..sources.sinks import BatchHook
 from .ledger import Turn, commits, run_by_trigger
@@ -111,7 +111,7 @@ class Engine:
     def step(self, raw: DataFrame, turn: Turn) -> None:
         detecting, one = self.cfg.detect, F.count(F.lit(1))
         failed = F.col("reason_code").isNotNull()
-        parsed = parse(raw, received_at=F.col("received_at") if "received_at" in raw.columns else None)
+        parsed = parse(spread(raw), received_at=F.col("received_at") if "received_at" in raw.columns else None)
         # one pass parses the messages, keeps the readings and, of the others, what dead letters show
         parsed = parsed.withColumn("raw", F.when(failed, F.substring("raw", 1, PAYLOAD_CHARS)))
         parsed = parsed.withColumn("tags", F.col("tags").cast("string"))  # tables keep the tags as JSON text
