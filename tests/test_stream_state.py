@@ -15,9 +15,10 @@ from tidegauge.config import ClockConfig, DedupConfig, EngineConfig, SkewConfig,
 from tidegauge.operators import dedup, metrics, windows
 from tidegauge.plans.batch import run_batch
 from tidegauge.plans.trailing import with_running_moments
+from tidegauge.queries import all_queries
 from tidegauge.schema import KEYS, ORDER
 from tidegauge.streaming import operators as ops
-from tidegauge.streaming.ledger import KeyedState, begin, manifest, published
+from tidegauge.streaming.ledger import KeyedState, Turn, begin, manifest, published
 from tidegauge.streaming.run import Counters, Engine
 from tidegauge.streaming.triggers import Clock, DedupStage, LiveIds, MomentStage, WindowStage
 
@@ -73,6 +74,19 @@ def test_joins_of_the_deduplication_send_no_rows_through_the_driver(spark, tmp_p
     assert sorted(n for n, again in flags(spark, tmp_path).items() if not again) == [0, 4, 17]
 
 
+@pytest.mark.parametrize("name", ["stream_dedup_five_triggers", "stream_dedup_out_of_order"])
+def test_deduplication_queries_broadcast_no_flagged_rows(spark, monkeypatch, name):
+    plans, write = [], Turn.write
+
+    def watched(turn, table, rows, **counts):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(turn, table, rows, **counts)
+
+    monkeypatch.setattr(Turn, "write", watched)
+    assert all_queries()[name](spark, "/root/testdata/sf0.001").count() == 1000
+    assert len(plans) == 5 and not any("BroadcastExchange" in p for p in plans)
+
+
 @pytest.mark.parametrize("every", [8, 2])
 def test_shuffled_triggers_equal_batch_where_no_copies_conflict(spark, tmp_path, monkeypatch, every):
     """Copies are at one time exactly, so their order does not matter."""
